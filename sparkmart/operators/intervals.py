@@ -90,7 +90,7 @@ def run_metrics(runs: DataFrame, ts: str, label: str, seconds: str, every: str,
             F.count(F.lit(1)).alias("runs"),
             F.max(F.col(seconds) * 1000).alias("max_ms"),
             *[
-                F.percentile_approx(F.col(seconds) * 1000, F.lit(q), F.lit(1_000_000)).alias(f"p{round(q * 100)}_ms")
+                F.percentile_approx(F.col(seconds) * 1000, F.lit(q), F.lit(100_000)).alias(f"p{round(q * 100)}_ms")
                 for q in quantiles
             ],
         )

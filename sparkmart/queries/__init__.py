@@ -1,6 +1,6 @@
 """Registered queries, one module per operator family."""
 
-from sparkmart.queries import loads, sources  # noqa: F401
+from sparkmart.queries import basics, intervals, loads, quality, sources, warehouse  # noqa: F401
 from sparkmart.queries.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

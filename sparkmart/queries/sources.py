@@ -99,7 +99,7 @@ def src_sql_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.query_file(spark, path, {"min_price": 1000.0})
 
 
-_HEADING_SQL = r"""
+HEADING_SQL = r"""
     SELECT page_id,
            replace(replace(replace(replace(replace(replace(
              regexp_replace(unnest(regexp_extract_all(html, '(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>', 1)),
@@ -109,7 +109,7 @@ _HEADING_SQL = r"""
 """
 
 
-@query("src_html_headings", _HEADING_SQL)
+@query("src_html_headings", HEADING_SQL)
 def src_html_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markup.headings(table(spark, sf_dir, "pages"), tag="h1", keep=["page_id"])
 
