@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,14 +24,20 @@ def impute(df: DataFrame, column: str, method: str, order_by: Sequence[str] | No
     return impute_columns(df, {column: method}, order_by)
 
 
-def impute_columns(df: DataFrame, methods: dict[str, str], order_by: Sequence[str] | None = None) -> DataFrame:
-    """Fill several columns; all means, all medians and all modes take one pass each."""
+def impute_columns(df: DataFrame, methods: dict[str, str], order_by: Sequence[str] | None = None,
+                   known: dict[str, ColumnProfile] | None = None) -> DataFrame:
+    """Fill several columns; all means, all medians and all modes take one pass each.
+
+    A profile of the table saves the pass for the means and the counting for the medians.
+    """
     by_method: dict[str, list[str]] = {m: [c for c, chosen in methods.items() if chosen == m] for m in METHODS}
     values: dict[str, object] = {}
-    if by_method["mean"]:
-        row = df.agg(*[F.avg(F.col(c)).alias(c) for c in by_method["mean"]]).first()
-        values.update(row.asDict())
-    values.update(exact_medians(df, by_method["median"]))
+    if known is not None:
+        values.update({c: known[c].mean for c in by_method["mean"]})
+    elif by_method["mean"]:
+        values.update(df.agg(*[F.avg(F.col(f"`{c}`")).alias(c) for c in by_method["mean"]]).first().asDict())
+    sizes = {c: p.values for c, p in known.items()} if known is not None else None
+    values.update(exact_medians(df, by_method["median"], sizes=sizes))
     values.update(modes(df, by_method["mode"]))
     filled = df.withColumns({c: _fill(df.schema[c], v, methods[c]) for c, v in values.items() if v is not None})
     if by_method["interpolate"]:
@@ -80,14 +87,15 @@ def interpolate_time(df: DataFrame, columns: Sequence[str], order_by: Sequence[s
     rows = layout.join(F.broadcast(borders), PART).withColumn("__p", F.col("__first") + F.col("__local"))
 
     upto = Window.partitionBy(PART).orderBy("__local").rowsBetween(Window.unboundedPreceding, 0)
-    onward = Window.partitionBy(PART).orderBy("__local").rowsBetween(0, Window.unboundedFollowing)
+    # read backwards: a growing frame is linear, a frame shrinking towards the end is not
+    backwards = Window.partitionBy(PART).orderBy(F.desc("__local")).rowsBetween(Window.unboundedPreceding, 0)
     known = {}
     for i in ids:
         point = F.when(F.col(f"__v{i}").isNotNull(), F.struct(F.col("__p").alias("at"), F.col(f"__v{i}").alias("v")))
         before = F.when(F.col(f"pp{i}").isNotNull(), F.struct(F.col(f"pp{i}").alias("at"), F.col(f"pv{i}").alias("v")))
         after = F.when(F.col(f"np{i}").isNotNull(), F.struct(F.col(f"np{i}").alias("at"), F.col(f"nv{i}").alias("v")))
         known[f"__l{i}"] = F.coalesce(F.last(point, ignorenulls=True).over(upto), before)
-        known[f"__r{i}"] = F.coalesce(F.first(point, ignorenulls=True).over(onward), after)
+        known[f"__r{i}"] = F.coalesce(F.last(point, ignorenulls=True).over(backwards), after)
     bounded = rows.withColumns(known)
     out = {c: _interpolated(i, df.schema[c].dataType) for i, c in enumerate(columns)}
     return bounded.withColumns(out).select(*df.columns)
@@ -143,32 +151,51 @@ def _line(i: int) -> str:
     return f"(({total} - pmod({total}, {unit})) div {unit})"
 
 
-def auto_methods(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
-    """Median for skewed numbers, mean for symmetric ones, interpolation for times, mode for the rest."""
-    numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
-    skews = df.agg(*[sample_skewness(c).alias(c) for c in numeric]).first().asDict() if numeric else {}
-    chosen = {}
-    for c in columns:
-        dtype = df.schema[c].dataType
-        if c in skews:
-            chosen[c] = "median" if is_skewed(skews[c]) else "mean"
-        elif isinstance(dtype, _TIME_TYPES):
-            chosen[c] = "interpolate"
-        else:
-            chosen[c] = "mode"
-    return chosen
+@dataclass(frozen=True)
+class ColumnProfile:
+    """What the automatic choice needs to know about a column."""
+
+    dtype: T.DataType
+    values: int
+    nulls: int
+    mean: float | None = None
+    skewness: float | None = None
+
+    @property
+    def null_percent(self) -> float:
+        return 100.0 * self.nulls / max(1, self.values + self.nulls)
+
+    @property
+    def method(self) -> str:
+        """Median for skewed numbers, mean for symmetric ones, interpolation for times, mode for the rest."""
+        if isinstance(self.dtype, T.NumericType):
+            return "median" if is_skewed(self.skewness) else "mean"
+        return "interpolate" if isinstance(self.dtype, _TIME_TYPES) else "mode"
+
+
+def profile(df: DataFrame) -> dict[str, ColumnProfile]:
+    """Null counts of all columns, mean and skewness of the numeric ones, in a single pass."""
+    fields = list(enumerate(df.schema.fields))
+    numeric = [(i, f.name) for i, f in fields if isinstance(f.dataType, T.NumericType)]
+    row = df.agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in fields],
+        *[F.avg(F.col(f"`{c}`")).alias(f"m{i}") for i, c in numeric],
+        *[sample_skewness(c).alias(f"s{i}") for i, c in numeric],
+    ).first().asDict()
+    return {
+        f.name: ColumnProfile(f.dataType, row[f"n{i}"], row["total"] - row[f"n{i}"], row.get(f"m{i}"), row.get(f"s{i}"))
+        for i, f in fields
+    }
 
 
 def handle_nulls(df: DataFrame, threshold: float = 20.0, order_by: Sequence[str] | None = None) -> DataFrame:
     """Drop the columns with more than ``threshold`` percent nulls and fill the others automatically."""
     df = coerce_dates(df)
-    counts = df.agg(
-        F.count(F.lit(1)).alias("__total"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns]
-    ).first()
-    total = counts["__total"]
-    with_nulls = [c for c in df.columns if counts[c] > 0]
-    dropped = [c for c in with_nulls if 100.0 * counts[c] / total > threshold]
+    known = profile(df)
+    with_nulls = {c: p for c, p in known.items() if p.nulls > 0}
+    dropped = [c for c, p in with_nulls.items() if p.null_percent > threshold]
     if order_by and set(dropped) & set(order_by):
         raise ValueError(f"the order columns {order_by} are too sparse to keep")
-    kept = df.drop(*dropped)
-    return impute_columns(kept, auto_methods(kept, [c for c in with_nulls if c not in dropped]), order_by)
+    methods = {c: p.method for c, p in with_nulls.items() if c not in dropped}
+    return impute_columns(df.drop(*dropped), methods, order_by, known)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,10 +80,15 @@ class Patched:
 
 
 def apply_diff(table: DataFrame, diff: TableDiff) -> Patched:
-    """Apply a typed comparison to a table with the same key."""
+    """Apply a typed comparison to a table with the same key.
+
+    Unlike the text form it also carries blank texts of added columns.
+    """
     names = dict((x, y) for x, y in diff.columns.common)
     keys = list(diff.keys)
-    edits = diff.changes_only().select(
+    gains = [F.col("r")[c].isNotNull() for c in diff.columns.added]
+    relevant = reduce(lambda x, y: x | y, gains, F.col("action") != SAME)
+    edits = diff.rows.filter(relevant).select(
         *[c.alias(f"__{k}") for c, k in zip(diff.key_values(), keys)], "action", "changed", "l", "r"
     )
     pending = edits.filter(F.col("action") != INSERT)

@@ -101,7 +101,7 @@ def expand_ranges(df: DataFrame, length: str, name: str, batch: int = 10_000) ->
     inside = F.explode(F.sequence(F.lit(0), (size - 1).cast("int")))
     spread = batches.repartition(*[F.col(f"`{c}`") for c in batches.columns])
     return (
-        spread.withColumn("__i", inside)
-        .withColumn(name, F.col("__batch") * batch + F.col("__i"))
-        .drop("__batch", "__i")
+        spread.withColumn("__within", inside)
+        .withColumn(name, F.col("__batch") * batch + F.col("__within"))
+        .drop("__batch", "__within")
     )

@@ -28,17 +28,19 @@ def is_skewed(value: float | None) -> bool:
     return value is None or abs(value) > _SKEW_ZERO
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], limit: int = MEDIAN_LIMIT) -> dict[str, float | None]:
+def exact_medians(df: DataFrame, columns: Sequence[str], limit: int = MEDIAN_LIMIT,
+                  sizes: dict[str, int] | None = None) -> dict[str, float | None]:
     """Interpolated median of each column.
 
-    One pass counts the values. Columns with at most ``limit`` values get Spark's exact median in a
+    One pass counts the values, unless ``sizes`` gives the counts. Columns with at most ``limit`` values get Spark's exact median in a
     second pass shared by all of them; larger ones are bracketed by quantile sketches, pass by pass,
     until the values around the middle are few.
     """
     if not columns:
         return {}
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)]).first()
-    sizes = {c: counts[f"c{i}"] for i, c in enumerate(columns)}
+    if sizes is None:
+        counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+        sizes = {c: counts[f"c{i}"] for i, c in enumerate(columns)}
     small = [c for c in columns if 0 < sizes[c] <= limit]
     out: dict[str, float | None] = {c: None for c in columns if sizes[c] == 0}
     if small:
@@ -179,9 +181,7 @@ def distinct_counts(a: DataFrame, b: DataFrame, columns: Sequence[str], approxim
             (F.approx_count_distinct("v") + F.max(F.col("v").isNull().cast("long"))).alias("n")
         )
     else:
-        per = both.groupBy("column_name", "place", "side", "v").agg().groupBy("column_name", "place", "side").agg(
-            F.count(F.lit(1)).alias("n")
-        )
+        per = both.distinct().groupBy("column_name", "place", "side").agg(F.count(F.lit(1)).alias("n"))
     wide = per.groupBy("column_name", "place").agg(
         F.coalesce(F.sum(F.when(F.col("side") == "a", F.col("n"))), F.lit(0)).alias("distinct_a"),
         F.coalesce(F.sum(F.when(F.col("side") == "b", F.col("n"))), F.lit(0)).alias("distinct_b"),

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,17 +74,23 @@ class Star:
 
 
 def load_dimensions(news: DataFrame, star: Star = Star()) -> Star:
-    """The dimensions after the load: what was there keeps its key, what is new gets the next ones."""
-    return Star(
-        dim_date=assign_keys(new_dates(news), star.dim_date, "date_id", ["date"]),
-        dim_category=assign_keys(new_names(news, "category"), star.dim_category, "category_id", ["name"]),
-        dim_source_category=assign_keys(
-            new_names(news, "source_category"), star.dim_source_category, "source_category_id", ["name"]
-        ),
-        dim_tag=assign_keys(new_tags(news), star.dim_tag, "tag_id", ["name"]),
-        dim_article=assign_keys(new_articles(news), star.dim_article, "news_id", ["url"]),
-        fact_news=star.fact_news,
-    )
+    """The dimensions after the load: what was there keeps its key, what is new gets the next ones.
+
+    The five loads are independent, so their jobs are submitted side by side.
+    """
+    loads = {
+        "dim_date": (new_dates(news), "date_id", ["date"]),
+        "dim_category": (new_names(news, "category"), "category_id", ["name"]),
+        "dim_source_category": (new_names(news, "source_category"), "source_category_id", ["name"]),
+        "dim_tag": (new_tags(news), "tag_id", ["name"]),
+        "dim_article": (new_articles(news), "news_id", ["url"]),
+    }
+    with ThreadPoolExecutor(max_workers=len(loads)) as pool:
+        running = {
+            name: pool.submit(assign_keys, new, getattr(star, name), key, natural)
+            for name, (new, key, natural) in loads.items()
+        }
+        return replace(star, **{name: job.result() for name, job in running.items()})
 
 
 def _renamed(dim: DataFrame, key: str, natural: str, alias: str) -> DataFrame:
@@ -171,9 +178,7 @@ def load_fact(news: DataFrame, star: Star) -> DataFrame:
 
 def load_star(news: DataFrame, star: Star = Star()) -> Star:
     dims = load_dimensions(news, star)
-    return Star(
-        dims.dim_date, dims.dim_category, dims.dim_source_category, dims.dim_tag, dims.dim_article, load_fact(news, dims)
-    )
+    return replace(dims, fact_news=load_fact(news, dims))
 
 
 def star_extract(star: Star) -> DataFrame:

@@ -13,12 +13,19 @@ from sparkmart.operators.impute import handle_nulls
 from sparkmart.operators.loads import LoadResult, create_as, load_constrained, replace_table
 from sparkmart.operators.quality import Rule, drop_duplicates, validate
 from sparkmart.operators.warehouse import Star, assign_keys, star_extract
+from sparkmart.runtime import materialize
 from sparkmart.sources.markup import headings
 
 
 def clean(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], threshold: float = 25.0) -> DataFrame:
-    """Remove duplicates by key if there are full-row copies, then drop or fill the columns with nulls."""
-    return handle_nulls(drop_duplicates(df, keys, order_by), threshold, order_by)
+    """Remove duplicates by key if there are full-row copies, then drop or fill the columns with nulls.
+
+    The deduplicated table is written once, since several passes over its columns follow.
+    """
+    deduplicated = drop_duplicates(df, keys, order_by)
+    if deduplicated is not df:
+        deduplicated = materialize(deduplicated, "deduplicated")
+    return handle_nulls(deduplicated, threshold, order_by)
 
 
 def clean_and_validate(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], types: dict[str, str],

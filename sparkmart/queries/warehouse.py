@@ -211,7 +211,8 @@ def news_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned
 
 
-_UPPER_HEADINGS = f"SELECT page_id, upper(title) AS title FROM ({HEADING_SQL}) h"
+# the sharp s has no single upper-case letter: it becomes two
+_UPPER_HEADINGS = f"SELECT page_id, upper(replace(title, 'ß', 'ss')) AS title FROM ({HEADING_SQL}) h"
 
 
 @query("etl_news", _UPPER_HEADINGS)

@@ -16,38 +16,38 @@ BATCH = "batch_id"
 
 
 class IncrementalSink:
-    """Appends the rows of each micro-batch whose key the target table does not hold yet.
+    """Appends the rows of each micro-batch whose key the target folder does not hold yet.
 
     A batch writes its own partition of the target, so a batch repeated after a failure replaces what
     it wrote before. Which batches are done is kept in the state table.
     """
 
-    def __init__(self, spark: SparkSession, table: str, schema: T.StructType, key: str, order_by: Sequence[str],
+    def __init__(self, spark: SparkSession, target: str, schema: T.StructType, key: str, order_by: Sequence[str],
                  state: StateTable):
-        self.table, self.key = table, key
+        self.target, self.key, self.schema = target, key, schema
         self.order_by, self.state = list(order_by), state
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {BATCH} bigint) USING parquet PARTITIONED BY ({BATCH})")
+        # an empty partition lets the first batch read the folder
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(self.partition(-1))
+
+    def partition(self, batch_id: int) -> str:
+        return f"{self.target}/{BATCH}={batch_id}"
 
     def rows(self, spark: SparkSession) -> DataFrame:
-        spark.catalog.refreshTable(self.table)
-        return spark.table(self.table)
+        with_batch = T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType())])
+        return spark.read.schema(with_batch).parquet(self.target)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         low, high = batch.agg(F.min(self.key), F.max(self.key)).first()
         if low is None:
             return
         # only the key range of the batch is looked up: other row groups of the target are skipped
-        target = self.rows(batch.sparkSession)
-        held = target.filter((F.col(BATCH) != batch_id) & F.col(self.key).between(low, high)).select(self.key)
-        first = keep_first(batch, [self.key], self.order_by)
-        fresh = first.join(held, self.key, "left_anti").withColumn(BATCH, F.lit(batch_id).cast("long"))
-        (
-            fresh.select(target.columns)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(self.table)
+        held = (
+            self.rows(batch.sparkSession)
+            .filter((F.col(BATCH) != batch_id) & F.col(self.key).between(low, high))
+            .select(self.key)
         )
+        fresh = keep_first(batch, [self.key], self.order_by).join(held, self.key, "left_anti")
+        fresh.select(self.schema.names).write.mode("overwrite").parquet(self.partition(batch_id))
         self.state.set("last_batch", batch_id, seq=batch_id)
 
 
