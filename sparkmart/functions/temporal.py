@@ -2,50 +2,59 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# fixed values: accepted layouts, day first; the first one that fits wins
+# fixed values: accepted layouts, day first, each with the shape of its texts; shapes exclude each other
 DAY_FIRST_FORMATS = (
-    "dd-MM-yyyy",
-    "d-M-yyyy",
-    "d/M/yyyy",
-    "d.M.yyyy",
-    "d MMM yyyy",
-    "d MMMM yyyy",
-    "yyyy-MM-dd",
-    "yyyy/MM/dd",
-    "dd-MM-yyyy HH:mm:ss",
-    "d/M/yyyy HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss",
+    ("d-M-yyyy", r"\d{1,2}-\d{1,2}-\d{4}"),
+    ("d/M/yyyy", r"\d{1,2}/\d{1,2}/\d{4}"),
+    ("d.M.yyyy", r"\d{1,2}\.\d{1,2}\.\d{4}"),
+    ("d MMM yyyy", r"\d{1,2} \p{L}{3} \d{4}"),
+    ("d MMMM yyyy", r"\d{1,2} \p{L}{4,} \d{4}"),
+    ("yyyy-M-d", r"\d{4}-\d{1,2}-\d{1,2}"),
+    ("yyyy/M/d", r"\d{4}/\d{1,2}/\d{1,2}"),
+    ("d-M-yyyy H:mm:ss", r"\d{1,2}-\d{1,2}-\d{4} \d{1,2}:\d{2}:\d{2}"),
+    ("d/M/yyyy H:mm:ss", r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}"),
+    ("yyyy-M-d H:mm:ss", r"\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}"),
 )
 TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd",
-    "dd-MM-yyyy HH:mm:ss",
-    "dd-MM-yyyy",
-    "d/M/yyyy",
+    *DAY_FIRST_FORMATS,
+    ("yyyy-M-d'T'H:mm:ss", r"\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}:\d{2}"),
 )
 DATE_NAME_PARTS = ("date", "timestamp")
 
 
-def parse_day_first(column: str | Column, formats: Sequence[str] = DAY_FIRST_FORMATS) -> Column:
-    """Parse a date text, reading ambiguous values day first; what fits no format is NULL."""
-    return F.coalesce(*[F.try_to_date(column, fmt) for fmt in formats])
+def _by_shape(column: Column, formats: Sequence[tuple[str, str]], parse: Callable[[Column, str], Column]) -> Column:
+    """Parse each text with the one layout whose shape it has, so that no value is tried several times."""
+    text = F.trim(column)
+    chosen = F.lit(None)
+    for fmt, shape in reversed(formats):
+        chosen = F.when(text.rlike(f"^{shape}$"), parse(text, fmt)).otherwise(chosen)
+    return chosen
+
+
+def parse_day_first(column: str | Column, formats: Sequence[tuple[str, str]] = DAY_FIRST_FORMATS) -> Column:
+    """Parse a date text, reading ambiguous values day first; what fits no layout is NULL."""
+    column = F.col(column) if isinstance(column, str) else column
+    return _by_shape(column, formats, F.try_to_date).cast("date")
 
 
 def is_date_name(name: str) -> bool:
     return any(part in name.lower() for part in DATE_NAME_PARTS)
 
 
-def coerce_dates(df: DataFrame, formats: Sequence[str] = TIMESTAMP_FORMATS) -> DataFrame:
+def coerce_dates(df: DataFrame, formats: Sequence[tuple[str, str]] = TIMESTAMP_FORMATS) -> DataFrame:
     """Turn text columns whose name contains 'date' or 'timestamp' into timestamps, bad values into NULL."""
+
+    def parse(text: Column, fmt: str) -> Column:
+        return F.try_to_timestamp(text, F.lit(fmt))
+
     changed = {
-        f.name: F.coalesce(*[F.try_to_timestamp(F.col(f.name), F.lit(fmt)) for fmt in formats]).cast("timestamp_ntz")
+        f.name: _by_shape(F.col(f"`{f.name}`"), formats, parse).cast("timestamp_ntz")
         for f in df.schema.fields
         if is_date_name(f.name) and isinstance(f.dataType, T.StringType)
     }

@@ -21,7 +21,7 @@ def upper_case(column: str | Column) -> Column:
 
 def strip_punctuation(column: str | Column) -> Column:
     """Remove every character that is not a word character or white space (Unicode-aware)."""
-    return F.regexp_replace(column, PUNCTUATION, "")
+    return F.regexp_replace(column, PUNCTUATION + "+", "")
 
 
 def split_list(column: str | Column, separator: str = ",") -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.operators.position import expand_ranges, with_neighbourhood, with_position
+from sparkmart.operators.position import expand_ranges, running_max, with_neighbourhood, with_position
 from sparkmart.runtime import materialize
 
 
@@ -35,14 +35,13 @@ def moved_items(source: Sequence[str], target: Sequence[str]) -> list[str]:
     return moved
 
 
-def moved_rows(pairs: DataFrame, source: str, target: str) -> DataFrame:
+def moved_rows(pairs: DataFrame, source: str, target: str, block: int = 100_000) -> DataFrame:
     """The moved rows of a table of common rows, given the two row-number columns.
 
-    Runs are found in position blocks. A kept run splits the others into those before it and those
-    after it, which are then decided independently, so each round settles all open segments at once.
+    ``block`` is the number of positions a window sees at a time.
     """
     ranked = with_position(with_position(pairs, [source], "__src"), [target], "__dst")
-    blocks = with_neighbourhood(ranked, "__dst", 1)
+    blocks = with_neighbourhood(ranked, "__dst", 1, block)
     previous = F.lag("__src").over(Window.partitionBy("__block").orderBy("__dst"))
     starts = (
         blocks.withColumn("__prev", previous)
@@ -52,45 +51,50 @@ def moved_rows(pairs: DataFrame, source: str, target: str) -> DataFrame:
     numbered = with_position(starts, ["__dst"], "run")
     total = ranked.count()
     following = numbered.select((F.col("run") - 1).alias("run"), F.col("__dst").alias("__end"))
-    runs = (
-        numbered.join(following, "run", "left")
-        .select("run", "__src", "__dst", (F.coalesce("__end", F.lit(total)) - F.col("__dst")).alias("size"))
-        .withColumns({"lo": F.lit(-1).cast("long"), "hi": F.lit(-1).cast("long"), "state": F.lit("open")})
+    runs = numbered.join(following, "run", "left").select(
+        "__src", "__dst", (F.coalesce("__end", F.lit(total)) - F.col("__dst")).alias("size")
     )
-    pending = materialize(runs, "runs")
+    moved = _moved_runs(runs, block)
+    if moved is None:
+        return ranked.limit(0).select(source, target)
+    places = expand_ranges(moved, "size", "__i").select((F.col("__dst") + F.col("__i")).alias("__dst"))
+    return ranked.join(places, "__dst", "left_semi").select(source, target)
+
+
+def _moved_runs(runs: DataFrame, block: int) -> DataFrame | None:
+    """The runs that cross a kept run; None if there are none.
+
+    Within a segment, the longest runs are decided together. Read in target order, such a run is kept
+    exactly if its source place is beyond those of all earlier ones: it then crosses no kept run, and
+    otherwise it crosses the one that is further. A shorter run crosses a kept run exactly if the last
+    kept run before it lies beyond it in the source, or the next kept run after it lies before it.
+    The kept runs cut the segment, and the next round decides all new segments side by side. So there
+    are at most as many rounds as there are different run lengths.
+    """
+    pending = materialize(runs.withColumn("segment", F.lit(-1).cast("long")), "runs")
     decided: list[DataFrame] = []
     while not pending.isEmpty():
-        best = F.min(F.struct(-F.col("size"), F.col("__dst").alias("d"), F.col("__src").alias("s"), F.col("run").alias("r")))
-        anchors = pending.groupBy("lo", "hi").agg(best.alias("anchor"))
-        judged = pending.join(anchors, ["lo", "hi"]).withColumns(
-            {
-                "before_src": F.col("__src") < F.col("anchor.s"),
-                "before_dst": F.col("__dst") < F.col("anchor.d"),
-            }
-        )
-        state = (
-            F.when(F.col("run") == F.col("anchor.r"), "kept")
-            .when(F.col("before_src") != F.col("before_dst"), "moved")
-            .otherwise("open")
+        longest = pending.groupBy("segment").agg(F.max("size").alias("__longest"))
+        judged = pending.join(longest, "segment")
+        top = F.col("size") == F.col("__longest")
+        judged = running_max(judged, "segment", "__dst", F.when(top, F.col("__src")), "__before", block)
+        judged = judged.withColumn("__kept", top & (F.col("__before").isNull() | (F.col("__src") > F.col("__before"))))
+        kept = F.col("__kept")
+        # kept runs increase in source and target alike, so the last one before is the highest one before
+        judged = running_max(judged, "segment", "__dst", F.when(kept, F.col("__dst")), "__cut", block)
+        judged = running_max(judged, "segment", "__dst", F.when(kept, -F.col("__src")), "__after", block, backwards=True)
+        crosses = F.coalesce(F.col("__before") > F.col("__src"), F.lit(False)) | F.coalesce(
+            -F.col("__after") < F.col("__src"), F.lit(False)
         )
         step = materialize(
-            judged.select(
-                "run",
-                "__src",
-                "__dst",
-                "size",
-                F.when(F.col("before_dst"), F.col("lo")).otherwise(F.col("anchor.r")).alias("lo"),
-                F.when(F.col("before_dst"), F.col("anchor.r")).otherwise(F.col("hi")).alias("hi"),
-                state.alias("state"),
+            judged.filter(~kept).select(
+                "__src", "__dst", "size", F.coalesce("__cut", "segment").alias("segment"), crosses.alias("moved")
             ),
             "runs",
         )
-        decided.append(step.filter("state = 'moved'").select("__dst", "size"))
-        pending = step.filter("state = 'open'")
-    if not decided:
-        return ranked.limit(0).select(source, target)
+        decided.append(step.filter("moved").select("__dst", "size"))
+        pending = step.filter("NOT moved").drop("moved")
     moved = decided[0]
     for more in decided[1:]:
         moved = moved.unionByName(more)
-    places = expand_ranges(moved, "size", "__i").select((F.col("__dst") + F.col("__i")).alias("__dst"))
-    return ranked.join(places, "__dst", "left_semi").select(source, target)
+    return None if moved.isEmpty() else moved

@@ -94,6 +94,27 @@ def occurrence_number(df: DataFrame, keys: Sequence[str], order: str, name: str,
     return joined.select(*kept, (numbered["__inside"] + starts["__start"]).alias(name))
 
 
+def running_max(df: DataFrame, group: str, order: str, value: Column, name: str, block: int = 100_000,
+                backwards: bool = False) -> DataFrame:
+    """Add the maximum of ``value`` over the rows before the current one (after it, if ``backwards``).
+
+    A group may hold the whole table, so it is cut into blocks of the ``order`` position: the window runs
+    inside a block, and the maximum of the blocks before it is added from one row per block.
+    """
+    pieces = df.withColumns({"__blk": F.floor(F.col(order) / block), "__val": value})
+    sign = F.desc if backwards else F.asc
+    so_far = Window.unboundedPreceding
+    blocks = Window.partitionBy(group).orderBy(sign("__blk")).rowsBetween(so_far, -1)
+    carried = (
+        pieces.groupBy(group, "__blk")
+        .agg(F.max("__val").alias("__top"))
+        .select(group, "__blk", F.max("__top").over(blocks).alias("__carry"))
+    )
+    inside = Window.partitionBy(group, "__blk").orderBy(sign(order)).rowsBetween(so_far, -1)
+    joined = pieces.withColumn("__inner", F.max("__val").over(inside)).join(carried, [group, "__blk"])
+    return joined.withColumn(name, F.greatest("__inner", "__carry")).select(*df.columns, name)
+
+
 def expand_ranges(df: DataFrame, length: str, name: str, batch: int = 10_000) -> DataFrame:
     """Repeat each row ``length`` times with ``name`` = 0, 1, ...; long repeats are spread over the cluster."""
     batches = df.withColumn("__batch", F.explode(F.expr(f"sequence(0L, (`{length}` - 1) div {batch})")))

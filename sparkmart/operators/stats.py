@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.functions.text import key_part
 
-# an exact percentile keeps all distinct values of its input in one task, so it only ever sees
-# this many values; a larger column is narrowed down around the median first
-MEDIAN_LIMIT = 1_000_000
+# values that are sorted in one task; a larger column is narrowed down around its middle first
+MEDIAN_LIMIT = 100_000
+# rank error of the quantile sketch is 1 / accuracy, far below the margin on either side of the middle
+_SKETCH_ACCURACY, _SKETCH_MARGIN = 2000, 0.005
 _SKEW_ZERO = 1e-12
 
 
@@ -28,65 +29,95 @@ def is_skewed(value: float | None) -> bool:
     return value is None or abs(value) > _SKEW_ZERO
 
 
+@dataclass
+class _Bracket:
+    """Values of a column between ``lo`` and ``hi`` (None: open), among them its middle."""
+
+    size: int
+    lo: float | None = None
+    hi: float | None = None
+    below: int = 0
+    inside: int = 0
+    median: float | None = None
+
+    @property
+    def ranks(self) -> tuple[int, int]:
+        return (self.size - 1) // 2, self.size // 2
+
+    def holds(self, column: Column) -> Column:
+        test = column.isNotNull()
+        if self.lo is not None:
+            test = test & (column >= self.lo)
+        if self.hi is not None:
+            test = test & (column <= self.hi)
+        return test
+
+
 def exact_medians(df: DataFrame, columns: Sequence[str], limit: int = MEDIAN_LIMIT,
                   sizes: dict[str, int] | None = None) -> dict[str, float | None]:
-    """Interpolated median of each column.
+    """Interpolated median of each column, all columns in the same passes.
 
-    One pass counts the values, unless ``sizes`` gives the counts. Columns with at most ``limit`` values get Spark's exact median in a
-    second pass shared by all of them; larger ones are bracketed by quantile sketches, pass by pass,
-    until the values around the middle are few.
+    Columns with at most ``limit`` values are sorted at once. For the others a quantile sketch gives
+    two values close to the middle on either side, a second pass counts exactly how many values lie
+    below and between them, and this repeats until few are left between.
     """
     if not columns:
         return {}
+    names = list(columns)
+    values = {c: F.col(f"`{c}`").cast("double") for c in names}
     if sizes is None:
-        counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)]).first()
-        sizes = {c: counts[f"c{i}"] for i, c in enumerate(columns)}
-    small = [c for c in columns if 0 < sizes[c] <= limit]
-    out: dict[str, float | None] = {c: None for c in columns if sizes[c] == 0}
-    if small:
-        row = df.agg(*[F.median(F.col(f"`{c}`")).alias(f"m{i}") for i, c in enumerate(small)]).first()
-        out.update({c: row[f"m{i}"] for i, c in enumerate(small)})
-    for c in columns:
-        if c not in out:
-            out[c] = _bracketed_median(df, c, sizes[c], limit)
-    return out
-
-
-def _bracketed_median(df: DataFrame, column: str, size: int, limit: int) -> float:
-    values = df.select(F.col(f"`{column}`").cast("double").alias("v")).filter("v IS NOT NULL")
-    low_rank, high_rank = (size - 1) // 2, size // 2
-    middle = [_value_at(values, rank, size, limit) for rank in sorted({low_rank, high_rank})]
-    return sum(middle) / len(middle)
-
-
-def _value_at(values: DataFrame, rank: int, size: int, limit: int) -> float:
-    """The value with ``rank`` values before it in sorted order; ``values`` has a column v."""
-    lo = hi = None  # open ends
-    below, inside = 0, size
-    while inside > limit:
-        window = _between(values, lo, hi)
-        share = (rank - below + 0.5) / inside
-        margin = 0.005
-        a, b = window.agg(
-            F.percentile_approx("v", F.array(F.lit(max(0.0, share - margin)), F.lit(min(1.0, share + margin))), F.lit(2000))
-        ).first()[0]
-        counted = window.agg(
-            F.count_if(F.col("v") < a).alias("lt"), F.count_if(F.col("v").between(a, b)).alias("mid")
-        ).first()
-        target = rank - below
-        if counted["lt"] <= target < counted["lt"] + counted["mid"]:
-            if a == b:
-                return a
-            if counted["mid"] == inside:  # the sketch cannot split further: split at the middle value
-                return _bisect(values, rank, a, b)
-            lo, hi, below, inside = a, b, below + counted["lt"], counted["mid"]
-        elif target < counted["lt"]:
-            hi, inside = math.nextafter(a, -math.inf), counted["lt"]
-        else:
-            skipped = counted["lt"] + counted["mid"]
-            lo, below, inside = math.nextafter(b, math.inf), below + skipped, inside - skipped
-    # at most ``limit`` values are left: exact selection
-    return _between(values, lo, hi).agg(F.sort_array(F.collect_list("v"))[rank - below]).first()[0]
+        row = df.agg(*[F.count(values[c]).alias(f"c{i}") for i, c in enumerate(names)]).first()
+        sizes = {c: row[f"c{i}"] for i, c in enumerate(names)}
+    brackets = {c: _Bracket(sizes[c], inside=sizes[c]) for c in names if sizes[c] > 0}
+    wide = [c for c, b in brackets.items() if b.inside > limit]
+    while wide:
+        _narrow(df, {c: brackets[c] for c in wide}, values)
+        wide = [c for c in wide if brackets[c].median is None and brackets[c].inside > limit]
+    rest = [c for c, b in brackets.items() if b.median is None]
+    if rest:
+        sorted_values = [F.sort_array(F.collect_list(F.when(brackets[c].holds(values[c]), values[c]))) for c in rest]
+        picked = [
+            F.transform(F.array(*[F.lit(r - brackets[c].below) for r in brackets[c].ranks]), _element_of(v))
+            for c, v in zip(rest, sorted_values)
+        ]
+        row = df.agg(*[p.alias(f"m{i}") for i, p in enumerate(picked)]).first()
+        for i, c in enumerate(rest):
+            brackets[c].median = sum(row[f"m{i}"]) / 2
+    return {c: brackets[c].median if c in brackets else None for c in names}
+
+
+def _element_of(array: Column):
+    return lambda index: F.element_at(array, (index + 1).cast("int"))
+
+
+def _narrow(df: DataFrame, brackets: dict[str, _Bracket], values: dict[str, Column]) -> None:
+    """One sketch pass and one counting pass over all still wide columns."""
+    names = list(brackets)
+    sketches = []
+    for i, c in enumerate(names):
+        b = brackets[c]
+        shares = [(r - b.below + 0.5) / b.inside for r in b.ranks]
+        around = [max(0.0, min(shares) - _SKETCH_MARGIN), min(1.0, max(shares) + _SKETCH_MARGIN)]
+        inside = F.when(b.holds(values[c]), values[c])
+        sketches.append(F.percentile_approx(inside, around, _SKETCH_ACCURACY).alias(f"s{i}"))
+    edges = df.agg(*sketches).first()
+    counts = []
+    for i, c in enumerate(names):
+        lo, hi = edges[f"s{i}"]
+        counts += [F.count_if(values[c] < lo).alias(f"b{i}"), F.count_if(values[c].between(lo, hi)).alias(f"n{i}")]
+    counted = df.agg(*counts).first()
+    for i, c in enumerate(names):
+        b, (lo, hi) = brackets[c], edges[f"s{i}"]
+        below, inside = counted[f"b{i}"], counted[f"n{i}"]
+        found = below <= b.ranks[0] and b.ranks[1] < below + inside
+        if found and lo == hi:
+            b.median = lo
+        elif found and inside < b.inside:
+            b.lo, b.hi, b.below, b.inside = lo, hi, below, inside
+        else:  # the sketch cannot cut further: a few values hold almost all rows
+            column = df.select(values[c].alias("v")).filter("v IS NOT NULL")
+            low, high = column.agg(F.min("v"), F.max("v")).first()
+            b.median = sum(_bisect(column, rank, low, high) for rank in b.ranks) / 2
 
 
 def _bisect(values: DataFrame, rank: int, lo: float, hi: float) -> float:
@@ -107,14 +138,6 @@ def _bisect(values: DataFrame, rank: int, lo: float, hi: float) -> float:
     return lo
 
 
-def _between(values: DataFrame, lo: float | None, hi: float | None) -> DataFrame:
-    if lo is not None:
-        values = values.filter(F.col("v") >= lo)
-    if hi is not None:
-        values = values.filter(F.col("v") <= hi)
-    return values
-
-
 def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
     """Most frequent value of each column as text, the smallest one on ties.
 
@@ -123,11 +146,17 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
     """
     if not columns:
         return {}
-    cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns])
+    found = _top_values(df, {c: F.col(f"`{c}`").cast("string") for c in columns})
+    return {c: found.get(c) for c in columns}
+
+
+def _top_values(df: DataFrame, values: dict[str, Column]) -> dict[str, object]:
+    """column -> most frequent value; at most one row per column reaches the driver."""
+    names = list(values)
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), values[c].alias("v")) for i, c in enumerate(names)])
     counted = df.select(F.inline(cells)).filter("v IS NOT NULL").groupBy("c", "v").count()
     top = counted.groupBy("c").agg(F.min(F.struct(-F.col("count"), F.col("v").alias("v")))["v"].alias("v"))
-    found = {row["c"]: row["v"] for row in top.collect()}  # one row per column
-    return {c: found.get(c) for c in columns}
+    return {names[row["c"]]: row["v"] for row in top.collect()}
 
 
 def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -137,7 +166,7 @@ def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         *[F.avg(F.col(c)).alias(f"m{i}") for i, c in enumerate(columns)],
         *[sample_skewness(c).alias(f"s{i}") for i, c in enumerate(columns)],
     ).first()
-    medians = exact_medians(df, columns)
+    medians = exact_medians(df, columns, sizes={c: row[f"n{i}"] for i, c in enumerate(columns)})
     top = _numeric_modes(df, columns)
     lines = [(c, row[f"n{i}"], row[f"m{i}"], medians[c], row[f"s{i}"], top[c]) for i, c in enumerate(columns)]
     return df.sparkSession.createDataFrame(
@@ -146,10 +175,8 @@ def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _numeric_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns])
-    counted = df.select(F.inline(cells)).filter("v IS NOT NULL").groupBy("c", "v").count()
-    top = counted.groupBy("c").agg(F.min(F.struct(-F.col("count"), F.col("v").alias("v")))["v"].alias("v"))
-    return {row["c"]: row["v"] for row in top.collect()}
+    found = _top_values(df, {c: F.col(f"`{c}`").cast("double") for c in columns})
+    return {c: found.get(c) for c in columns}
 
 
 def pass_rate(df: DataFrame, passed: Column, by: Sequence[str] = ()) -> DataFrame:
