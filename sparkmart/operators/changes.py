@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.runtime import materialize
+
 
 def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     """Join condition under which NULL matches NULL."""
@@ -28,16 +30,17 @@ def apply_changes(
 
     ``updates`` holds the condition columns and the columns to set, ``deletes`` the condition
     columns; each combination of condition values occurs once. NULL condition values match NULL.
+    The changes are written first, so that Spark knows their size: a condition may hit a large part of
+    the table, and a small change set is then broadcast instead of gathering those rows by condition.
     """
     out = table
     if deletes is not None:
-        gone = deletes.select(*[F.col(c).alias(f"__{c}") for c in conditions]).distinct()
+        gone = materialize(deletes.select(*[F.col(c).alias(f"__{c}") for c in conditions]).distinct(), "deletes")
         out = out.join(gone, null_safe(out, gone, [(c, f"__{c}") for c in conditions]), "left_anti")
     if updates is not None:
         assigned = [c for c in updates.columns if c not in conditions]
-        new = updates.select(
-            *[F.col(c).alias(f"__{c}") for c in conditions],
-            F.struct(*assigned).alias("__new"),
+        new = materialize(
+            updates.select(*[F.col(c).alias(f"__{c}") for c in conditions], F.struct(*assigned).alias("__new")), "updates"
         )
         joined = out.join(new, null_safe(out, new, [(c, f"__{c}") for c in conditions]), "left")
         hit = F.col("__new").isNotNull()

@@ -19,9 +19,6 @@ from sparkmart.runtime import materialize
 # fixed values: row and column actions
 INSERT, DELETE, UPDATE, GAIN, MOVE, SAME, SKIP = "+++", "---", "->", "+", ":", "", "..."
 
-# duplicate keys are broadcast only up to this many; beyond it they are joined by a shuffle
-BROADCAST_KEYS = 100_000
-
 
 @dataclass(frozen=True)
 class ColumnPairs:
@@ -83,17 +80,15 @@ def split_by_uniqueness(sides: Sequence[DataFrame], names: Sequence[str]) -> tup
         *[F.count_if(F.col("__side") == i).alias(f"n{i}") for i in range(len(sides))]
     )
     repeated = reduce(lambda x, y: x | y, [F.col(f"n{i}") > 1 for i in range(len(sides))]) | _blank_key(names)
-    odd = materialize(counts.filter(repeated).select(*names), "repeated-keys")
-    n = odd.count()
-    if n == 0:
+    # written, so that Spark knows their size: few keys are broadcast, many are joined by a shuffle
+    odd = materialize(counts.filter(repeated).select(*[F.col(k).alias(f"__odd_{k}") for k in names]), "repeated-keys")
+    if odd.isEmpty():
         return list(sides), [None] * len(sides)
-    odd = odd.select(*[F.col(k).alias(f"__odd_{k}") for k in names])
-    small = F.broadcast(odd) if n <= BROADCAST_KEYS else odd
 
     def on(side: DataFrame) -> Column:
-        return reduce(lambda x, y: x & y, [side[k].eqNullSafe(small[f"__odd_{k}"]) for k in names])
+        return reduce(lambda x, y: x & y, [side[k].eqNullSafe(odd[f"__odd_{k}"]) for k in names])
 
-    return [s.join(small, on(s), "left_anti") for s in sides], [s.join(small, on(s), "left_semi") for s in sides]
+    return [s.join(odd, on(s), "left_anti") for s in sides], [s.join(odd, on(s), "left_semi") for s in sides]
 
 
 def pair_rows(a: DataFrame, b: DataFrame, keys: Sequence[str], options: CompareOptions = EXACT,

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.functions.temporal import even_minute, floor_to_minute
+from sparkmart.runtime import materialize
 
 
 def slice_interval(df: DataFrame, ts: str, start: datetime | str, end: datetime | str) -> DataFrame:
@@ -57,8 +58,11 @@ def write_intervals(df: DataFrame, path: str, partition: str = "day") -> None:
 
 
 def readiness(expected: DataFrame, present: DataFrame, ts: str, lag_minutes: int = 2) -> DataFrame:
-    """For each expected time: is its minute, and the one ``lag_minutes`` before, there upstream?"""
-    minutes = present.select(floor_to_minute(ts).alias("minute")).distinct()
+    """For each expected time: is its minute, and the one ``lag_minutes`` before, there upstream?
+
+    The minutes present are few however many rows there are; they are written, so that Spark knows it.
+    """
+    minutes = materialize(present.select(floor_to_minute(ts).alias("minute")).distinct(), "minutes")
     wanted = expected.withColumn("current_minute", floor_to_minute(ts)).withColumn(
         "previous_minute", F.col("current_minute") - F.expr(f"INTERVAL {int(lag_minutes)} MINUTES")
     )

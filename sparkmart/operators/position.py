@@ -36,23 +36,24 @@ def range_layout(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
     return materialize(laid_out, "layout")
 
 
-def partition_offsets(layout: DataFrame, start: int = 0) -> list[tuple[int, int]]:
-    """(partition, first position) pairs; the driver holds one number per range partition."""
-    counts = layout.groupBy(PART).agg((F.max("__local") + 1).alias("n")).orderBy(PART).collect()
-    offsets, running = [], start
-    for row in counts:
-        offsets.append((row[PART], running))
-        running += row["n"]
-    return offsets
+def partition_starts(layout: DataFrame, start: int = 0) -> list[int]:
+    """First position of each partition; the driver holds one number per range partition."""
+    sizes = {r[PART]: r["n"] for r in layout.groupBy(PART).agg((F.max("__local") + 1).alias("n")).collect()}
+    starts, running = [], start
+    for part in range(max(sizes, default=-1) + 1):
+        starts.append(running)
+        running += sizes.get(part, 0)
+    return starts
 
 
 def with_position(df: DataFrame, order_by: Sequence[str | Column], name: str = POS, start: int = 0) -> DataFrame:
     """Add the dense global position of each row in ``order_by`` order, beginning at ``start``."""
     layout = range_layout(df, order_by)
-    offsets = df.sparkSession.createDataFrame(partition_offsets(layout, start), f"{PART} int, __first long")
-    # the offsets table has one row per range partition, so the broadcast is bounded by that number
-    placed = layout.join(F.broadcast(offsets), PART)
-    return placed.withColumn(name, F.col("__first") + F.col("__local")).drop(PART, "__local", "__first")
+    starts = partition_starts(layout, start)
+    # a constant array looked up by partition, not a join: Spark then still knows the size of the result
+    # from its files and can choose how to join it further
+    constant = F.split(F.lit(",".join(map(str, starts or [start]))), ",").cast("array<bigint>")
+    return layout.withColumn(name, F.get(constant, F.col(PART)) + F.col("__local")).drop(PART, "__local")
 
 
 def with_neighbourhood(df: DataFrame, pos: str, reach: int, block: int = 100_000) -> DataFrame:
@@ -70,14 +71,12 @@ def with_neighbourhood(df: DataFrame, pos: str, reach: int, block: int = 100_000
     return df.withColumn("__block", F.explode(spread)).withColumn("__own", F.col("__block") == own)
 
 
-def occurrence_number(df: DataFrame, keys: Sequence[str], order: str, name: str, chunks: int = 512) -> DataFrame:
+def occurrence_number(df: DataFrame, keys: Sequence[str], order: str, name: str, width: int = 1_000_000) -> DataFrame:
     """Number the rows of each key group 0, 1, ... by ``order`` (a dense position column).
 
-    A group may hold most of the table, so it is cut by position range: rows are numbered inside a
-    (key, chunk) piece and the counts of the earlier pieces are added.
+    A group may hold most of the table, so it is cut into chunks of ``width`` positions: rows are
+    numbered inside a (key, chunk) piece and the counts of the earlier pieces are added.
     """
-    top = df.agg(F.max(order)).first()[0]
-    width = max(1, ((top or 0) + chunks) // chunks)
     pieces = df.withColumn("__chunk", F.floor(F.col(order) / width))
     before = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

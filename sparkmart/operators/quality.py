@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from sparkmart.functions.temporal import coerce_dates
 from sparkmart.operators.position import expand_ranges
+from sparkmart.runtime import materialize
 
 
 def concat_reports(reports: Sequence[DataFrame]) -> DataFrame:
@@ -30,11 +31,24 @@ def duplicate_rows(datasets: dict[str, DataFrame]) -> DataFrame:
 
 
 def _duplicates(name: str, df: DataFrame) -> DataFrame:
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("group_size")).filter("group_size > 1")
+    groups = _row_groups(df)
     copies = expand_ranges(groups.withColumn("__extra", F.col("group_size") - 1), "__extra", "__copy")
     return copies.select(F.lit(name).alias("dataset"), *df.columns, "group_size")
 
 
+def _row_groups(df: DataFrame) -> DataFrame:
+    """The rows that occur more than once, each once, with ``group_size``.
+
+    All rows are compared by a hash first, so only eight bytes per row are shuffled; the rows whose hash
+    repeats are then grouped by their values. The repeated hashes are written, so that Spark knows
+    their number when it joins them.
+    """
+    hashed = df.withColumn("__hash", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    counts = hashed.groupBy("__hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__hash")
+    suspects = hashed.join(materialize(counts, "repeated-hashes"), "__hash", "left_semi")
+    return suspects.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("group_size")).filter("group_size > 1")
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
     """The first row of each key group in ``order_by`` order (its columns, then all others).
 
@@ -50,8 +64,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str]
 
 def drop_duplicates(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
     """Keep the first row per key, but only if the table has full-row duplicates at all."""
-    repeated = df.groupBy(*df.columns).count().filter("count > 1").limit(1)
-    return df if repeated.isEmpty() else keep_first(df, keys, order_by)
+    return df if _row_groups(df).isEmpty() else keep_first(df, keys, order_by)
 
 
 def null_report(datasets: dict[str, DataFrame]) -> DataFrame:

@@ -66,7 +66,7 @@ def read_workbook(spark: SparkSession, path: str, tables: Sequence[str] | None =
     wanted = set(tables) if tables is not None else None
     headers = {
         row["name"]: row["columns"]
-        for row in sheets.select("name", "columns").collect()
+        for row in sheets.groupBy("name").agg(F.min("columns").alias("columns")).collect()  # one row per table
         if wanted is None or row["name"] in wanted
     }
     out = {}

@@ -34,7 +34,7 @@ def test_occurrence_number_numbers_each_key_by_position(spark):
     for pos, k in enumerate(keys):
         want[pos] = seen.get(k, 0)
         seen[k] = want[pos] + 1
-    out = occurrence_number(df, ["k"], "pos", "nth", chunks=16).collect()
+    out = occurrence_number(df, ["k"], "pos", "nth", width=31).collect()
     assert {r["pos"]: r["nth"] for r in out} == want
 
 
