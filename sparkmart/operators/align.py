@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions.comparison import EXACT, CompareOptions
 from sparkmart.functions.text import key_part
+from sparkmart.operators.diff import TableDiff, classify
 from sparkmart.operators.position import occurrence_number, with_position
 from sparkmart.operators.stats import column_subsets, distinct_counts
 from sparkmart.runtime import materialize
@@ -191,6 +192,13 @@ def pair_by_content(a: DataFrame, b: DataFrame, position: str, columns: Sequence
     return linked.join(right, "r_pos", "full_outer").select("l", "r")
 
 
+def diff_without_key(a: DataFrame, b: DataFrame, position: str, columns: Sequence[str] | None = None,
+                     options: CompareOptions = EXACT) -> TableDiff:
+    """Comparison of two tables whose rows are paired by content; ``position`` is their row number."""
+    rows = pair_by_content(a, b, position, columns, options)
+    return classify(rows, a, b, (), options, position=position)
+
+
 def with_row_number(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     """Add the dense row number that :func:`align_rows` and the context view need."""
     return with_position(df, order_by, name=name)

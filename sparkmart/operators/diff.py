@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from sparkmart.functions.comparison import EXACT, CompareOptions
 from sparkmart.functions.text import key_part
-from sparkmart.operators.moves import moved_items
+from sparkmart.operators.moves import moved_items, moved_rows
 from sparkmart.operators.position import with_neighbourhood, with_position
 from sparkmart.runtime import materialize
 
@@ -138,9 +138,7 @@ class TableDiff:
 
     def only(self, *actions: str) -> "TableDiff":
         """Keep the rows with these actions, as the insert / delete / update filters do."""
-        return TableDiff(
-            self.rows.filter(F.col("action").isin(*actions)), self.columns, self.keys, self.a, self.b, self.options, self.renames
-        )
+        return replace(self, rows=self.rows.filter(F.col("action").isin(*actions)))
 
     def row_actions(self) -> DataFrame:
         """(key, action, changed columns as text) of every row."""
@@ -206,8 +204,11 @@ class TableDiff:
         ]
         return self.changes_only().select("action", *cells)
 
-    def summary(self, reordered_rows: int = 0) -> DataFrame:
-        """Counts of row and column changes, initial and final sizes, and whether anything differs."""
+    def summary(self) -> DataFrame:
+        """Counts of row and column changes, initial and final sizes, and whether anything differs.
+
+        Reordered rows are counted after :meth:`with_moves`.
+        """
         schema = schema_diff(self.a, self.b, self.renames)
         inserts = sum(e.action.endswith(INSERT) for e in schema)
         deletes = sum(e.action.endswith(DELETE) for e in schema)
@@ -219,7 +220,7 @@ class TableDiff:
             F.count_if(F.col("action") == INSERT).alias("row_inserts"),
             F.count_if(F.col("action") == DELETE).alias("row_deletes"),
             F.count_if(F.col("action") == UPDATE).alias("row_updates"),
-            F.lit(reordered_rows).cast("long").alias("row_reorders"),
+            (F.count_if("moved") if "moved" in self.rows.columns else F.lit(0).cast("long")).alias("row_reorders"),
             F.lit(inserts).cast("long").alias("col_inserts"),
             F.lit(deletes).cast("long").alias("col_deletes"),
             col_updates.alias("col_updates"),
@@ -245,6 +246,18 @@ class TableDiff:
         )
         return self.changes_only().select(link.alias("rows"), *self.key_values(), "action")
 
+    def with_moves(self, position: str) -> "TableDiff":
+        """Mark rows that changed place: otherwise unchanged ones get the action ``:``, and ``moved`` is set on all."""
+        l_pos, r_pos = self.positions(position)
+        both = self.rows.filter("l IS NOT NULL AND r IS NOT NULL")
+        moved = moved_rows(both.select(l_pos.alias("__l"), r_pos.alias("__r")), "__l", "__r")
+        places = materialize(moved.select(F.col("__r").alias("__moved_to")), "moved")
+        marked = self.rows.join(places, r_pos == F.col("__moved_to"), "left").withColumn(
+            "moved", F.col("__moved_to").isNotNull() & F.col("l").isNotNull()
+        )
+        action = F.when(F.col("moved") & F.col("action").isin(SAME, GAIN), MOVE).otherwise(F.col("action"))
+        return replace(self, rows=marked.withColumn("action", action).drop("__moved_to"))
+
     def with_context(self, position: str, context: int) -> DataFrame:
         """Changed rows, unchanged ones within ``context`` rows of a change, and ``...`` where rows are left out.
 

@@ -447,6 +447,48 @@ def _auto_sql() -> str:
     return f"WITH {','.join(parts)} SELECT l_pos, r_pos FROM p{len(subsets)}"
 
 
+@query(
+    "diff_keyless",
+    f"""
+    WITH p AS ({_auto_sql()}), {fx.VERSION_CTES},
+    a AS (SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS pos, * EXCLUDE (c_custkey) FROM parent),
+    b AS (SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS pos, * EXCLUDE (c_custkey) FROM remote),
+    j AS (SELECT x.pos AS xp, y.pos AS yp, x.c_name IS DISTINCT FROM y.c_name OR x.c_nationkey IS DISTINCT FROM y.c_nationkey
+                 OR x.c_acctbal IS DISTINCT FROM y.c_acctbal OR x.c_mktsegment IS DISTINCT FROM y.c_mktsegment AS differs
+          FROM a x LEFT JOIN p ON x.pos = p.l_pos FULL JOIN b y ON p.r_pos = y.pos)
+    SELECT count(*) FILTER (xp IS NULL) AS row_inserts, count(*) FILTER (yp IS NULL) AS row_deletes,
+           count(*) FILTER (xp IS NOT NULL AND yp IS NOT NULL AND differs) AS row_updates FROM j
+    """,
+)
+def diff_keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changed between two tables without a key."""
+    a, b = _numbered(spark, sf_dir)
+    found = align.diff_without_key(a.drop("c_custkey"), b.drop("c_custkey"), "row_no")
+    return found.summary().select("row_inserts", "row_deletes", "row_updates")
+
+
+@query(
+    "diff_reordered",
+    """
+    WITH t AS (SELECT max(o_orderkey) * 9 // 10 AS cut FROM orders)
+    SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 7 THEN '->' WHEN o_orderkey > cut THEN ':' ELSE '' END AS action,
+           o_orderkey > cut AS moved
+    FROM orders, t
+    """,
+)
+def diff_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last tenth of the orders went to the front, and some statuses changed."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    cut = orders.agg(F.expr("max(o_orderkey) * 9 div 10")).first()[0]
+    changed = orders.withColumn(
+        "o_orderstatus", F.when(F.col("o_orderkey") % 100 == 7, "changed").otherwise(F.col("o_orderstatus"))
+    )
+    a = with_position(orders, ["o_orderkey"], "row_no")
+    b = with_position(changed, [(F.col("o_orderkey") <= cut).cast("int"), "o_orderkey"], "row_no")
+    found = diff.diff(a, b, ["o_orderkey"], position="row_no").with_moves("row_no")
+    return found.rows.select(*found.key_values(), "action", "moved")
+
+
 @query("diff_auto", _auto_sql())
 def diff_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows paired without a key, by whatever columns identify them."""
