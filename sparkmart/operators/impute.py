@@ -131,7 +131,7 @@ def _carry(summary, ids) -> list[tuple]:
 
 def _interpolated(i: int, dtype: T.DataType) -> Column:
     """Seconds of the line between two known points, in exact integer arithmetic."""
-    known = f"((__l{i}.v - pmod(__l{i}.v, 1000000L)) div 1000000L)"
+    known = _floor_div(f"__l{i}.v", "1000000L")
     seconds = F.expr(
         f"CASE WHEN __l{i} IS NULL THEN NULL WHEN __r{i} IS NULL OR __r{i}.at = __l{i}.at THEN {known} ELSE {_line(i)} END"
     )
@@ -141,14 +141,26 @@ def _interpolated(i: int, dtype: T.DataType) -> Column:
     return stamp.cast(dtype)
 
 
+def _floor_div(x: str, d: str) -> str:
+    return f"((({x}) - pmod({x}, {d})) div ({d}))"
+
+
 def _line(i: int) -> str:
-    steps = f"CAST(__r{i}.at - __l{i}.at AS DECIMAL(15,0))"
-    total = (
-        f"(CAST(__l{i}.v AS DECIMAL(19,0)) * {steps}"
-        f" + CAST(__r{i}.v - __l{i}.v AS DECIMAL(19,0)) * CAST(__p - __l{i}.at AS DECIMAL(15,0)))"
-    )
-    unit = f"({steps} * CAST(1000000 AS DECIMAL(7,0)))"
-    return f"(({total} - pmod({total}, {unit})) div {unit})"
+    """Whole seconds at the current position; in long arithmetic where it cannot overflow, else in decimals.
+
+    With the known second ``s`` and the rest ``u`` of the left point this is
+    ``s + floor((u * steps + rise * done) / (steps * 1000000))``.
+    """
+    steps, done = f"(__r{i}.at - __l{i}.at)", f"(__p - __l{i}.at)"
+    rise, rest = f"(__r{i}.v - __l{i}.v)", f"pmod(__l{i}.v, 1000000L)"
+
+    def beyond(cast: str) -> str:
+        n, d, r, u = (f"CAST({x} AS {cast})" for x in (steps, done, rise, rest))
+        return _floor_div(f"{u} * {n} + {r} * {d}", f"{n} * CAST(1000000 AS {cast})")
+
+    fits = f"(abs{rise} + 1000000L) < (9000000000000000000L div {steps})"
+    second = _floor_div(f"__l{i}.v", "1000000L")
+    return f"({second} + CASE WHEN {fits} THEN {beyond('BIGINT')} ELSE {beyond('DECIMAL(19,0)')} END)"
 
 
 @dataclass(frozen=True)

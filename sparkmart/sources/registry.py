@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 try:
@@ -25,6 +27,16 @@ def table_names(declaration: dict) -> dict[str, list[str]]:
     }
 
 
+def table_set(spark: SparkSession, database: str, only: Sequence[str] | None = None,
+              renames: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The tables of a database by name, limited to ``only`` and renamed by old -> new, as table sets are compared."""
+    renames = renames or {}
+    names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
+    return {
+        renames.get(n, n): spark.table(f"{database}.{n}") for n in sorted(names) if only is None or n in only
+    }
+
+
 def register_sources(spark: SparkSession, declaration: dict, locations: dict[str, str]) -> dict[tuple[str, str], DataFrame]:
     """Bind every declared table to its parquet folder and expose it as the view ``source__table``."""
     bound = {}

@@ -119,6 +119,14 @@ def test_registered_sources(spark):
     assert spark.table("shop__items").count() == 3
 
 
+def test_table_sets(spark):
+    database = scratch_database(spark)
+    for name in ("a", "b", "c"):
+        loads.replace_table(spark.range(2), f"{database}.{name}")
+    assert set(registry.table_set(spark, database)) == {"a", "b", "c"}
+    assert set(registry.table_set(spark, database, ["a", "b"], {"b": "z"})) == {"a", "z"}
+
+
 def test_incremental_load_modes(spark):
     table = f"{scratch_database(spark)}.posts"
     df = spark.range(1, 6).withColumnRenamed("id", "id")

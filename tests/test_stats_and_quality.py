@@ -1,6 +1,6 @@
 import random
 import statistics
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pandas as pd
 import pytest
@@ -117,6 +117,18 @@ def test_interpolation_matches_pandas(spark):
     assert [None if pd.isna(w) else w.to_pydatetime() for w in want] == out
 
 
+def test_long_gaps_are_interpolated_exactly(spark):
+    first, last, steps = datetime(1969, 12, 30, 23, 59, 58, 700000), datetime(2039, 6, 1, 12, 30, 1), 20_000
+    df = spark.range(steps + 1).withColumn(
+        "t", F.when(F.col("id") == 0, F.lit(first)).when(F.col("id") == steps, F.lit(last)).cast("timestamp_ntz")
+    )
+    filled = {r["id"]: r["t"] for r in impute.impute(df, "t", "interpolate", ["id"]).collect()}
+    epoch, micro = datetime(1970, 1, 1), timedelta(microseconds=1)
+    a, b = (first - epoch) // micro, (last - epoch) // micro
+    for i in range(0, steps + 1, 371):
+        assert filled[i] == epoch + timedelta(seconds=(a * steps + (b - a) * i) // (steps * 1_000_000))
+
+
 def test_pass_rate_of_the_review_report(spark):
     df = spark.createDataFrame([(i < 22,) for i in range(32)], "passed boolean")
     row = stats.pass_rate(df, F.col("passed")).first()
