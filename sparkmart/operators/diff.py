@@ -47,8 +47,9 @@ def key_columns(tables: Sequence[DataFrame], keys: Sequence[Sequence[str]], opti
     """Comparable key expressions per table.
 
     Numbers and times of equal type are used as they are. Texts are normalised: blank keys (null, '',
-    'null', 'undefined') are all the same.
+    'null', 'undefined') are all the same, and NULL where the key is a single column.
     """
+    alone = len(keys[0]) == 1
     out: list[list[Column]] = [[] for _ in tables]
     for place in range(len(keys[0])):
         types = [t.schema[k[place]].dataType for t, k in zip(tables, keys)]
@@ -56,15 +57,22 @@ def key_columns(tables: Sequence[DataFrame], keys: Sequence[Sequence[str]], opti
         for i, (table, k) in enumerate(zip(tables, keys)):
             column = F.col(f"`{k[place]}`")
             text = key_part(column, options.ignore_whitespace, options.ignore_case)
+            text = F.nullif(text, F.lit("")) if alone else text
             out[i].append((column if plain else text).alias(f"__k{place}"))
     return out
 
 
 def _blank_key(names: Sequence[str]) -> Column:
     """A one-column key that is blank never pairs."""
-    if len(names) > 1:
-        return F.lit(False)
-    return F.col(names[0]).isNull() | (F.col(names[0]).cast("string") == "")
+    return F.lit(False) if len(names) > 1 else F.col(names[0]).isNull()
+
+
+def same_key(pairs: Sequence[tuple[str, str]]) -> Column:
+    """Join condition on the key. A single column needs no null-safe test, which leaves the plain column
+    as join key, so that tables already bucketed or partitioned by it are not shuffled again."""
+    if len(pairs) == 1:
+        return F.col(pairs[0][0]) == F.col(pairs[0][1])
+    return reduce(lambda x, y: x & y, [F.col(x).eqNullSafe(F.col(y)) for x, y in pairs])
 
 
 def split_by_uniqueness(sides: Sequence[DataFrame], names: Sequence[str]) -> tuple[list[DataFrame], list[DataFrame | None]]:
@@ -106,8 +114,8 @@ def pair_rows(a: DataFrame, b: DataFrame, keys: Sequence[str], options: CompareO
         (one_l, one_r), (many_l, many_r) = (left, right), (None, None)
     else:
         (one_l, one_r), (many_l, many_r) = split_by_uniqueness([left, right], names)
-    on = reduce(lambda x, y: x & y, [one_l[k].eqNullSafe(one_r[k]) for k in names])
-    paired = one_l.join(one_r, on, "full_outer").select("l", "r")
+    one_r = one_r.select(*[F.col(k).alias(f"r{k}") for k in names], "r")
+    paired = one_l.join(one_r, same_key([(k, f"r{k}") for k in names]), "full_outer").select("l", "r")
     if many_l is None:
         return paired
     return paired.unionByName(many_l.select("l"), allowMissingColumns=True).unionByName(

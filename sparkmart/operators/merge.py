@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.functions.comparison import EXACT, CompareOptions
-from sparkmart.operators.diff import DELETE, GAIN, INSERT, SAME, UPDATE, key_columns, split_by_uniqueness
+from sparkmart.operators.diff import DELETE, GAIN, INSERT, SAME, UPDATE, key_columns, same_key, split_by_uniqueness
 
 # fixed values: the conflict action and the text of a conflicting cell
 CONFLICT = "!->"
@@ -21,8 +21,8 @@ def align_three(parent: DataFrame, local: DataFrame, remote: DataFrame, keys: Se
                 options: CompareOptions = EXACT) -> DataFrame:
     """Rows ``(p, l, r)`` by key. Keys that repeat in a table do not pair and stay alone.
 
-    The three tables meet in one shuffle: they are stacked and grouped by key, where each table has at
-    most one row left per key.
+    The distinct keys of the three tables are the spine; each table is joined to it once. The joins share
+    one partitioning and order by key, so each wide table is shuffled and sorted once.
     """
     tables, tags = [parent, local, remote], ["p", "l", "r"]
     names = [f"__k{i}" for i in range(len(keys))]
@@ -31,8 +31,11 @@ def align_three(parent: DataFrame, local: DataFrame, remote: DataFrame, keys: Se
         t.select(*k, F.struct(*[F.col(f"`{c}`") for c in t.columns]).alias(tag)) for t, k, tag in zip(tables, keyed, tags)
     ]
     single, repeated = split_by_uniqueness(sides, names)
-    stacked = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), single)
-    rows = stacked.groupBy(*names).agg(*[F.first(tag, ignorenulls=True).alias(tag) for tag in tags]).select(*tags)
+    rows = reduce(lambda x, y: x.unionByName(y), [s.select(*names) for s in single]).distinct()
+    for side, tag in zip(single, tags):
+        named = side.select(*[F.col(k).alias(f"{tag}{k}") for k in names], tag)
+        rows = rows.join(named, same_key([(k, f"{tag}{k}") for k in names]), "left")
+    rows = rows.select(*tags)
     for side, tag in zip(repeated, tags):
         if side is not None:
             rows = rows.unionByName(side.select(tag), allowMissingColumns=True)
