@@ -128,9 +128,10 @@ _SUMMARY = """
     "diff_summary",
     f"""
     WITH {fx.VERSION_CTES}
-    SELECT {_SUMMARY}, 0 AS row_reorders, 1 AS col_inserts, 1 AS col_deletes, 2 AS col_updates, 0 AS col_renames, 1 AS col_reorders,
-           count(p.c_custkey) AS row_count_initial, count(r.c_custkey) AS row_count_final, 5 AS col_count_initial,
-           5 AS col_count_final, true AS different
+    SELECT {_SUMMARY}, CAST(0 AS BIGINT) AS row_reorders, CAST(1 AS BIGINT) AS col_inserts, CAST(1 AS BIGINT) AS col_deletes,
+           CAST(2 AS BIGINT) AS col_updates, CAST(0 AS BIGINT) AS col_renames, CAST(1 AS BIGINT) AS col_reorders,
+           count(p.c_custkey) AS row_count_initial, count(r.c_custkey) AS row_count_final, CAST(5 AS BIGINT) AS col_count_initial,
+           CAST(5 AS BIGINT) AS col_count_final, true AS different
     FROM parent p FULL JOIN wide r ON p.c_custkey = r.c_custkey
     """,
 )
@@ -285,7 +286,8 @@ def tables_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
     "diff_tables",
     f"""
     WITH {fx.VERSION_CTES}
-    SELECT 'customer' AS table_name, '' AS action, {_SUMMARY}, 1 AS col_inserts, 1 AS col_deletes, 2 AS col_updates
+    SELECT 'customer' AS table_name, '' AS action, {_SUMMARY}, CAST(1 AS BIGINT) AS col_inserts, CAST(1 AS BIGINT) AS col_deletes,
+           CAST(2 AS BIGINT) AS col_updates
     FROM parent p FULL JOIN wide r ON p.c_custkey = r.c_custkey
     UNION ALL SELECT 'part', '---', 0, count(*), 0, 0, 6, 0 FROM part
     UNION ALL SELECT 'orders', '+++', count(*), 0, 0, 6, 0, 0 FROM orders

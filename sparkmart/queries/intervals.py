@@ -90,7 +90,9 @@ def interval_macros(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT user_id, arg_max(date_trunc('minute', ts), ts) AS interval_start FROM events GROUP BY user_id",
 )
 def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = table(spark, sf_dir, "events").withColumn("interval_start", temporal.floor_to_minute("ts"))
+    runs = table(spark, sf_dir, "events").withColumn(
+        "interval_start", temporal.floor_to_minute("ts").cast("timestamp_ntz")
+    )
     return intervals.latest_run(runs, ["user_id"], "ts", "interval_start", "event_id")
 
 

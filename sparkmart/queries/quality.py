@@ -244,7 +244,7 @@ def _distinct_line(i: int, column: str) -> str:
     + """)
     SELECT column_name, CAST(distinct_a AS BIGINT) AS distinct_a, CAST(distinct_b AS BIGINT) AS distinct_b,
            CAST(distinct_a + distinct_b AS BIGINT) AS distinct_total,
-           row_number() OVER (ORDER BY distinct_a + distinct_b DESC, place) AS rank FROM c
+           CAST(row_number() OVER (ORDER BY distinct_a + distinct_b DESC, place) AS INTEGER) AS rank FROM c
     """,
 )
 def key_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,10 +37,21 @@ def normalize(rows, columns):
     return sorted(columns), sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+# DuckDB type of each Spark type
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
+
 def compare(spark_df, con, sql: str) -> str | None:
-    """None if equal, else what differs."""
+    """None if columns, types and rows are equal, else what differs."""
     cursor = con.execute(sql)
     want_cols = [d[0] for d in cursor.description]
+    want_types = {d[0]: str(d[1]) for d in cursor.description}
+    wrong = [(c, t, want_types.get(c)) for c, t in spark_df.dtypes if TYPES.get(t) != want_types.get(c)]
+    if wrong:
+        return f"types {wrong}"
     want = normalize(cursor.fetchall(), want_cols)
     got = normalize([tuple(r) for r in spark_df.collect()], spark_df.columns)
     if got[0] != want[0]:
