@@ -266,18 +266,19 @@ class TableDiff:
         action = F.when(F.col("moved") & F.col("action").isin(SAME, GAIN), MOVE).otherwise(F.col("action"))
         return replace(self, rows=marked.withColumn("action", action).drop("__moved_to"))
 
+    def in_merged_order(self, position: str, name: str = "row_order") -> DataFrame:
+        """All rows numbered by target position, deleted rows by their source position and before the row there."""
+        l_pos, r_pos = self.positions(position)
+        placed = self.rows.withColumns({"__at": F.coalesce(r_pos, l_pos), "__side": F.col("r").isNotNull()})
+        return with_position(placed, ["__at", "__side"], name=name).drop("__at", "__side")
+
     def with_context(self, position: str, context: int) -> DataFrame:
         """Changed rows, unchanged ones within ``context`` rows of a change, and ``...`` where rows are left out.
 
-        Rows are ordered by target position (deleted rows by source position). The distance to a change is
-        found inside position blocks that overlap by ``context + 1`` rows, so no window spans the table.
+        Rows are in merged order. The distance to a change is found inside position blocks that overlap by
+        ``context + 1`` rows, so no window spans the table.
         """
-        l_pos, r_pos = self.positions(position)
-        ordered = with_position(
-            self.rows.withColumns({"__at": F.coalesce(r_pos, l_pos), "__side": F.col("r").isNotNull()}),
-            ["__at", "__side"],
-            name="__order",
-        )
+        ordered = self.in_merged_order(position, "__order")
         first = ordered.filter(F.col("action") != SAME).agg(F.min("__order")).first()[0]
         if first is None:
             return ordered.limit(0).select(F.col("__order").alias("row_order"), *self.key_values(), "action")

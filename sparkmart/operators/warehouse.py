@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.functions.temporal import date_parts, parse_day_first
@@ -39,7 +39,13 @@ def assign_keys(new: DataFrame, existing: DataFrame | None, key: str, natural: S
 
 def _dated(news: DataFrame) -> DataFrame:
     """Rows that have a readable date, with it parsed; the others take no part in the load."""
-    return news.withColumn("date", parse_day_first("updated")).filter("date IS NOT NULL")
+    return news.withColumn("date", publication_day(news)).filter("date IS NOT NULL")
+
+
+def publication_day(news: DataFrame) -> Column:
+    """The day of ``updated``: parsed from a text, or taken from the time that cleaning made of it."""
+    is_text = dict(news.dtypes)["updated"] == "string"
+    return parse_day_first("updated") if is_text else F.col("updated").cast("date")
 
 
 def new_dates(news: DataFrame) -> DataFrame:
@@ -103,7 +109,7 @@ def lookup(news: DataFrame, star: Star) -> DataFrame:
     Dimensions are joined without a hint: Spark broadcasts those whose measured size allows it, and
     splits skewed partitions of the others.
     """
-    dated = news.withColumn("date", parse_day_first("updated"))
+    dated = news.withColumn("date", publication_day(news))
     found = (
         dated.join(_renamed(star.dim_category, "category_id", "name", "category"), "category", "left")
         .join(
@@ -142,8 +148,8 @@ def pagination_flag(news: DataFrame) -> Column:
 FACT_KEYS = ["news_id", "date_id", "category_id", "source_category_id", "tag_id"]
 
 
-def load_fact(news: DataFrame, star: Star) -> DataFrame:
-    """The fact after the load: one row per article, date, category, source category and tag.
+def new_facts(news: DataFrame, star: Star) -> DataFrame:
+    """The fact rows the load adds: one per article, date, category, source category and tag.
 
     The first row to arrive wins, a row without tags gives none, and keys the fact already holds are
     left alone. Copies are removed by natural key before any lookup, so a heavily repeated article
@@ -171,9 +177,46 @@ def load_fact(news: DataFrame, star: Star) -> DataFrame:
         .join(star.dim_article.select("news_id", "url"), "url")
         .select(*FACT_KEYS, "is_live", "in_pagination")
     )
-    if star.fact_news is None:
-        return rows
-    return star.fact_news.unionByName(insert_absent(rows, star.fact_news, FACT_KEYS))
+    return insert_absent(rows, star.fact_news, FACT_KEYS)
+
+
+def load_fact(news: DataFrame, star: Star) -> DataFrame:
+    """The fact after the load."""
+    added = new_facts(news, star)
+    return added if star.fact_news is None else star.fact_news.unionByName(added)
+
+
+DIMENSION_KEYS = {
+    "dim_date": "date_id",
+    "dim_category": "category_id",
+    "dim_source_category": "source_category_id",
+    "dim_tag": "tag_id",
+    "dim_article": "news_id",
+}
+
+
+def read_star(spark: SparkSession, database: str) -> Star:
+    """The star as stored in a database; tables that do not exist yet are None."""
+    names = [*DIMENSION_KEYS, "fact_news"]
+    return Star(**{n: spark.table(f"{database}.{n}") for n in names if spark.catalog.tableExists(f"{database}.{n}")})
+
+
+def load_star_tables(news: DataFrame, database: str) -> Star:
+    """Load news into the star of a database: dimensions first, then the fact, each by appending what is new.
+
+    A load that broke off is completed by running it again, and a repeated load adds nothing.
+    """
+    spark = news.sparkSession
+    before = read_star(spark, database)
+    after = load_dimensions(news, before)
+    for name, key in DIMENSION_KEYS.items():
+        known = getattr(before, name)
+        highest = (known.agg(F.max(key)).first()[0] if known is not None else None) or 0
+        added = getattr(after, name).filter(F.col(key) > highest)
+        added.write.mode("append").format("parquet").saveAsTable(f"{database}.{name}")
+    stored = read_star(spark, database)
+    new_facts(news, stored).write.mode("append").format("parquet").saveAsTable(f"{database}.fact_news")
+    return read_star(spark, database)
 
 
 def load_star(news: DataFrame, star: Star = Star()) -> Star:

@@ -12,9 +12,11 @@ from sparkmart.functions.text import strip_punctuation, upper_case
 from sparkmart.operators.impute import handle_nulls
 from sparkmart.operators.loads import LoadResult, create_as, load_constrained, replace_table
 from sparkmart.operators.quality import Rule, drop_duplicates, validate
-from sparkmart.operators.warehouse import Star, assign_keys, star_extract
+from sparkmart.operators.warehouse import Star, assign_keys, load_star_tables, star_extract
 from sparkmart.runtime import materialize
+from sparkmart.sources.files import read_csv, read_parquet
 from sparkmart.sources.markup import headings
+from sparkmart.sources.sinks import write_staging
 
 
 def clean(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], threshold: float = 25.0) -> DataFrame:
@@ -35,6 +37,16 @@ def clean_and_validate(df: DataFrame, keys: Sequence[str], order_by: Sequence[st
     return cleaned, validate({name: cleaned}, types, ranges)
 
 
+def load_news(spark: SparkSession, source: str, schema: str, staging: str, database: str) -> Star:
+    """The whole flow: CSV to a staging file, cleaned, loaded into the star of a database.
+
+    The rows need a ``seq`` column with their order of arrival.
+    """
+    write_staging(read_csv(spark, source, schema), staging)
+    cleaned = clean(read_parquet(spark, staging), ["url"], ["seq"])
+    return load_star_tables(materialize(cleaned, "cleaned"), database)
+
+
 def etl_headings(pages: DataFrame, table: str, tag: str, keep: Sequence[str] = ()) -> LoadResult:
     """Extract headings, transform them in flight, load the result."""
     titles = headings(pages, tag=tag, keep=keep)

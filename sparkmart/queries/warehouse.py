@@ -139,11 +139,12 @@ def fact_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fact_news_reload", f"WITH {_TWO_LOADS} SELECT * FROM fact")
 def fact_news_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The older half of the news is loaded, then all of it: only what is new is added."""
+    """The older half of the news is loaded into tables, then all of it: only what is new is added."""
     news = fx.news(spark, sf_dir)
     middle = table(spark, sf_dir, "documents").agg(F.expr("max(doc_id) div 2")).first()[0]
-    first = _stored(wh.load_star(news.filter(F.col("seq") <= middle)))
-    return wh.load_star(news, first).fact_news
+    database = scratch_database(spark)
+    wh.load_star_tables(news.filter(F.col("seq") <= middle), database)
+    return wh.load_star_tables(news, database).fact_news
 
 
 _EXTRACT = """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkmart.functions import temporal, text
 from sparkmart.operators import changes, intervals, loads, quality
 from sparkmart.operators.state import StateTable
-from sparkmart.operators.warehouse import Star, load_star, lookup, rejects
+from sparkmart.operators.warehouse import Star, load_star, load_star_tables, lookup, rejects
 from sparkmart.plans import news, sales
 from sparkmart.plans.extract_load import TableSpec, param_query, specs_from
 from sparkmart.plans.models import Model, Project
@@ -238,6 +238,25 @@ def test_star_load_and_reload(spark):
     assert grown.fact_news.count() == 4
 
 
+def test_star_tables_are_loaded_once(spark):
+    source, database = _news(spark), scratch_database(spark)
+    for _ in range(2):
+        star = load_star_tables(source, database)
+        assert star.fact_news.count() == 2 and star.dim_article.count() == 3 and star.dim_date.count() == 3
+    assert rows(star.dim_category) == [(1, "c1"), (2, "c2")]
+
+
+def test_news_flow_from_csv(spark):
+    source = _news(spark).filter("seq < 7")
+    path, staging = scratch_path(spark, "csv"), scratch_path(spark, "staging")
+    sinks.write_csv(source, path)
+    schema = ", ".join(f"{c} {t}" for c, t in source.dtypes)
+    star = news.load_news(spark, path, schema, staging, scratch_database(spark))
+    # every gap is filled: texts with the most frequent value, the last date with the one before it
+    assert rows(star.dim_article.select("url")) == [("u1",), ("u2",), ("u3",), ("u4",), ("u5",)]
+    assert star.fact_news.count() == 2 + 1 + 1 + 1 + 1 and star.dim_date.count() == 3
+
+
 def test_cleaned_load_can_be_repeated(spark):
     star = _written(load_star(_news(spark)))
     cleaned = materialize(news.cleaned_rows(star, datetime(2025, 1, 1)), "cleaned")
