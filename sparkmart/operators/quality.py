@@ -45,7 +45,10 @@ def _row_groups(df: DataFrame) -> DataFrame:
     """
     hashed = df.withColumn("__hash", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     counts = hashed.groupBy("__hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__hash")
-    suspects = hashed.join(materialize(counts, "repeated-hashes"), "__hash", "left_semi")
+    repeated = materialize(counts, "repeated-hashes")
+    if repeated.isEmpty():
+        return df.limit(0).withColumn("group_size", F.lit(0).cast("long"))
+    suspects = hashed.join(repeated, "__hash", "left_semi")
     return suspects.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("group_size")).filter("group_size > 1")
 
 
