@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import quality_rules, url_filter
+from sparkmart.llm import jaccard_join, quality_rules, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -115,3 +115,33 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         quality_rules.base_failed(counts).alias("base_failed"),
         F.col(kept).alias("kept"),
     )
+
+
+@query("op8_jaccard_join", rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORDS}) AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) < 5 THEN words ELSE words[i:i + 4] END AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, least(len(words), 1)) + 1)) AS i FROM w)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), h AS (
+  SELECT doc_id, md5(array_to_string(shingle, ' ')) AS h FROM s
+), o AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM h x JOIN h y ON x.h = y.h AND x.doc_id <> y.doc_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM o JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 75 * (x.n + y.n - k)
+), reach AS (
+  SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+), least AS (
+  SELECT a, min(b) AS b FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least ON doc_id = a
+""")
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return jaccard_join.jaccard_components(docs).select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id")
+    )
