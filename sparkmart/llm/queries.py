@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import jaccard_join, quality_rules, url_filter
+from sparkmart.llm import gam, jaccard_join, quality_rules, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +145,13 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(docs).select(
         F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id")
     )
+
+
+@query("op9_quality_classifier")
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = gam.train(docs, table(spark, sf_dir, "labels"))
+    rows = gam.scored(docs, model, "score", keep=["doc_id"])
+    return rows.select(
+        "doc_id", gam.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= gam.LEAST).cast("int").alias("predicted")
+    )
