@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import gam, jaccard_join, quality_rules, url_filter
+from sparkmart.llm import gam, jaccard_join, packing, quality_rules, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -155,3 +155,8 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "doc_id", gam.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= gam.LEAST).cast("int").alias("predicted")
     )
+
+
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
