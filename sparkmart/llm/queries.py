@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import gam, jaccard_join, packing, quality_rules, url_filter
+from sparkmart.llm import gam, jaccard_join, packing, quality_rules, url_filter, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -160,3 +160,14 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_best_fit_packing")
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op3_word_bpe")
+def op3_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = word_bpe.encoded(table(spark, sf_dir, "documents"))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
