@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import gam, jaccard_join, packing, quality_rules, url_filter, word_bpe
+from sparkmart.llm import gam, jaccard_join, packing, quality_rules, url_filter, word_bpe, zip_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -171,3 +171,25 @@ def op3_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op4_zip_warc", f"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, CASE WHEN payload_bytes >= {zip_warc.SMALLEST_REVISIT} THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM f
+""")
+def op4_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    rows = zip_warc.round_trip(pages)
+    return rows.select(
+        F.col("page").cast(kind).alias("page_id"),
+        "payload_bytes",
+        F.when(F.col("type") == "response", F.sha2("payload", 256)).otherwise(F.col("declared")).alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
