@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import gam, jaccard_join, packing, quality_rules, url_filter, word_bpe, zip_warc
+from sparkmart.llm import gam, jaccard_join, licences, packing, quality_rules, unigram_count, url_filter, word_bpe, zip_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -193,3 +193,41 @@ def op4_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("type").alias("record_type"),
         F.col("refers_to").cast(kind).alias("refers_to"),
     )
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram_count.counted(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+def _licence_sql() -> str:
+    known = ", ".join(f"('{licences.reduced(s)}', '{name}')" for name, s in licences.SENTENCES)
+    steps = []
+    for i, (licence, names) in enumerate(licences.RULES):
+        want = "".join(f"<{n}>" for n in names)
+        steps.append(
+            f"s{i + 1} AS (SELECT doc_id, n_known, replace(rest, '{want}', '|') AS rest, "
+            f"CASE WHEN contains(rest, '{want}') AND NOT list_contains(hits, '{licence}') THEN list_append(hits, '{licence}') ELSE hits END AS hits FROM s{i})"
+        )
+    return rf"""
+WITH known(sentence, name) AS (VALUES {known}),
+cut AS (
+  SELECT doc_id, string_split(regexp_replace(translate(regexp_replace(regexp_replace(text, '([.!?;])[ \t\r\n]+', '\1' || chr(1), 'g'),
+    '\n[ \t\r#*/]*([A-Z\n])', chr(1) || '\1', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^a-z0-9' || chr(1) || ']+', ' ', 'g'), chr(1)) AS parts FROM documents
+), seen AS (
+  SELECT doc_id, place, name FROM (SELECT doc_id, unnest(range(1, len(parts) + 1)) AS place, trim(unnest(parts)) AS sentence FROM cut) JOIN known USING (sentence)
+), s0 AS (
+  SELECT doc_id, count(*) AS n_known, string_agg(CASE WHEN place > before + 1 THEN '|' ELSE '' END || '<' || name || '>', '' ORDER BY place) AS rest,
+    []::VARCHAR[] AS hits
+  FROM (SELECT *, lag(place) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM seen) GROUP BY doc_id
+), {', '.join(steps)}
+SELECT doc_id, coalesce(array_to_string(hits, ','), '') AS licences, coalesce(n_known, 0) AS n_known,
+  coalesce(length(rest) - length(replace(rest, '<', '')), 0) AS n_unmatched
+FROM documents LEFT JOIN s{len(licences.RULES)} USING (doc_id)
+"""
+
+
+@query("op7_licence_scan", _licence_sql())
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.recognised(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
