@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import gam, jaccard_join, licences, packing, quality_rules, unigram_count, url_filter, word_bpe, zip_warc
+from sparkmart.llm import gam, jaccard_join, licences, nn_descent, packing, quality_rules, unigram_count, url_filter, word_bpe, zip_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -231,3 +231,25 @@ FROM documents LEFT JOIN s{len(licences.RULES)} USING (doc_id)
 @query("op7_licence_scan", _licence_sql())
 def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.recognised(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op1_nn_descent", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.9
+), reach AS (
+  SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+), c AS (
+  SELECT vec_id, (SELECT count(*) FROM link WHERE a = vec_id) AS n_links,
+    least(vec_id, coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id)) AS component_id FROM embeddings
+)
+SELECT *, vec_id = component_id AS kept FROM c
+""")
+def op1_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = nn_descent.near_vectors(table(spark, sf_dir, "embeddings"))
+    return rows.select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept")
+    )
