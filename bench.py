@@ -41,6 +41,13 @@ HEADLINE = (
     "diff3",
     "merge3",
     "patch_roundtrip",
+    "fact_news_reload",
+    "diff_moves",
+    "dim_cleaned",
+    "diff_auto",
+    "diff_reordered",
+    "diff_auto_repeated",
+    "diff_context",
 )
 
 

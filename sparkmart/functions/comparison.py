@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmart.functions.text import normalize_text
 
@@ -23,9 +24,13 @@ class CompareOptions:
     epsilon: float = 0.0
     compare_as: str = "typed"
 
-    def equal(self, a: Column, b: Column) -> Column:
-        """Null-safe cell equality; NULL equals NULL but not the empty text."""
-        if self.compare_as == "string" or self.ignore_whitespace or self.ignore_case:
+    def equal(self, a: Column, b: Column, types: tuple[T.DataType, T.DataType] | None = None) -> Column:
+        """Null-safe cell equality; NULL equals NULL but not the empty text.
+
+        With ``types`` given, values of types that don't compare safely are compared as texts.
+        """
+        as_text = types is not None and not comparable(*types)
+        if as_text or self.compare_as == "string" or self.ignore_whitespace or self.ignore_case:
             same = normalize_text(a.cast("string"), self.ignore_whitespace, self.ignore_case).eqNullSafe(
                 normalize_text(b.cast("string"), self.ignore_whitespace, self.ignore_case)
             )
@@ -36,6 +41,14 @@ class CompareOptions:
         return same
 
 
+def comparable(a: T.DataType, b: T.DataType) -> bool:
+    """Whether values of the two types can be compared without a cast that may fail."""
+    if a == b:
+        return True
+    families = (T.NumericType, (T.DateType, T.TimestampType, T.TimestampNTZType), (T.StringType, T.VarcharType, T.CharType))
+    return any(isinstance(a, f) and isinstance(b, f) for f in families)
+
+
 def within(a: Column, b: Column, epsilon: float) -> Column:
     """Both values read as numbers and differ by less than ``epsilon``."""
     return F.abs(a.cast("string").try_cast("double") - b.cast("string").try_cast("double")) < epsilon

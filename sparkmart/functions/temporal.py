@@ -2,59 +2,71 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# fixed values: accepted layouts, day first, each with the shape of its texts; shapes exclude each other
-DAY_FIRST_FORMATS = (
-    ("d-M-yyyy", r"\d{1,2}-\d{1,2}-\d{4}"),
-    ("d/M/yyyy", r"\d{1,2}/\d{1,2}/\d{4}"),
-    ("d.M.yyyy", r"\d{1,2}\.\d{1,2}\.\d{4}"),
-    ("d MMM yyyy", r"\d{1,2} \p{L}{3} \d{4}"),
-    ("d MMMM yyyy", r"\d{1,2} \p{L}{4,} \d{4}"),
-    ("yyyy-M-d", r"\d{4}-\d{1,2}-\d{1,2}"),
-    ("yyyy/M/d", r"\d{4}/\d{1,2}/\d{1,2}"),
-    ("d-M-yyyy H:mm:ss", r"\d{1,2}-\d{1,2}-\d{4} \d{1,2}:\d{2}:\d{2}"),
-    ("d/M/yyyy H:mm:ss", r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}"),
-    ("yyyy-M-d H:mm:ss", r"\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}"),
-)
-TIMESTAMP_FORMATS = (
-    *DAY_FIRST_FORMATS,
-    ("yyyy-M-d'T'H:mm:ss", r"\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}:\d{2}"),
+# fixed values: how dates may be written, day first where that is open, and how their parts go to year-month-day
+DATE_SHAPES = (
+    (r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4}|\d{2})(?!\d)", "$3-$2-$1"),
+    (r"^(\d{1,2})[ -](\p{L}{3,})[ -](\d{4})(?!\d)", "$3-$2-$1"),
+    (r"^(\p{L}{3,}) (\d{1,2}),? (\d{4})(?!\d)", "$3-$1-$2"),
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})(?!\d)", "$1-$2-$3"),
+    (r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3"),
+    (r"^([0-5]\d|6[0-8])-", "20$1-"),
+    (r"^(69|[7-9]\d)-", "19$1-"),
 )
+# and a time of day, if any, behind a blank or the letter T
+TIME_SHAPE = r"(?:[ T](\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,6})?)\d*)?(?: ([AaPp])[Mm])?Z?)?"
 DATE_NAME_PARTS = ("date", "timestamp")
 
 
-def _by_shape(column: Column, formats: Sequence[tuple[str, str]], parse: Callable[[Column, str], Column]) -> Column:
-    """Parse each text with the one layout whose shape it has, so that no value is tried several times."""
-    text = F.trim(column)
+def _parts(column: Column) -> tuple[Column, Column]:
+    """Year-month-day text and the text after it; the date is NULL if it has no known shape."""
+    text = F.regexp_replace(F.trim(column), r"\s+", " ")
+    for shape, order in DATE_SHAPES:
+        text = F.regexp_replace(text, shape, order)
+    whole = rf"^(\d{{4}}-(?:\d{{1,2}}|\p{{L}}+)-\d{{1,2}}){TIME_SHAPE}$"
+    return F.when(text.rlike(whole), F.regexp_extract(text, whole, 1)), text
+
+
+def _date(day: Column) -> Column:
+    """A month may be a number, a name of three letters or a whole name."""
+    formats = ((r"^\d+-\d+-\d+$", "yyyy-M-d"), (r"^\d+-\p{L}{3}-\d+$", "yyyy-MMM-d"), (r"^\d+-\p{L}{4,}-\d+$", "yyyy-MMMM-d"))
     chosen = F.lit(None)
-    for fmt, shape in reversed(formats):
-        chosen = F.when(text.rlike(f"^{shape}$"), parse(text, fmt)).otherwise(chosen)
-    return chosen
+    for shape, fmt in formats:
+        chosen = F.when(day.rlike(shape), F.try_to_date(day, fmt)).otherwise(chosen)
+    return chosen.cast("date")
+
 
+def parse_day_first(column: str | Column) -> Column:
+    """Parse a date text, reading ambiguous values day first; what has no known shape is NULL.
 
-def parse_day_first(column: str | Column, formats: Sequence[tuple[str, str]] = DAY_FIRST_FORMATS) -> Column:
-    """Parse a date text, reading ambiguous values day first; what fits no layout is NULL."""
+    Two-digit years 69 to 99 are of the last century. A time of day is left out.
+    """
     column = F.col(column) if isinstance(column, str) else column
-    return _by_shape(column, formats, F.try_to_date).cast("date")
+    return _date(_parts(column)[0])
+
+
+def parse_timestamp(column: str | Column) -> Column:
+    """The same with the time of day, midnight if there is none; an impossible time gives NULL."""
+    column = F.col(column) if isinstance(column, str) else column
+    day, text = _parts(column)
+    hour, minute, second, half = (F.regexp_extract(text, rf"^\S+?{TIME_SHAPE}$", i) for i in (1, 2, 3, 4))
+    number = hour.try_cast("int")
+    clock = F.when(half == "", number).when(number.between(1, 12), number % 12 + F.when(F.lower(half) == "p", 12).otherwise(0))
+    time = F.when(hour == "", "00:00:00").otherwise(F.concat_ws(":", F.coalesce(clock, F.lit(99)), minute, F.when(second == "", "00").otherwise(second)))
+    return F.concat_ws(" ", F.date_format(_date(day), "yyyy-MM-dd"), time).try_cast("timestamp_ntz")
 
 
 def is_date_name(name: str) -> bool:
     return any(part in name.lower() for part in DATE_NAME_PARTS)
 
 
-def coerce_dates(df: DataFrame, formats: Sequence[tuple[str, str]] = TIMESTAMP_FORMATS) -> DataFrame:
+def coerce_dates(df: DataFrame) -> DataFrame:
     """Turn text columns whose name contains 'date' or 'timestamp' into timestamps, bad values into NULL."""
-
-    def parse(text: Column, fmt: str) -> Column:
-        return F.try_to_timestamp(text, F.lit(fmt))
-
     changed = {
-        f.name: _by_shape(F.col(f"`{f.name}`"), formats, parse).cast("timestamp_ntz")
+        f.name: parse_timestamp(F.col(f"`{f.name}`"))
         for f in df.schema.fields
         if is_date_name(f.name) and isinstance(f.dataType, T.StringType)
     }

@@ -14,9 +14,8 @@ from sparkmart.operators.position import occurrence_number, with_position
 from sparkmart.operators.stats import column_subsets, distinct_counts
 from sparkmart.runtime import materialize
 
-# fixed values: number of columns tried, and the share of equal keys above which a key is too poor
+# fixed value: number of columns whose subsets are tried unless the caller says otherwise
 MAX_COLUMNS = 5
-POOR_KEY, POOR_KEY_BASE = 0.1, 20
 
 
 def key_candidates(a: DataFrame, b: DataFrame, ignore: Sequence[str] = (), limit: int = MAX_COLUMNS) -> list[str]:
@@ -35,64 +34,38 @@ def _subset_key(subset: Sequence[str]) -> Column:
     return F.to_json(F.array(*[F.col(f"__p_{c}") for c in subset]))
 
 
-def usable_subsets(sides: Sequence[DataFrame], columns: Sequence[str], subsets: Sequence[Sequence[str]], height: int) -> list[int]:
-    """Indices of the subsets whose most frequent key is not too frequent.
-
-    A key of a subset is at most as frequent as each of its parts, so only values that are too
-    frequent on their own can make one; there are fewer than ten of them per column and side. The
-    combinations of those few values are all that is counted.
-    """
-    bound = POOR_KEY * (height + POOR_KEY_BASE)
-    poor: set[int] = set()
-    for side in sides:
-        cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"__p_{c}").alias("v")) for c in columns])
-        heavy: dict[str, list[str]] = {c: [] for c in columns}
-        for row in side.select(F.inline(cells)).groupBy("c", "v").count().filter(F.col("count") >= bound).collect():
-            heavy[row["c"]].append(row["v"])
-        doubtful = [i for i, subset in enumerate(subsets) if all(heavy[c] for c in subset)]
-        if not doubtful:
-            continue
-        entries = []
-        for i in doubtful:
-            frequent = F.lit(True)
-            for c in subsets[i]:
-                frequent = frequent & F.col(f"__p_{c}").isin(heavy[c])
-            values = F.to_json(F.array(*[F.col(f"__p_{c}") for c in subsets[i]]))
-            entries.append(F.when(frequent, F.struct(F.lit(i).alias("i"), values.alias("k"))))
-        counted = side.select(F.inline(F.array_compact(F.array(*entries)))).groupBy("i", "k").count()
-        poor.update(row["i"] for row in counted.groupBy("i").agg(F.max("count").alias("n")).filter(F.col("n") >= bound).collect())
-    usable = [i for i in range(len(subsets)) if i not in poor]
-    # the full set is tried when nothing else was usable
-    return usable or [len(subsets) - 1]
-
-
 def align_rows(
     a: DataFrame,
     b: DataFrame,
     position: str,
     columns: Sequence[str] | None = None,
     options: CompareOptions = EXACT,
+    candidates: int = MAX_COLUMNS,
 ) -> DataFrame:
     """Pairs ``(l_pos, r_pos)`` of rows; ``position`` is a dense row-number column of both tables.
 
-    Subsets of the candidate columns are tried in turn: two rows pair when their key is unique in both
-    tables and neither has been paired by an earlier subset. Rows left over pair when they agree in
-    all candidate columns, first with first, second with second.
+    The subsets of the candidate columns are tried in turn: two rows pair when their key is unique in
+    both tables and neither has been paired by an earlier subset. The candidates are ``columns``, or the
+    ``candidates`` common columns with the most distinct values; there are ``2 ** candidates - 1``
+    subsets. If there are more common columns, rows that agree in all of them are paired before.
+    Rows left over pair when they agree in all common columns, first with first, second with second.
     """
-    columns = list(columns or key_candidates(a.drop(position), b.drop(position), options.ignore_columns))
+    common = [c for c in a.columns if c in b.columns and c != position and c not in options.ignore_columns]
+    columns = list(columns or key_candidates(a.drop(position), b.drop(position), options.ignore_columns, candidates))
+    everything = list(dict.fromkeys([*columns, *common]))
     parts = [
-        key_part(F.col(f"`{c}`"), options.ignore_whitespace, options.ignore_case).alias(f"__p_{c}") for c in columns
+        key_part(F.col(f"`{c}`"), options.ignore_whitespace, options.ignore_case).alias(f"__p_{c}") for c in everything
     ]
     left = a.select(F.col(position).alias("pos"), *parts)
     right = b.select(F.col(position).alias("pos"), *parts)
     subsets = column_subsets(columns)
-    height = max(left.count(), right.count()) + 1  # the header row counts
-    usable = usable_subsets([left, right], columns, subsets, height)
+    if len(everything) > len(columns):
+        subsets.insert(0, everything)
 
-    # most rows pair by the first usable subset, which is settled on the whole tables
-    first = materialize(_unique_pairs(left, right, {usable[0]: subsets[usable[0]]}).select("l_pos", "r_pos"), "pairs")
+    # most rows pair by the first subset, which is settled on the whole tables
+    first = materialize(_unique_pairs(left, right, {0: subsets[0]}).select("l_pos", "r_pos"), "pairs")
     decided = [first]
-    rest = usable[1:]
+    rest = range(1, len(subsets))
     pending_l = left.join(first.select(F.col("l_pos").alias("pos")), "pos", "left_anti")
     pending_r = right.join(first.select(F.col("r_pos").alias("pos")), "pos", "left_anti")
     if rest and not pending_l.isEmpty() and not pending_r.isEmpty():
@@ -102,7 +75,7 @@ def align_rows(
     pairs = decided[0]
     for more in decided[1:]:
         pairs = pairs.unionByName(more)
-    return pairs.unionByName(_equal_leftovers(left, right, pairs, columns))
+    return pairs.unionByName(_equal_leftovers(left, right, pairs, everything))
 
 
 def _keyed(side: DataFrame, keys: dict[int, Sequence[str]]) -> DataFrame:
@@ -183,9 +156,9 @@ def _equal_leftovers(left: DataFrame, right: DataFrame, pairs: DataFrame, column
 
 
 def pair_by_content(a: DataFrame, b: DataFrame, position: str, columns: Sequence[str] | None = None,
-                    options: CompareOptions = EXACT) -> DataFrame:
+                    options: CompareOptions = EXACT, candidates: int = MAX_COLUMNS) -> DataFrame:
     """Rows ``(l, r)`` as :func:`sparkmart.operators.diff.pair_rows` gives them, paired without a key."""
-    pairs = materialize(align_rows(a, b, position, columns, options), "alignment")
+    pairs = materialize(align_rows(a, b, position, columns, options, candidates), "alignment")
     left = a.select(F.col(position).alias("l_pos"), F.struct(*a.columns).alias("l"))
     right = b.select(F.col(position).alias("r_pos"), F.struct(*b.columns).alias("r"))
     linked = left.join(pairs, "l_pos", "left")
@@ -193,9 +166,9 @@ def pair_by_content(a: DataFrame, b: DataFrame, position: str, columns: Sequence
 
 
 def diff_without_key(a: DataFrame, b: DataFrame, position: str, columns: Sequence[str] | None = None,
-                     options: CompareOptions = EXACT) -> TableDiff:
+                     options: CompareOptions = EXACT, candidates: int = MAX_COLUMNS) -> TableDiff:
     """Comparison of two tables whose rows are paired by content; ``position`` is their row number."""
-    rows = pair_by_content(a, b, position, columns, options)
+    rows = pair_by_content(a, b, position, columns, options, candidates)
     return classify(rows, a, b, (), options, position=position)
 
 

@@ -87,8 +87,8 @@ def _blank(name: str) -> Column:
     return text.isNull() | (text == "")
 
 
-def trim_blank(table: DataFrame, position: str, probe_rows: int = 3) -> DataFrame:
-    """Drop trailing all-blank rows, then trailing columns blank in the first ``probe_rows`` rows.
+def trim_blank(table: DataFrame, position: str) -> DataFrame:
+    """Drop trailing all-blank rows, then trailing columns that are blank in every row.
 
     The table is a positional grid whose header, if any, is its first row; ``position`` is a column
     with the row order.
@@ -97,20 +97,28 @@ def trim_blank(table: DataFrame, position: str, probe_rows: int = 3) -> DataFram
     all_blank = F.lit(True)
     for c in cells:
         all_blank = all_blank & _blank(c)
-    last = table.agg(F.max(F.when(~all_blank, F.col(position)))).first()[0]
-    kept = table.filter(F.col(position) <= last) if last is not None else table.limit(0)
-    head = kept.select(cells).orderBy(kept[position]).limit(probe_rows).collect()
+    filled = [F.max(~_blank(c)).alias(f"f{i}") for i, c in enumerate(cells)]
+    found = table.agg(F.max(F.when(~all_blank, F.col(position))).alias("last"), *filled).first()
+    if found["last"] is None:
+        return table.limit(0)
+    kept = table.filter(F.col(position) <= found["last"])
     width = len(cells)
-    while head and width and all(row[cells[width - 1]] in (None, "") for row in head):
+    while width and not found[f"f{width - 1}"]:
         width -= 1
     return kept.select(position, *cells[:width])
 
 
 def swap_table(df: DataFrame, table: str) -> None:
-    """Replace a catalog table by a version of itself: written beside it, then renamed."""
+    """Replace a catalog table by a version of itself.
+
+    The new version is written first and the old one is dropped last, after the names were exchanged, so a crash
+    between two steps leaves the old rows under one of the two names.
+    """
     spark = df.sparkSession
-    following = f"{table}__next"
-    spark.sql(f"DROP TABLE IF EXISTS {following}")
+    following, previous = f"{table}__next", f"{table}__previous"
+    for name in (following, previous):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     df.write.format("parquet").saveAsTable(following)
-    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")
     spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {previous}")

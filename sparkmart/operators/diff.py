@@ -215,14 +215,17 @@ class TableDiff:
     def summary(self) -> DataFrame:
         """Counts of row and column changes, initial and final sizes, and whether anything differs.
 
-        Reordered rows are counted after :meth:`with_moves`.
+        A column whose type changed counts as updated, whatever its values. Reordered rows are counted after :meth:`with_moves`.
         """
         schema = schema_diff(self.a, self.b, self.renames)
         inserts = sum(e.action.endswith(INSERT) for e in schema)
         deletes = sum(e.action.endswith(DELETE) for e in schema)
         renamed = sum("(" in e.action for e in schema)
         moved = sum(e.action.startswith(MOVE) for e in schema)
-        updated = [F.max(F.array_contains("changed", y).cast("long")) for _, y in self.columns.common]
+        retyped = {e.column for e in schema if e.old_type is not None and e.new_type is not None and e.old_type != e.new_type}
+        updated = [
+            F.lit(1).cast("long") if y in retyped else F.max(F.array_contains("changed", y).cast("long")) for _, y in self.columns.common
+        ]
         col_updates = reduce(lambda x, y: x + y, [F.coalesce(u, F.lit(0)) for u in updated], F.lit(0).cast("long"))
         counts = self.rows.agg(
             F.count_if(F.col("action") == INSERT).alias("row_inserts"),
@@ -329,7 +332,7 @@ def classify(
     ignored = set(options.ignore_columns)
     both = F.col("l").isNotNull() & F.col("r").isNotNull()
     differs = [
-        F.when(~options.equal(F.col("l")[x], F.col("r")[y]), F.lit(y))
+        F.when(~options.equal(F.col("l")[x], F.col("r")[y], (a.schema[x].dataType, b.schema[y].dataType)), F.lit(y))
         for x, y in columns.common
         if x not in ignored and y not in ignored
     ]
@@ -393,18 +396,28 @@ def schema_diff(a: DataFrame, b: DataFrame, renames: dict[str, str] | None = Non
     return out
 
 
-def propose_renames(a: DataFrame, b: DataFrame, position: str, sample: int = 5) -> dict[str, str]:
-    """Columns that look renamed: a removed and an added one with the same texts in the first rows."""
-    pairs = pair_columns(a, b)
+def propose_renames(a: DataFrame, b: DataFrame, position: str) -> dict[str, str]:
+    """Columns that look renamed: a removed and an added one with the same text at every position.
 
-    def head(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
-        rows = df.orderBy(position).limit(sample).select(*[F.col(c).cast("string").alias(c) for c in columns]).collect()
-        return {c: [row[c] for row in rows] for c in columns}
+    Each column is reduced to the number of its values and to two sums of hashes of (position, text), in one pass per table.
+    """
+    pairs = pair_columns(a, b)
 
-    old, new = head(a, pairs.removed), head(b, pairs.added)
+    def marks(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
+        if not columns:
+            return {}
+        wanted = []
+        for i, c in enumerate(columns):
+            text = F.col(f"`{c}`").cast("string")
+            hashes = [F.xxhash64(F.lit(seed), F.col(position), text).cast("decimal(38,0)") for seed in (1, 2)]
+            wanted.append(F.struct(F.count(text), *[F.sum(F.when(text.isNotNull(), h)) for h in hashes]).alias(f"m{i}"))
+        row = df.agg(*wanted).first()
+        return {c: tuple(row[f"m{i}"]) for i, c in enumerate(columns)}
+
+    old, new = marks(a, pairs.removed), marks(b, pairs.added)
     found: dict[str, str] = {}
-    for x, values in old.items():
-        match = next((y for y, other in new.items() if other == values and y not in found.values()), None)
-        if match is not None and any(v is not None for v in values):
+    for x, mark in old.items():
+        match = next((y for y, other in new.items() if other == mark and y not in found.values()), None)
+        if match is not None and mark[0] > 0:
             found[x] = match
     return found

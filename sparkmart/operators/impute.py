@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from sparkmart.functions.temporal import coerce_dates, epoch_micros
 from sparkmart.operators.position import PART, range_layout
-from sparkmart.operators.stats import exact_medians, is_skewed, modes, sample_skewness
+from sparkmart.operators.stats import exact_medians, is_skewed, known_value, modes, sample_skewness
 
 METHODS = ("mean", "median", "mode", "interpolate")
 _TIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -35,11 +36,12 @@ def impute_columns(df: DataFrame, methods: dict[str, str], order_by: Sequence[st
     if known is not None:
         values.update({c: known[c].mean for c in by_method["mean"]})
     elif by_method["mean"]:
-        values.update(df.agg(*[F.avg(F.col(f"`{c}`")).alias(c) for c in by_method["mean"]]).first().asDict())
+        values.update(df.agg(*[F.avg(known_value(df.schema[c])).alias(c) for c in by_method["mean"]]).first().asDict())
     sizes = {c: p.values for c, p in known.items()} if known is not None else None
     values.update(exact_medians(df, by_method["median"], sizes=sizes))
     values.update(modes(df, by_method["mode"]))
-    filled = df.withColumns({c: _fill(df.schema[c], v, methods[c]) for c, v in values.items() if v is not None})
+    large = _beyond_double(df, [c for c, v in values.items() if v is not None and methods[c] != "mode" and v != int(v)])
+    filled = df.withColumns({c: _fill(df.schema[c], v, methods[c], c in large) for c, v in values.items() if v is not None})
     if by_method["interpolate"]:
         if not order_by:
             raise ValueError("interpolation needs order_by: a table has no row order of its own")
@@ -47,12 +49,33 @@ def impute_columns(df: DataFrame, methods: dict[str, str], order_by: Sequence[st
     return filled
 
 
-def _fill(field: T.StructField, value: object, method: str) -> Column:
-    column = F.col(f"`{field.name}`")
+def _beyond_double(df: DataFrame, columns: Sequence[str]) -> set[str]:
+    """Those of the long columns that hold whole numbers a double can't tell apart."""
+    longs = [c for c in columns if isinstance(df.schema[c].dataType, T.LongType)]
+    if not longs:
+        return set()
+    exact = 1 << 53
+    row = df.agg(*[F.max(~F.col(f"`{c}`").between(-exact, exact)).alias(f"x{i}") for i, c in enumerate(longs)]).first()
+    return {c for i, c in enumerate(longs) if row[f"x{i}"]}
+
+
+def _fill(field: T.StructField, value: object, method: str, large: bool) -> Column:
+    """The column with its nulls filled; the values it has stay exactly as they are.
+
+    The type stays where the fill fits it. Otherwise whole numbers become doubles, or decimals if a double can't hold
+    them, and decimals get the digits that the fill needs.
+    """
+    column, kind = known_value(field), field.dataType
     if method == "mode":
-        return F.coalesce(column, F.lit(value).cast(field.dataType))
-    # a mean or median of whole numbers need not be whole, so the column becomes a double
-    return F.coalesce(column.cast("double"), F.lit(value).cast("double"))
+        return F.coalesce(column, F.lit(value).cast(kind))
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.coalesce(column.cast("double"), F.lit(float(value)))
+    if isinstance(kind, T.DecimalType):
+        digits = max(kind.scale, -Decimal(value).normalize().as_tuple().exponent)
+        kind = T.DecimalType(min(38, kind.precision + digits - kind.scale), digits)
+    elif value != int(value):
+        kind = T.DecimalType(38, 10) if large else T.DoubleType()
+    return F.coalesce(column.cast(kind), F.lit(str(value)).cast("decimal(38,10)" if isinstance(kind, T.IntegralType) else kind).cast(kind))
 
 
 def interpolate_time(df: DataFrame, columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -191,9 +214,9 @@ def profile(df: DataFrame) -> dict[str, ColumnProfile]:
     numeric = [(i, f.name) for i, f in fields if isinstance(f.dataType, T.NumericType)]
     row = df.agg(
         F.count(F.lit(1)).alias("total"),
-        *[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in fields],
-        *[F.avg(F.col(f"`{c}`")).alias(f"m{i}") for i, c in numeric],
-        *[sample_skewness(c).alias(f"s{i}") for i, c in numeric],
+        *[F.count(known_value(f)).alias(f"n{i}") for i, f in fields],
+        *[F.avg(known_value(df.schema[c])).alias(f"m{i}") for i, c in numeric],
+        *[sample_skewness(known_value(df.schema[c])).alias(f"s{i}") for i, c in numeric],
     ).first().asDict()
     return {
         f.name: ColumnProfile(f.dataType, row[f"n{i}"], row["total"] - row[f"n{i}"], row.get(f"m{i}"), row.get(f"s{i}"))

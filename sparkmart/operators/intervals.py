@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.functions.temporal import even_minute, floor_to_minute
+from sparkmart.operators.stats import quantiles_by
 from sparkmart.runtime import materialize
 
 
@@ -87,30 +88,29 @@ def latest_run(runs: DataFrame, by: Sequence[str], started: str, value: str, tie
 
 
 def run_metrics(runs: DataFrame, ts: str, label: str, seconds: str, every: str, quantiles: Sequence[float]) -> DataFrame:
-    """Metric series per label and time window in milliseconds, with its quantiles."""
-    return (
-        runs.groupBy(F.window(ts, every)["start"].alias("window_start"), F.col(label))
-        .agg(
-            F.count(F.lit(1)).alias("runs"),
-            F.max(F.col(seconds) * 1000).alias("max_ms"),
-            *[
-                F.percentile_approx(F.col(seconds) * 1000, F.lit(q), F.lit(100_000)).alias(f"p{round(q * 100)}_ms")
-                for q in quantiles
-            ],
-        )
-    )
+    """Metric series per label and time window in milliseconds, with its exact quantiles."""
+    series = runs.select(F.window(ts, every)["start"].alias("window_start"), F.col(label), (F.col(seconds) * 1000).alias("__ms"))
+    by = ["window_start", label]
+    totals = series.groupBy(*by).agg(F.count(F.lit(1)).alias("runs"), F.max("__ms").alias("max_ms"))
+    found = quantiles_by(series, by, "__ms", {f"p{round(q * 100)}_ms": q for q in quantiles})
+    on = [totals[c].eqNullSafe(found[c]) for c in by]
+    return totals.join(found, on, "left").select(*[totals[c] for c in totals.columns], *[found[c] for c in found.columns if c not in by])
 
 
 def label_values(df: DataFrame, label: str) -> DataFrame:
     return df.select(label).distinct()
 
 
+# fixed values: names of the two branches
+EVEN, ODD = "even_task", "odd_task"
+
+
 def route(ts: str) -> Column:
     """Branch name of a row: even minutes go one way, odd minutes the other."""
-    return F.when(even_minute(ts), "even_task").otherwise("odd_task")
+    return F.when(even_minute(ts), EVEN).otherwise(ODD)
 
 
 def split_routes(df: DataFrame, ts: str) -> dict[str, DataFrame]:
     """The two branches as filtered outputs of one input."""
     routed = df.withColumn("branch", route(ts))
-    return {name: routed.filter(F.col("branch") == name) for name in ("even_task", "odd_task")}
+    return {name: routed.filter(F.col("branch") == name) for name in (EVEN, ODD)}

@@ -8,9 +8,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmart.functions.comparison import EXACT, CompareOptions
 from sparkmart.operators.diff import DELETE, GAIN, INSERT, SAME, UPDATE, key_columns, same_key, split_by_uniqueness
+from sparkmart.operators.position import expand_ranges
 
 # fixed values: the conflict action and the text of a conflicting cell
 CONFLICT = "!->"
@@ -19,7 +21,7 @@ CONFLICT_TEXT = ("((( ", " ))) ", " /// ")
 
 def align_three(parent: DataFrame, local: DataFrame, remote: DataFrame, keys: Sequence[str],
                 options: CompareOptions = EXACT) -> DataFrame:
-    """Rows ``(p, l, r)`` by key. Keys that repeat in a table do not pair and stay alone.
+    """Rows ``(p, l, r, loose)`` by key. Keys that repeat in a table, or are blank, do not pair and stay alone: ``loose``.
 
     The distinct keys of the three tables are the spine; each table is joined to it once. The joins share
     one partitioning and order by key, so each wide table is shuffled and sorted once.
@@ -35,10 +37,10 @@ def align_three(parent: DataFrame, local: DataFrame, remote: DataFrame, keys: Se
     for side, tag in zip(single, tags):
         named = side.select(*[F.col(k).alias(f"{tag}{k}") for k in names], tag)
         rows = rows.join(named, same_key([(k, f"{tag}{k}") for k in names]), "left")
-    rows = rows.select(*tags)
+    rows = rows.select(*tags, F.lit(False).alias("loose"))
     for side, tag in zip(repeated, tags):
         if side is not None:
-            rows = rows.unionByName(side.select(tag), allowMissingColumns=True)
+            rows = rows.unionByName(side.select(tag, F.lit(True).alias("loose")), allowMissingColumns=True)
     return rows
 
 
@@ -63,14 +65,17 @@ class ThreeWay:
     def _cell(self, c: str) -> tuple[Column, Column, Column]:
         return F.col("p")[c], F.col("l")[c], F.col("r")[c]
 
+    def _same(self, c: str, x: str, y: str) -> Column:
+        """Whether two of the tables, by their tags, agree in column ``c``."""
+        of = {"p": self.parent, "l": self.local, "r": self.remote}
+        return self.options.equal(F.col(x)[c], F.col(y)[c], (of[x].schema[c].dataType, of[y].schema[c].dataType))
+
     def _remote_changed(self, c: str) -> Column:
-        p, _, r = self._cell(c)
-        return ~self.options.equal(p, r)
+        return ~self._same(c, "p", "r")
 
     def _conflict(self, c: str) -> Column:
         """Changed on both sides, to different values."""
-        p, loc, r = self._cell(c)
-        return ~self.options.equal(p, r) & ~self.options.equal(p, loc) & ~self.options.equal(loc, r)
+        return ~self._same(c, "p", "r") & ~self._same(c, "p", "l") & ~self._same(c, "l", "r")
 
     def _has(self, tag: str) -> Column:
         return F.col(tag).isNotNull()
@@ -89,7 +94,7 @@ class ThreeWay:
         action = (
             F.when(~p & ~loc & r, INSERT)
             .when(p & loc & ~r, DELETE)
-            .when(p & r & conflict, CONFLICT)
+            .when(r & (p | loc) & conflict, CONFLICT)  # without a parent: both inserted the key, with other values
             .when(p & r & update, UPDATE)
             .when(r & gained, GAIN)
             .otherwise(SAME)
@@ -102,12 +107,26 @@ class ThreeWay:
         A cell changed on one side only takes that change. Inserts of both sides stay, deletes of
         either side go, and so do columns. A conflicting cell keeps the local value, or, with
         ``conflict_style='text'``, shows parent, local and remote in one text.
+
+        Rows with a repeated or blank key can't be told apart by it. They are merged as a multiset: of each
+        full row as many copies stay as local and remote have together beyond those of the parent.
         """
         if conflict_style not in ("local", "text"):
             raise ValueError(f"unknown conflict style {conflict_style!r}")
         p, loc, r = self._has("p"), self._has("l"), self._has("r")
-        kept = self.rows.filter((loc & r) | (~p & (loc | r)))
-        return kept.select([self._merged_cell(c, conflict_style).alias(c) for c in self.merged_columns()])
+        kept = self.rows.filter(~F.col("loose") & ((loc & r) | (~p & (loc | r))))
+        merged = kept.select([self._merged_cell(c, conflict_style).alias(c) for c in self.merged_columns()])
+        return merged.unionByName(self._merged_loose(merged.schema))
+
+    def _merged_loose(self, schema: T.StructType) -> DataFrame:
+        names = self.merged_columns()
+        cells = []
+        for c in names:
+            have = [F.col(tag)[c] for tag, t in (("l", self.local), ("r", self.remote), ("p", self.parent)) if c in t.columns]
+            cells.append(F.coalesce(*have).cast(schema[c].dataType).alias(c))
+        sign = F.when(self._has("p"), -1).otherwise(1).cast("long")
+        copies = self.rows.filter("loose").select(*cells, sign.alias("__n")).groupBy(*[F.col(f"`{c}`") for c in names]).agg(F.sum("__n").alias("__n"))
+        return expand_ranges(copies.filter("__n > 0"), "__n", "__i").select(*[F.col(f"`{c}`") for c in names])
 
     def merged_columns(self) -> list[str]:
         """Local order; columns dropped on either side go, columns added by remote come last."""
@@ -137,7 +156,7 @@ class ThreeWay:
             conflict = F.concat(F.lit(opening), parts[0], F.lit(middle), parts[1], F.lit(between), parts[2])
         return (
             F.when(both & self._conflict(c), conflict)
-            .when(both & self._remote_changed(c) & self.options.equal(pv, lv), show(rv))
+            .when(both & self._remote_changed(c) & self._same(c, "p", "l"), show(rv))
             .when(loc, show(lv))
             .otherwise(show(rv))
         )

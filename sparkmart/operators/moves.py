@@ -7,6 +7,7 @@ stays, and so on (equal lengths: the earlier run in the target first).
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 from sparkmart.operators.position import expand_ranges, running_max, with_neighbourhood, with_position
 from sparkmart.runtime import materialize
 
+# runs that the driver decides at once; three numbers each
+AT_ONCE = 200_000
+
 
 def moved_items(source: Sequence[str], target: Sequence[str]) -> list[str]:
     """Moved items of two short lists with the same items (column names)."""
@@ -35,10 +39,10 @@ def moved_items(source: Sequence[str], target: Sequence[str]) -> list[str]:
     return moved
 
 
-def moved_rows(pairs: DataFrame, source: str, target: str, block: int = 100_000) -> DataFrame:
+def moved_rows(pairs: DataFrame, source: str, target: str, block: int = 100_000, at_once: int = AT_ONCE) -> DataFrame:
     """The moved rows of a table of common rows, given the two row-number columns.
 
-    ``block`` is the number of positions a window sees at a time.
+    ``block`` is the number of positions a window sees at a time, ``at_once`` that of the runs the driver decides.
     """
     ranked = with_position(with_position(pairs, [source], "__src"), [target], "__dst")
     blocks = with_neighbourhood(ranked, "__dst", 1, block)
@@ -54,47 +58,75 @@ def moved_rows(pairs: DataFrame, source: str, target: str, block: int = 100_000)
     runs = numbered.join(following, "run", "left").select(
         "__src", "__dst", (F.coalesce("__end", F.lit(total)) - F.col("__dst")).alias("size")
     )
-    moved = _moved_runs(runs, block)
+    moved = _moved_runs(runs, block, at_once)
     if moved is None:
         return ranked.limit(0).select(source, target)
     places = expand_ranges(moved, "size", "__i").select((F.col("__dst") + F.col("__i")).alias("__dst"))
     return ranked.join(places, "__dst", "left_semi").select(source, target)
 
 
-def _moved_runs(runs: DataFrame, block: int) -> DataFrame | None:
+def _moved_runs(runs: DataFrame, block: int, at_once: int = AT_ONCE) -> DataFrame | None:
     """The runs that cross a kept run; None if there are none.
 
-    Within a segment, the longest runs are decided together. Read in target order, such a run is kept
-    exactly if its source place is beyond those of all earlier ones: it then crosses no kept run, and
-    otherwise it crosses the one that is further. A shorter run crosses a kept run exactly if the last
-    kept run before it lies beyond it in the source, or the next kept run after it lies before it.
-    The kept runs cut the segment, and the next round decides all new segments side by side. So there
-    are at most as many rounds as there are different run lengths.
+    Runs are decided in batches from the longest on. A batch has all runs of its lengths, at most ``at_once``, and is
+    decided by the driver, which sees two places and a length of each run, never the rows. If the runs of one length
+    are more than that, they are decided together: read in target order, such a run is kept exactly if its source place
+    is beyond those of all before. Runs that cross a newly kept one are then taken out in one pass. Every two batches
+    decide more than ``at_once`` runs, so ``n`` runs take at most ``2 * n / at_once + 1`` batches, usually one.
     """
-    pending = materialize(runs.withColumn("segment", F.lit(-1).cast("long")), "runs")
+    pending = materialize(runs, "runs")
     decided: list[DataFrame] = []
-    while not pending.isEmpty():
-        longest = pending.groupBy("segment").agg(F.max("size").alias("__longest"))
-        judged = pending.join(longest, "segment")
-        top = F.col("size") == F.col("__longest")
-        judged = running_max(judged, "segment", "__dst", F.when(top, F.col("__src")), "__before", block)
-        judged = judged.withColumn("__kept", top & (F.col("__before").isNull() | (F.col("__src") > F.col("__before"))))
-        kept = F.col("__kept")
-        # kept runs increase in source and target alike, so the last one before is the highest one before
-        judged = running_max(judged, "segment", "__dst", F.when(kept, F.col("__dst")), "__cut", block)
-        judged = running_max(judged, "segment", "__dst", F.when(kept, -F.col("__src")), "__after", block, backwards=True)
-        crosses = F.coalesce(F.col("__before") > F.col("__src"), F.lit(False)) | F.coalesce(
-            -F.col("__after") < F.col("__src"), F.lit(False)
-        )
-        step = materialize(
-            judged.filter(~kept).select(
-                "__src", "__dst", "size", F.coalesce("__cut", "segment").alias("segment"), crosses.alias("moved")
-            ),
-            "runs",
-        )
+    while True:
+        counts = pending.groupBy("size").agg(F.count("*").alias("n")).orderBy(F.desc("size")).limit(at_once).collect()
+        if not counts:
+            break
+        least, total = counts[0]["size"], 0
+        for row in counts:
+            if total and total + row["n"] > at_once:
+                break
+            least, total = row["size"], total + row["n"]
+        batch, rest = pending.filter(F.col("size") >= least), pending.filter(F.col("size") < least)
+        if total <= at_once:
+            kept, lost = _decide([tuple(r) for r in batch.select("size", "__src", "__dst").collect()])
+            spark = pending.sparkSession
+            kept_rows = spark.createDataFrame(kept, "__src long, __dst long")
+            decided.append(spark.createDataFrame(lost, "__dst long, size long"))
+        else:
+            one = batch.withColumn("__all", F.lit(0))
+            judged = running_max(one, "__all", "__dst", F.col("__src"), "__before", block)
+            judged = materialize(judged.withColumn("__kept", F.expr("__before IS NULL OR __src > __before")), "runs")
+            kept_rows = judged.filter("__kept").select("__src", "__dst")
+            decided.append(judged.filter("NOT __kept").select("__dst", "size"))
+        if len(counts) < at_once and least == counts[-1]["size"]:
+            break
+        every = rest.withColumn("__kept", F.lit(False)).unionByName(
+            kept_rows.select("__src", "__dst", F.lit(0).cast("long").alias("size"), F.lit(True).alias("__kept"))
+        ).withColumn("__all", F.lit(0))
+        # kept runs rise in source and target alike: the last one before is the highest, the next one after the lowest
+        every = running_max(every, "__all", "__dst", F.when(F.col("__kept"), F.col("__src")), "__before", block)
+        every = running_max(every, "__all", "__dst", F.when(F.col("__kept"), -F.col("__src")), "__after", block, backwards=True)
+        crosses = F.coalesce(F.col("__before") > F.col("__src"), F.lit(False)) | F.coalesce(-F.col("__after") < F.col("__src"), F.lit(False))
+        step = materialize(every.filter("NOT __kept").select("__src", "__dst", "size", crosses.alias("moved")), "runs")
         decided.append(step.filter("moved").select("__dst", "size"))
         pending = step.filter("NOT moved").drop("moved")
+    if not decided:
+        return None
     moved = decided[0]
     for more in decided[1:]:
         moved = moved.unionByName(more)
     return None if moved.isEmpty() else moved
+
+
+def _decide(runs: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """(source, target) of the kept and (target, size) of the moved runs among (size, source, target)."""
+    sources: list[int] = []
+    targets: list[int] = []
+    moved = []
+    for size, source, target in sorted(runs, key=lambda r: (-r[0], r[2])):
+        at = bisect_left(targets, target)
+        if (at == 0 or sources[at - 1] < source) and (at == len(targets) or source < sources[at]):
+            sources.insert(at, source)
+            targets.insert(at, target)
+        else:
+            moved.append((target, size))
+    return list(zip(sources, targets)), moved

@@ -91,9 +91,11 @@ def apply_diff(table: DataFrame, diff: TableDiff) -> Patched:
     edits = diff.rows.filter(relevant).select(
         *[c.alias(f"__{k}") for c, k in zip(diff.key_values(), keys)], "action", "changed", "l", "r"
     )
-    pending = edits.filter(F.col("action") != INSERT)
-    joined = table.join(pending, null_safe(table, pending, [(k, f"__{k}") for k in keys]), "left")
-    kept = joined.filter(F.coalesce(F.col("action") != DELETE, F.lit(True)))
+    # a key that repeats is only ever deleted; one row of it is enough to find all its rows
+    gone = edits.filter(F.col("action") == DELETE).select([F.col(f"__{k}") for k in keys]).distinct()
+    left = table.join(gone, null_safe(table, gone, [(k, f"__{k}") for k in keys]), "left_anti")
+    pending = edits.filter(~F.col("action").isin(INSERT, DELETE))
+    kept = left.join(pending, null_safe(left, pending, [(k, f"__{k}") for k in keys]), "left")
     touched = F.col("action").isNotNull()
 
     def edited(x: str, y: str) -> Column:
@@ -122,7 +124,7 @@ def apply_diff(table: DataFrame, diff: TableDiff) -> Patched:
         for x, y in names.items()
         if x in table.columns
     ]
-    rejected = kept.select(*[table[k] for k in keys], F.inline(F.array_compact(F.array(*entries))))
+    rejected = kept.select(*[left[k] for k in keys], F.inline(F.array_compact(F.array(*entries))))
     return Patched(patched.unionByName(inserted), rejected)
 
 
@@ -161,13 +163,14 @@ def apply_flat(table: DataFrame, flat: DataFrame, keys: Sequence[str], types: di
     sign = F.col(ACTION_COLUMN)
     is_update = F.endswith(sign, F.lit(UPDATE))
     edits = patch.rows
-    lookup = edits.filter(is_update | sign.isin(DELETE, GAIN)).select(
-        *[F.col(f"`{keys_new[k]}`").alias(f"__k_{k}") for k in keys], F.struct(*edits.columns).alias("__e")
-    )
+    key_cells = [F.col(f"`{keys_new[k]}`").alias(f"__k_{k}") for k in keys]
+    by_key = [(f"__t_{k}", f"__k_{k}") for k in keys]
     text_keys = table.select("*", *[F.col(f"`{k}`").cast("string").alias(f"__t_{k}") for k in keys])
-    joined = text_keys.join(lookup, null_safe(text_keys, lookup, [(f"__t_{k}", f"__k_{k}") for k in keys]), "left")
+    gone = edits.filter(sign == DELETE).select(key_cells).distinct()
+    left = text_keys.join(gone, null_safe(text_keys, gone, by_key), "left_anti")
+    lookup = edits.filter(is_update | (sign == GAIN)).select(*key_cells, F.struct(*edits.columns).alias("__e"))
+    kept = left.join(lookup, null_safe(left, lookup, by_key), "left")
     action = F.col("__e")[ACTION_COLUMN]
-    kept = joined.filter(F.coalesce(action != DELETE, F.lit(True)))
 
     def halves(c: str) -> tuple[Column, Column, Column]:
         text = F.col("__e")[c]

@@ -60,10 +60,10 @@ def with_neighbourhood(df: DataFrame, pos: str, reach: int, block: int = 100_000
     """Copy each row into its position block and into a neighbour block closer than ``reach``.
 
     A window partitioned by ``__block`` and ordered by ``pos`` then sees everything within
-    ``reach`` of each of the block's own rows (``__own``), while blocks stay bounded in size.
+    ``reach`` of each of the block's own rows (``__own``), while blocks stay bounded in size; a block
+    has at least twice ``reach`` positions.
     """
-    if reach >= block:
-        raise ValueError("reach must be smaller than the block size")
+    block = max(block, 2 * reach + 1)
     own = F.floor(F.col(pos) / block)
     spread = F.array_distinct(
         F.array(F.floor((F.col(pos) - reach) / block), own, F.floor((F.col(pos) + reach) / block))

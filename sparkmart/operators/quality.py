@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from sparkmart.functions.temporal import coerce_dates
 from sparkmart.operators.position import expand_ranges
+from sparkmart.operators.stats import known_value
 from sparkmart.runtime import materialize
 
 
@@ -76,7 +77,7 @@ def null_report(datasets: dict[str, DataFrame]) -> DataFrame:
 
 
 def _nulls(name: str, df: DataFrame) -> DataFrame:
-    counts = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]
+    counts = [F.count_if(known_value(f).isNull()).alias(f"n{i}") for i, f in enumerate(df.schema.fields)]
     one_row = df.agg(F.count(F.lit(1)).alias("total"), *counts)
     lines = F.array(
         *[
@@ -192,6 +193,7 @@ def validate(
     return concat_reports(reports)
 
 
+# fixed values above and here: names of the checks, their result texts
 def _check(column: str, kind: str, expected: str, actual: Column, passed: Column) -> Column:
     return F.struct(
         F.lit(column).alias("column_name"),

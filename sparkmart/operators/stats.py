@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal, localcontext
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmart.functions.text import key_part
+from sparkmart.operators.position import with_position
 
 # values that are sorted in one task; a larger column is narrowed down around its middle first
 MEDIAN_LIMIT = 100_000
@@ -17,11 +21,12 @@ _SKETCH_ACCURACY, _SKETCH_MARGIN = 2000, 0.005
 _SKEW_ZERO = 1e-12
 
 
-def sample_skewness(column: str) -> Column:
+def sample_skewness(column: str | Column) -> Column:
     """Adjusted skewness: 0 for constant input, NULL below three values."""
-    n = F.count(F.col(column))
+    column = F.col(column) if isinstance(column, str) else column
+    n = F.count(column)
     adjusted = F.skewness(column) * F.sqrt(n * (n - 1.0)) / F.nullif(n - 2.0, F.lit(0.0))
-    constant = F.min(F.col(column)) == F.max(F.col(column))
+    constant = F.min(column) == F.max(column)
     return F.when(n >= 3, F.when(constant, 0.0).otherwise(adjusted))
 
 
@@ -38,7 +43,7 @@ class _Bracket:
     hi: float | None = None
     below: int = 0
     inside: int = 0
-    median: float | None = None
+    median: float | int | Decimal | None = None
 
     @property
     def ranks(self) -> tuple[int, int]:
@@ -54,8 +59,8 @@ class _Bracket:
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str], limit: int = MEDIAN_LIMIT,
-                  sizes: dict[str, int] | None = None) -> dict[str, float | None]:
-    """Interpolated median of each column, all columns in the same passes.
+                  sizes: dict[str, int] | None = None) -> dict[str, float | int | Decimal | None]:
+    """Interpolated median of each column, all columns in the same passes; exact for whole numbers and decimals.
 
     Columns with at most ``limit`` values are sorted at once. For the others a quantile sketch gives
     two values close to the middle on either side, a second pass counts exactly how many values lie
@@ -64,33 +69,43 @@ def exact_medians(df: DataFrame, columns: Sequence[str], limit: int = MEDIAN_LIM
     if not columns:
         return {}
     names = list(columns)
-    values = {c: F.col(f"`{c}`").cast("double") for c in names}
+    typed = {c: known_value(df.schema[c]) for c in names}
+    values = {c: typed[c].cast("double") for c in names}  # brackets are of doubles, which keep the order
     if sizes is None:
         row = df.agg(*[F.count(values[c]).alias(f"c{i}") for i, c in enumerate(names)]).first()
         sizes = {c: row[f"c{i}"] for i, c in enumerate(names)}
     brackets = {c: _Bracket(sizes[c], inside=sizes[c]) for c in names if sizes[c] > 0}
     wide = [c for c, b in brackets.items() if b.inside > limit]
     while wide:
-        _narrow(df, {c: brackets[c] for c in wide}, values)
+        _narrow(df, {c: brackets[c] for c in wide}, values, typed)
         wide = [c for c in wide if brackets[c].median is None and brackets[c].inside > limit]
     rest = [c for c, b in brackets.items() if b.median is None]
     if rest:
-        sorted_values = [F.sort_array(F.collect_list(F.when(brackets[c].holds(values[c]), values[c]))) for c in rest]
+        sorted_values = [F.sort_array(F.collect_list(F.when(brackets[c].holds(values[c]), typed[c]))) for c in rest]
         picked = [
             F.transform(F.array(*[F.lit(r - brackets[c].below) for r in brackets[c].ranks]), _element_of(v))
             for c, v in zip(rest, sorted_values)
         ]
         row = df.agg(*[p.alias(f"m{i}") for i, p in enumerate(picked)]).first()
         for i, c in enumerate(rest):
-            brackets[c].median = sum(row[f"m{i}"]) / 2
+            brackets[c].median = _middle(*row[f"m{i}"])
     return {c: brackets[c].median if c in brackets else None for c in names}
 
 
+def _middle(a, b):
+    """The mean of two middle values, exact for whole numbers and decimals."""
+    if a == b:
+        return a
+    if isinstance(a, int):
+        return (a + b) // 2 if (a + b) % 2 == 0 else Decimal(a + b) / 2
+    return (a + b) / 2 if isinstance(a, Decimal) else a / 2 + b / 2
+
+
 def _element_of(array: Column):
     return lambda index: F.element_at(array, (index + 1).cast("int"))
 
 
-def _narrow(df: DataFrame, brackets: dict[str, _Bracket], values: dict[str, Column]) -> None:
+def _narrow(df: DataFrame, brackets: dict[str, _Bracket], values: dict[str, Column], typed: dict[str, Column]) -> None:
     """One sketch pass and one counting pass over all still wide columns."""
     names = list(brackets)
     sketches = []
@@ -110,26 +125,26 @@ def _narrow(df: DataFrame, brackets: dict[str, _Bracket], values: dict[str, Colu
         b, (lo, hi) = brackets[c], edges[f"s{i}"]
         below, inside = counted[f"b{i}"], counted[f"n{i}"]
         found = below <= b.ranks[0] and b.ranks[1] < below + inside
-        if found and lo == hi:
-            b.median = lo
-        elif found and inside < b.inside:
+        if found and inside < b.inside and lo < hi:
             b.lo, b.hi, b.below, b.inside = lo, hi, below, inside
         else:  # the sketch cannot cut further: a few values hold almost all rows
-            column = df.select(values[c].alias("v")).filter("v IS NOT NULL")
+            column = df.select(typed[c].alias("v")).filter("v IS NOT NULL")
             low, high = column.agg(F.min("v"), F.max("v")).first()
-            b.median = sum(_bisect(column, rank, low, high) for rank in b.ranks) / 2
+            b.median = _middle(*[_bisect(column, rank, low, high) for rank in b.ranks])
+
 
+def _bisect(values: DataFrame, rank: int, lo, hi):
+    """Smallest value with more than ``rank`` values at or below it, by halving the interval of possible values.
 
-def _bisect(values: DataFrame, rank: int, lo: float, hi: float) -> float:
-    """Smallest value with more than ``rank`` values at or below it, by halving the value interval."""
+    Doubles are halved by their bits in order, so that at most 64 passes are needed, infinities included.
+    """
     while lo < hi:
-        mid = lo + (hi - lo) / 2
-        if mid >= hi:
-            mid = lo
+        mid = _between(lo, hi)
+        bound = F.lit(mid).cast(values.schema["v"].dataType)
         row = values.agg(
-            F.count_if(F.col("v") <= mid).alias("n"),
-            F.max(F.when(F.col("v") <= mid, F.col("v"))).alias("at"),
-            F.min(F.when(F.col("v") > mid, F.col("v"))).alias("next"),
+            F.count_if(F.col("v") <= bound).alias("n"),
+            F.max(F.when(F.col("v") <= bound, F.col("v"))).alias("at"),
+            F.min(F.when(F.col("v") > bound, F.col("v"))).alias("next"),
         ).first()
         if row["n"] > rank:
             hi = row["at"]
@@ -138,15 +153,66 @@ def _bisect(values: DataFrame, rank: int, lo: float, hi: float) -> float:
     return lo
 
 
-def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
-    """Most frequent value of each column as text, the smallest one on ties.
+def _between(lo, hi):
+    """A value half-way between two, at least the first and less than the second."""
+    if isinstance(lo, int):
+        return (lo + hi) // 2
+    if isinstance(lo, Decimal):
+        scale = max(-lo.as_tuple().exponent, -hi.as_tuple().exponent)
+        with localcontext(prec=60):
+            return Decimal((int(lo.scaleb(scale)) + int(hi.scaleb(scale))) // 2).scaleb(-scale)
+
+    def place(x: float) -> int:
+        bits = struct.unpack("<q", struct.pack("<d", x + 0.0))[0]
+        return bits if bits >= 0 else -(bits & 0x7FFFFFFFFFFFFFFF)
+
+    at = (place(lo) + place(hi)) // 2
+    bits = at if at >= 0 else -at | -0x8000000000000000
+    return struct.unpack("<d", struct.pack("<q", bits))[0]
+
+
+def known_value(field: T.StructField) -> Column:
+    """A column whose NaN are nulls."""
+    column = F.col(f"`{field.name}`")
+    return F.when(~F.isnan(column), column) if isinstance(field.dataType, (T.FloatType, T.DoubleType)) else column
+
+
+def quantiles_by(df: DataFrame, by: Sequence[str], value: str, shares: dict[str, float], block: int = 100_000) -> DataFrame:
+    """Exact discrete quantiles per group: the smallest value that at least ``share`` of the group's values don't exceed.
+
+    Values are counted first. The counts are summed up in (group, value) order block by block of positions, with the sums
+    of the blocks before added from one row per block, so a group of any size is no single task.
+    """
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__c"))
+    placed = with_position(counted, [*by, value], "__at").withColumn("__block", F.floor(F.col("__at") / block))
+    inside = Window.partitionBy(*by, "__block").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*by).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy(*by, "__block").agg(F.sum("__c").alias("__s"))
+    sums = sums.withColumns({"__before": F.coalesce(F.sum("__s").over(earlier), F.lit(0)), "__n": F.sum("__s").over(Window.partitionBy(*by))})
+    run = placed.withColumn("__run", F.sum("__c").over(inside))
+    joined = run.join(sums, [run[c].eqNullSafe(sums[c]) for c in [*by, "__block"]])
+    upto = F.col("__run") + F.col("__before")
+    picked = [
+        F.min(F.when(upto >= F.ceil(F.lit(share) * F.col("__n")), F.col(value))).alias(name) for name, share in shares.items()
+    ]
+    return joined.groupBy(*[run[c] for c in by]).agg(*picked)
+
+
+def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
+    """Most frequent value of each column, the smallest one on ties: numbers as numbers, other values as texts.
 
     Values are counted by (column, value) with partial sums, so neither a frequent value nor many
-    distinct ones end up in one task.
+    distinct ones end up in one task. Columns of one type share a pass.
     """
-    if not columns:
-        return {}
-    found = _top_values(df, {c: F.col(f"`{c}`").cast("string") for c in columns})
+    by_type: dict[str, dict[str, Column]] = {}
+    for c in columns:
+        field = df.schema[c]
+        number = isinstance(field.dataType, T.NumericType)
+        value = known_value(field) if number else F.col(f"`{c}`").cast("string")
+        by_type.setdefault(field.dataType.simpleString() if number else "string", {})[c] = value
+    found: dict[str, object] = {}
+    for values in by_type.values():
+        found.update(_top_values(df, values))
     return {c: found.get(c) for c in columns}
 
 
@@ -162,23 +228,21 @@ def _top_values(df: DataFrame, values: dict[str, Column]) -> dict[str, object]:
 def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per numeric column: count, mean, median, skewness and mode."""
     row = df.agg(
-        *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.avg(F.col(c)).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[sample_skewness(c).alias(f"s{i}") for i, c in enumerate(columns)],
+        *[F.count(known_value(df.schema[c])).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[F.avg(known_value(df.schema[c])).alias(f"m{i}") for i, c in enumerate(columns)],
+        *[sample_skewness(known_value(df.schema[c])).alias(f"s{i}") for i, c in enumerate(columns)],
     ).first()
     medians = exact_medians(df, columns, sizes={c: row[f"n{i}"] for i, c in enumerate(columns)})
-    top = _numeric_modes(df, columns)
-    lines = [(c, row[f"n{i}"], row[f"m{i}"], medians[c], row[f"s{i}"], top[c]) for i, c in enumerate(columns)]
+    top = modes(df, columns)
+    as_double = lambda x: None if x is None else float(x)
+    lines = [
+        (c, row[f"n{i}"], as_double(row[f"m{i}"]), as_double(medians[c]), row[f"s{i}"], as_double(top[c])) for i, c in enumerate(columns)
+    ]
     return df.sparkSession.createDataFrame(
         lines, "column_name string, n long, mean double, median double, skewness double, mode double"
     )
 
 
-def _numeric_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    found = _top_values(df, {c: F.col(f"`{c}`").cast("double") for c in columns})
-    return {c: found.get(c) for c in columns}
-
-
 def pass_rate(df: DataFrame, passed: Column, by: Sequence[str] = ()) -> DataFrame:
     """Share of rows that passed, in percent with one decimal."""
     return df.groupBy(*by).agg(

@@ -42,7 +42,7 @@ def load_news(spark: SparkSession, source: str, schema: str, staging: str, datab
 
     The rows need a ``seq`` column with their order of arrival.
     """
-    write_staging(read_csv(spark, source, schema), staging)
+    write_staging(read_csv(spark, source, schema, multi_line=True), staging)  # texts hold line breaks
     cleaned = clean(read_parquet(spark, staging), ["url"], ["seq"])
     return load_star_tables(materialize(cleaned, "cleaned"), database)
 

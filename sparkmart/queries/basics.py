@@ -14,21 +14,20 @@ from sparkmart.queries import fixtures as fx
 from sparkmart.queries.registry import query, table
 from sparkmart.runtime import scratch_database
 
-_FACT = """
-    SELECT o.order_number, o.order_date, o.status, o.comments, o.customer_number, od.product_code, od.quantity_ordered,
-           od.price_each, od.order_line_number
-    FROM orderdetails od LEFT JOIN sales_orders o ON od.order_number = o.order_number
-"""
+# the sales fact: every order line beside its header, whose key is null where there is no header
+_LINES = "FROM orderdetails AS line LEFT JOIN sales_orders AS header ON header.order_number = line.order_number"
+_FACT = f"SELECT header.*, line.* EXCLUDE (order_number) {_LINES}"
 
 
 @query(
     "sales_mart",
     f"""
-    WITH {fx.SALES_CTES}, fact AS ({_FACT})
-    SELECT order_date, status, comments, customer_name, product_name, quantity_ordered,
-           price_each * quantity_ordered AS total_sales
-    FROM fact s LEFT JOIN customers c ON s.customer_number = c.customer_number
-    LEFT JOIN products p ON s.product_code = p.product_code
+    WITH {fx.SALES_CTES}
+    SELECT line.price_each * line.quantity_ordered AS total_sales, line.quantity_ordered,
+           (SELECT product_name FROM products WHERE products.product_code = line.product_code) AS product_name,
+           (SELECT customer_name FROM customers WHERE customers.customer_number = header.customer_number) AS customer_name,
+           header.comments, header.status, header.order_date
+    {_LINES}
     """,
 )
 def sales_mart(spark: SparkSession, sf_dir: str) -> DataFrame:

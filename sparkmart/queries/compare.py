@@ -408,7 +408,15 @@ def patch_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patch.apply_diff(fx.local(spark, sf_dir), diff.diff(a, b, _KEYS)).rejected
 
 
-@query("diff_moves")
+@query(
+    "diff_moves",
+    """
+    WITH t AS (SELECT c_custkey, floor(c_custkey / 20) % 7 = 3 AS late FROM customer)
+    SELECT l_pos, r_pos FROM (
+      SELECT late, row_number() OVER (ORDER BY c_custkey) - 1 AS l_pos, row_number() OVER (ORDER BY late, c_custkey) - 1 AS r_pos FROM t)
+    WHERE late
+    """,
+)
 def diff_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers in key order against an order in which some blocks of keys went to the end."""
     customer = table(spark, sf_dir, "customer").select("c_custkey")
@@ -427,7 +435,6 @@ def _auto_sql() -> str:
         f"""{fx.VERSION_CTES},
         a AS MATERIALIZED (SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS pos, {', '.join(columns)} FROM parent),
         b AS MATERIALIZED (SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS pos, {', '.join(columns)} FROM remote),
-        h AS (SELECT 0.1 * (greatest((SELECT count(*) FROM a), (SELECT count(*) FROM b)) + 1 + 20) AS bound),
         p0 AS (SELECT CAST(NULL AS BIGINT) AS l_pos, CAST(NULL AS BIGINT) AS r_pos WHERE false)"""
     ]
     for i, subset in enumerate(subsets, 1):
@@ -442,8 +449,6 @@ def _auto_sql() -> str:
           FROM (SELECT {k}, min(pos) AS pos, count(*) AS n FROM a GROUP BY {k}) x
           JOIN (SELECT {k}, min(pos) AS pos, count(*) AS n FROM b GROUP BY {k}) y ON {on}
           WHERE x.n = 1 AND y.n = 1
-            AND (SELECT max(n) FROM (SELECT count(*) AS n FROM a GROUP BY {k} UNION ALL SELECT count(*) FROM b GROUP BY {k}) f)
-                < (SELECT bound FROM h)
             AND x.pos NOT IN (SELECT l_pos FROM p{i - 1}) AND y.pos NOT IN (SELECT r_pos FROM p{i - 1}))"""
         )
     return f"WITH {','.join(parts)} SELECT l_pos, r_pos FROM p{len(subsets)}"
@@ -473,14 +478,14 @@ def diff_keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
     "diff_reordered",
     """
     WITH t AS (SELECT max(o_orderkey) * 9 // 10 AS cut FROM orders)
-    SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 7 THEN '->' WHEN o_orderkey > cut THEN ':' ELSE '' END AS action,
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, CASE WHEN o_orderkey % 100 = 7 THEN '->' WHEN o_orderkey > cut THEN ':' ELSE '' END AS action,
            o_orderkey > cut AS moved
     FROM orders, t
     """,
 )
 def diff_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last tenth of the orders went to the front, and some statuses changed."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    orders = table(spark, sf_dir, "orders")
     cut = orders.agg(F.expr("max(o_orderkey) * 9 div 10")).first()[0]
     changed = orders.withColumn(
         "o_orderstatus", F.when(F.col("o_orderkey") % 100 == 7, "changed").otherwise(F.col("o_orderstatus"))
@@ -488,7 +493,8 @@ def diff_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = with_position(orders, ["o_orderkey"], "row_no")
     b = with_position(changed, [(F.col("o_orderkey") <= cut).cast("int"), "o_orderkey"], "row_no")
     found = diff.diff(a, b, ["o_orderkey"], position="row_no").with_moves("row_no")
-    return found.rows.select(*found.key_values(), "action", "moved")
+    kept = [F.col("l")[c].alias(c) for c in orders.columns if c != "o_orderkey"]
+    return found.rows.select(*found.key_values(), *kept, "action", "moved")
 
 
 @query("diff_auto", _auto_sql())

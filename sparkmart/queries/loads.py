@@ -40,14 +40,14 @@ def load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _INCREMENTAL_SQL = """
-    SELECT event_id, user_id, CASE WHEN event_id <= (SELECT max(event_id) // 2 FROM events) THEN 'first' ELSE 'second' END AS run
+    SELECT *, CASE WHEN event_id <= (SELECT max(event_id) // 2 FROM events) THEN 'first' ELSE 'second' END AS run
     FROM events
 """
 
 
 def _two_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The state of the source at two moments: first its older half, then everything."""
-    events = table(spark, sf_dir, "events").select("event_id", "user_id")
+    events = table(spark, sf_dir, "events")
     middle = events.agg(F.expr("max(event_id) div 2")).first()[0]
     first = events.filter(F.col("event_id") <= middle).withColumn("run", F.lit("first"))
     return first, events.withColumn("run", F.lit("second"))
@@ -69,7 +69,7 @@ def load_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target)
 
 
-@query("load_incremental_empty", "SELECT event_id, user_id, 'second' AS run FROM events")
+@query("load_incremental_empty", "SELECT *, 'second' AS run FROM events")
 def load_incremental_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target exists but is empty, so the incremental load takes everything."""
     target = f"{scratch_database(spark)}.events"
@@ -171,8 +171,8 @@ def move_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "trim_blank",
     """
-    SELECT s_suppkey AS pos, s_name AS c0, CAST(s_acctbal AS VARCHAR) AS c1 FROM supplier
-    WHERE s_suppkey <= (SELECT max(s_suppkey) - 4 FROM supplier)
+    SELECT s_suppkey AS pos, s_name AS c0, CAST(s_acctbal AS VARCHAR) AS c1, CASE WHEN s_suppkey > 2 THEN 'late' END AS c2
+    FROM supplier WHERE s_suppkey <= (SELECT max(s_suppkey) - 4 FROM supplier)
     """,
 )
 def trim_blank(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,13 +36,14 @@ def src_csv_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     SELECT 's_suppkey|s_name|s_nationkey|s_acctbal' AS line, 4 AS fields
     UNION ALL
-    SELECT concat_ws('|', s_suppkey, s_name, s_nationkey, s_acctbal), 4 FROM supplier
+    SELECT concat_ws('|', s_suppkey, s_name, s_nationkey, s_acctbal), 4 FROM supplier, (SELECT unnest([1, 2]))
     """,
 )
 def src_csv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each written file begins with the header, which is a row like the others; equal rows are merged."""
-    path = sinks.write_csv(table(spark, sf_dir, "supplier"), scratch_path(spark, "csv"))
-    raw = files.read_csv_raw(spark, path).distinct()
+    """One file with every supplier twice; its header is a row like the others, and repeated lines stay."""
+    supplier = table(spark, sf_dir, "supplier")
+    path = sinks.write_csv(supplier.unionAll(supplier).coalesce(1), scratch_path(spark, "csv"))
+    raw = files.read_csv_raw(spark, path)
     return raw.select(F.array_join("fields", "|").alias("line"), F.size("fields").alias("fields"))
 
 
@@ -75,12 +76,12 @@ def src_json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markup.flatten_json(landed, "document", schema, {"k": "props.k", "kind": "meta.kind"}, ["event_id"])
 
 
-@query("src_json_items", "SELECT conv_id, turn, role, length(text) AS n_chars FROM conversations")
+@query("src_json_items", "SELECT conv_id, turn, role, text FROM conversations")
 def src_json_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
-    item = F.struct("turn", "role", F.length("text").alias("n_chars"))
+    item = F.struct("turn", "role", "text")
     landed = turns.select("conv_id", F.to_json(F.struct(F.array(item).alias("items"))).alias("document"))
-    schema = "items array<struct<turn: long, role: string, n_chars: bigint>>"
+    schema = "items array<struct<turn: long, role: string, text: string>>"
     return markup.explode_json(landed, "document", schema, "items", ["conv_id"])
 
 
@@ -117,18 +118,19 @@ def src_html_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "src_ndjson",
     """
-    SELECT CAST(NULL AS BIGINT) AS conv_id, event_id, CAST(NULL AS VARCHAR) AS role, CAST(NULL AS BIGINT) AS turn,
-           user_id, value
+    SELECT CAST(NULL AS BIGINT) AS conv_id, event_id, event_type, props, CAST(NULL AS VARCHAR) AS role, CAST(NULL AS VARCHAR) AS text,
+           strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, CAST(NULL AS BIGINT) AS turn, user_id, value
     FROM events
     UNION ALL
-    SELECT conv_id, NULL, role, turn, NULL, NULL FROM conversations
+    SELECT conv_id, NULL, NULL, NULL, role, text, NULL, turn, NULL, NULL FROM conversations
     """,
 )
 def src_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two kinds of lines in one folder; the columns are the union of their fields."""
     path = scratch_path(spark, "ndjson")
-    sinks.write_ndjson(table(spark, sf_dir, "events").select("event_id", "user_id", "value"), f"{path}/kind=a")
-    sinks.write_ndjson(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role"), f"{path}/kind=b")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    sinks.write_ndjson(events, f"{path}/kind=a")
+    sinks.write_ndjson(table(spark, sf_dir, "conversations"), f"{path}/kind=b")
     return files.read_ndjson(spark, path).drop("kind")
 
 

@@ -17,10 +17,10 @@ def _land(events: DataFrame, folder: str, files: int = 4) -> None:
     events.repartitionByRange(files, "event_id").write.parquet(folder)
 
 
-@query("stream_file_ingest", "SELECT event_id, user_id, event_type, value * 2 AS value FROM events")
+@query("stream_file_ingest", "SELECT * REPLACE (value * 2 AS value) FROM events")
 def stream_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files are picked up in two arrivals; the second run only sees the new ones."""
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    events = table(spark, sf_dir, "events")
     landing, target, checkpoint = (scratch_path(spark, x) for x in ("landing", "ingested", "offsets"))
     middle = events.agg(F.expr("max(event_id) div 2")).first()[0]
     for i, part in enumerate((F.col("event_id") <= middle, F.col("event_id") > middle)):
@@ -31,10 +31,10 @@ def stream_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(events.schema).parquet(target)
 
 
-@query("stream_upsert", "SELECT event_id, user_id, event_type, value FROM events")
+@query("stream_upsert", "SELECT * FROM events")
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event arrives twice, in different files; the target holds it once."""
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    events = table(spark, sf_dir, "events")
     landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "offsets")
     _land(events, f"{landing}/0")
     _land(events, f"{landing}/1", files=3)

@@ -12,29 +12,35 @@ from sparkmart.functions.text import unescape_null
 
 # fixed values: field separator by file extension
 SEPARATORS = {"csv": ",", "tsv": "\t", "ssv": ";"}
-# quoted fields may hold line breaks and doubled quotes
-_QUOTING = {"quote": '"', "escape": '"', "multiLine": True}
+# quoted fields may hold doubled quotes
+_QUOTING = {"quote": '"', "escape": '"'}
+
+
+def _options(sep: str, header: bool, multi_line: bool) -> dict:
+    """``multi_line`` allows line breaks inside quoted fields; a file is then read by a single task."""
+    return {"header": header, "sep": sep, "multiLine": multi_line, **_QUOTING}
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, sep: str = ",") -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, sep: str = ",",
+             multi_line: bool = False) -> DataFrame:
     """CSV with a header row. Give the schema; without one the whole input is read twice to infer it."""
-    reader = spark.read.options(header=True, sep=sep, **_QUOTING)
+    reader = spark.read.options(**_options(sep, True, multi_line))
     return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(path)
 
 
-def read_csv_strings(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+def read_csv_strings(spark: SparkSession, path: str, sep: str = ",", multi_line: bool = False) -> DataFrame:
     """CSV with a header row, every column text; an empty field is the empty text, not NULL."""
-    raw = spark.read.options(header=True, sep=sep, **_QUOTING).csv(path)
+    raw = spark.read.options(**_options(sep, True, multi_line)).csv(path)
     return raw.select([F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in raw.columns])
 
 
-def read_csv_raw(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+def read_csv_raw(spark: SparkSession, path: str, sep: str = ",", multi_line: bool = False) -> DataFrame:
     """CSV as one array of texts per line; the header is a row like the others."""
-    raw = spark.read.options(header=False, sep=sep, **_QUOTING).csv(path)
+    raw = spark.read.options(**_options(sep, False, multi_line)).csv(path)
     return raw.select(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in raw.columns]).alias("fields"))
 
 
@@ -59,14 +65,15 @@ def separator_for(path: str, psv: str | None = None) -> str:
 
 
 def read_delimited(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str | None = None, psv: str | None = None
+    spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str | None = None, psv: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Delimited text written by :func:`sparkmart.sources.sinks.write_delimited`.
 
     The separator follows the file extension. The literal NULL is a null and ``_NULL`` the text
     ``NULL``. With ``schema`` the columns are cast to it.
     """
-    raw = read_csv_strings(spark, path, sep or separator_for(path, psv))
+    raw = read_csv_strings(spark, path, sep or separator_for(path, psv), multi_line)
     return restore_nulls(raw, schema)
 
 
@@ -82,5 +89,7 @@ def restore_nulls(raw: DataFrame, schema: T.StructType | None = None) -> DataFra
 
 def query_file(spark: SparkSession, path: str, args: dict | None = None) -> DataFrame:
     """Run the SQL query stored in a file, with named parameters, over the registered tables."""
-    text = "\n".join(row.value for row in spark.read.text(path, wholetext=True).limit(1).collect())
-    return spark.sql(text.strip().rstrip(";"), args=args or {})
+    found = spark.read.text(path, wholetext=True).limit(2).collect()
+    if len(found) != 1:
+        raise ValueError(f"{path!r} holds {'several SQL files' if found else 'no SQL file'}; one was expected")
+    return spark.sql(found[0].value.strip().rstrip(";"), args=args or {})

@@ -62,24 +62,28 @@ def read_workbook(spark: SparkSession, path: str, tables: Sequence[str] | None =
         "entry.key AS name",
         "try_variant_get(entry.value, '$.columns', 'array<string>') AS columns",
         "try_variant_get(entry.value, '$.rows', 'array<variant>') AS rows",
-    ).filter("columns IS NOT NULL AND rows IS NOT NULL")
+    )
+    broken = sheets.filter("columns IS NULL OR rows IS NULL").select("name").first()
+    if broken is not None:
+        raise ValueError(f"table {broken['name']!r} has no columns or no rows")
     wanted = set(tables) if tables is not None else None
+    found = sheets.groupBy("name").agg(F.min("columns").alias("first"), F.collect_set("columns").alias("all"))
     headers = {
-        row["name"]: row["columns"]
-        for row in sheets.groupBy("name").agg(F.min("columns").alias("columns")).collect()  # one row per table
+        row["name"]: list(dict.fromkeys([*row["first"], *(c for columns in sorted(row["all"]) for c in columns)]))
+        for row in found.collect()  # one row per table, with its different headers
         if wanted is None or row["name"] in wanted
     }
     out = {}
     for name, columns in headers.items():
-        rows = sheets.filter(F.col("name") == name).selectExpr("posexplode(rows) AS (__pos, cell)")
-        out[name] = rows.select(
-            *[_workbook_cell(i, column).alias(column) for i, column in enumerate(columns)]
-        )
+        rows = sheets.filter(F.col("name") == name).selectExpr("columns", "posexplode(rows) AS (__pos, cell)")
+        cells = rows.select("columns", "cell", F.try_variant_get("cell", "$", "array<string>").alias("cells"))
+        out[name] = cells.select(*[_workbook_cell(column).alias(column) for column in columns])
     return out
 
 
-def _workbook_cell(index: int, column: str) -> Column:
-    by_position = F.try_variant_get("cell", f"$[{index}]", "string")
+def _workbook_cell(column: str) -> Column:
+    """The cell of a row under ``column``, by the header of the row's own file."""
+    by_position = F.get("cells", (F.array_position("columns", column) - 1).cast("int"))
     by_name = F.try_variant_get("cell", f"$['{column}']", "string")
     return F.coalesce(by_position, by_name)
 

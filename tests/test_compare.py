@@ -36,10 +36,12 @@ def test_composite_keys_and_renames(spark):
     assert [(c.column, c.action) for c in diff.schema_diff(a, b, {"v": "w"})] == [("k1", ""), ("k2", ""), ("w", "(v)")]
 
 
-def test_rename_is_proposed_from_the_first_rows(spark):
+def test_rename_is_proposed_from_all_rows(spark):
     a = spark.createDataFrame([(i, f"n{i}", i * 2) for i in range(8)], "pos long, name string, size long")
     b = a.withColumnRenamed("name", "title").drop("size").withColumn("other", F.lit("z"))
     assert diff.propose_renames(a, b, "pos") == {"name": "title"}
+    late = b.withColumn("title", F.when(F.col("pos") == 7, "else").otherwise(F.col("title")))
+    assert diff.propose_renames(a, late, "pos") == {}
 
 
 def test_tolerances(spark):
@@ -98,16 +100,9 @@ def sequential_pairs(a, b, columns):
         parts = ["" if row[c] in (None, "", "null", "undefined") else str(row[c]) for c in subset]
         return None if len(parts) == 1 and parts[0] == "" else tuple(parts)
 
-    pairs, used_a, used_b, usable = [], set(), set(), 0
-    subsets = column_subsets(columns)
-    height = max(len(a), len(b)) + 1
-    for n, subset in enumerate(subsets):
+    pairs, used_a, used_b = [], set(), set()
+    for subset in column_subsets(columns):
         ka, kb = [key(r, subset) for r in a], [key(r, subset) for r in b]
-        raw = [[tuple(str(r[c]) for c in subset) for r in t] for t in (a, b)]
-        top = max(max(t.count(k) for k in t) for t in raw)
-        if top / (height + 20) >= 0.1 and (usable or n < len(subsets) - 1):
-            continue
-        usable += 1
         for i, k in enumerate(ka):
             if k is None or i in used_a or ka.count(k) != 1 or kb.count(k) != 1:
                 continue
@@ -221,6 +216,37 @@ def test_merge_properties(spark):
     assert merge.three_way(p, x, x, ["k"]).conflicts().isEmpty()
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_merge_properties_with_repeated_and_null_keys(spark, seed):
+    rng = random.Random(seed)
+    schema = "k long, v string"
+
+    def some(n):
+        return spark.createDataFrame([(rng.choice([None, 1, 2, 3, 4, 5, 6, 7, 8]), rng.choice("ab")) for _ in range(n)], schema)
+
+    p, x = some(9), some(12)
+    for merged, wanted in (((p, x, p), x), ((p, p, x), x), ((p, p, p), p)):
+        assert rows(merge.three_way(*merged, ["k"]).merged()) == rows(wanted)
+
+
+def test_many_columns_pair_equal_rows_first(spark):
+    a = [(i // 4, i // 2 % 2, i % 2, 0, 0, i) for i in range(8)]
+    names = "pos long, c0 long, c1 long, c2 long, c3 long, c4 long, c5 long"
+    left = spark.createDataFrame([(i, *r) for i, r in enumerate(a)], names)
+    right = spark.createDataFrame([(i, *r) for i, r in enumerate(reversed(a))], names)
+    summary = align.diff_without_key(left, right, "pos", options=CompareOptions(ignore_columns=("pos",))).summary().first()
+    assert summary["row_updates"] == summary["row_inserts"] == summary["row_deletes"] == 0
+
+
+def test_unlike_types_are_compared_as_texts(spark):
+    a = spark.createDataFrame([(1, 5), (2, 6)], "k long, v int")
+    b = spark.createDataFrame([(1, "5"), (2, "abc")], "k long, v string")
+    found = diff.diff(a, b, ["k"])
+    assert rows(found.rows.select("action")) == [("",), ("->",)]
+    assert found.summary().first()["col_updates"] == 1
+    assert diff.diff(a, a.withColumn("v", F.col("v").cast("double")), ["k"]).summary().first()["different"]
+
+
 def test_merge_conflicts_and_columns(spark):
     p = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, "c", 3)], "k long, v string, drop_l long")
     loc = spark.createDataFrame([(1, "L", "n"), (2, "b", "m")], "k long, v string, add_l string")

@@ -107,6 +107,22 @@ def test_moved_rows_match_brute_force(spark):
         df = spark.createDataFrame([(g, 2 * i) for i, g in enumerate(gaps)], "l long, r long")
         got = {(r["l"] - 1) // 3 for r in moved_rows(df, "l", "r", block=16).collect()}
         assert got == greedy_moves(source)
+        for few in (1, 3):  # batches of so many runs
+            again = {(r["l"] - 1) // 3 for r in moved_rows(df, "l", "r", block=16, at_once=few).collect()} if len(source) <= 40 else got
+            assert again == got
+
+
+def test_many_runs_of_different_lengths(spark):
+    sizes = list(range(1, 61))
+    random.Random(3).shuffle(sizes)
+    blocks, at = [], 0
+    for n in sizes:
+        blocks.append(list(range(at, at + n)))
+        at += n
+    random.Random(5).shuffle(blocks)
+    source = [x for b in blocks for x in b]
+    df = spark.createDataFrame([(s, i) for i, s in enumerate(source)], "l long, r long")
+    assert {r["l"] for r in moved_rows(df, "l", "r").collect()} == greedy_moves(source)
 
 
 def test_moved_items_matches_brute_force():

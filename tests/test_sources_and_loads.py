@@ -42,6 +42,31 @@ def test_csv_three_ways(spark, tmp_path):
     assert files.read_csv(spark, str(path)).schema["id"].dataType.simpleString() == "int"
 
 
+def test_one_file_is_read_by_several_tasks(spark, tmp_path):
+    path = tmp_path / "big.csv"
+    path.write_text("id,t\n" + "".join(f"{i},{'x' * 80}\n" for i in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        df = files.read_csv(spark, str(path), "id long, t string")
+        assert df.rdd.getNumPartitions() > 1 and df.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_folder_of_two_sql_files_is_refused(spark, tmp_path):
+    for n in "ab":
+        (tmp_path / f"{n}.sql").write_text("SELECT 1")
+    with pytest.raises(ValueError):
+        files.query_file(spark, str(tmp_path))
+
+
+def test_workbook_files_with_other_column_order(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"t": {"columns": ["id", "name"], "rows": [["1", "ann"]]}}))
+    (tmp_path / "b.json").write_text(json.dumps({"t": {"columns": ["name", "id"], "rows": [["bob", "2"]]}}))
+    assert rows(markup.read_workbook(spark, str(tmp_path))["t"].select("id", "name")) == [("1", "ann"), ("2", "bob")]
+
+
 def test_json_array(spark, tmp_path):
     posts = [{"userId": 1 + i // 10, "id": i + 1, "title": f"t{i}", "body": "a\nb"} for i in range(20)]
     (tmp_path / "posts.json").write_text(json.dumps(posts, indent=2))
@@ -53,7 +78,7 @@ def test_null_literal_rule(spark):
     values = [None, "NULL", "_NULL", "__NULL", "", "null", "_x", "a,b\n\"c\""]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, v string")
     path = sinks.write_delimited(df, f"{scratch_path(spark, 'n')}.ssv")
-    assert rows(files.read_delimited(spark, path, df.schema)) == rows(df)
+    assert rows(files.read_delimited(spark, path, df.schema, multi_line=True)) == rows(df)
     assert df.select(text.escape_null(F.col("v"))).collect()[1][0] == "_NULL"
 
 
@@ -154,7 +179,7 @@ def test_trim_blank(spark):
         "pos long, c0 string, c1 string, c2 string, c3 string",
     )
     trimmed = changes.trim_blank(grid, "pos")
-    assert trimmed.columns == ["pos", "c0", "c1"] and trimmed.count() == 4
+    assert trimmed.columns == ["pos", "c0", "c1", "c2"] and trimmed.count() == 4
 
 
 def test_changes_match_null_conditions(spark):

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from sparkmart.functions.temporal import coerce_dates, parse_day_first
+from sparkmart.functions.temporal import coerce_dates, parse_day_first, parse_timestamp
 from sparkmart.operators import impute, quality, stats
 from sparkmart.plans import news
 
@@ -97,6 +97,22 @@ def test_large_column_median_is_exact(spark, shape):
 def test_modes_take_the_smallest_value_on_ties(spark):
     df = spark.createDataFrame([("b", True), ("a", False), ("b", True), ("a", None), (None, None)], "s string, f boolean")
     assert stats.modes(df, ["s", "f"]) == {"s": "a", "f": "true"}
+    numbers = spark.createDataFrame([(9, -1.0), (10, -5.0), (None, float("nan")), (None, float("nan"))], "i int, d double")
+    assert stats.modes(numbers, ["i", "d"]) == {"i": 9, "d": -5.0}
+
+
+def test_medians_end_and_stay_exact(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(x, y) for x, y in [(-inf, 2**60 + 1), (inf, 2**60 + 1), (1.0, 2**60 + 3), (2.0, 2**60 + 5)] * 30 + [(float("nan"), None)]], "d double, i long")
+    assert stats.exact_medians(df, ["d", "i"], limit=10) == {"d": 1.5, "i": 2**60 + 2}
+
+
+def test_quantiles_by_group_are_exact(spark):
+    df = spark.range(2000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7919 % 2003).alias("v"))
+    got = {r["g"]: (r["a"], r["b"]) for r in stats.quantiles_by(df, ["g"], "v", {"a": 0.5, "b": 0.9}, block=50).collect()}
+    for g in range(3):
+        values = sorted(i * 7919 % 2003 for i in range(2000) if i % 3 == g)
+        assert got[g] == tuple(values[-(-len(values) * n // 10) - 1] for n in (5, 9))
 
 
 def test_skewness_matches_pandas(spark):
@@ -144,6 +160,14 @@ def test_day_first_dates(spark):
     ]
 
 
+def test_more_ways_to_write_a_date(spark):
+    texts = ["2024-01-05T10:00:00", "05-Jan-2024", "January 5, 2024", "5/1/24", "2024-01-05 10:00:00.123", "5/1/2024 3:07 pm", "5-1-95", "20240105", "2024-01-05 25:00"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(parse_day_first("t").cast("string"), parse_timestamp("t").cast("string")).collect()
+    assert [r[0] for r in got] == ["2024-01-05"] * 6 + ["1995-01-05", "2024-01-05", "2024-01-05"]
+    assert [r[1][11:] if r[1] else None for r in got] == ["10:00:00", "00:00:00", "00:00:00", "00:00:00", "10:00:00.123", "15:07:00", "00:00:00", "00:00:00", None]
+
+
 def test_coercion_goes_by_name(spark):
     df = spark.createDataFrame([("13-05-2025", "13-05-2025", "x")], "updated string, shown string, last_timestamp string")
     row = coerce_dates(df).first()
