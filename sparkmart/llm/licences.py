@@ -25,14 +25,14 @@ SENTENCES = (
     ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("apache-2.0-you", 'Licensed under the Apache License, Version 2.0 (the "License")'),
     ("apache-2.0-use", "you may not use this file except in compliance with the License"),
-    ("apache-2.0-both", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License'),
     ("apache-2.0-copy", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     ("mit", "Released under the MIT License"),
     ("mit-licensed", "Licensed under the MIT License"),
     ("mit-permission", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction'),
     ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
     ("gpl-redistribute", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
-    ("gpl-warranty", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"),
+    ("gpl-warranty", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY"),
+    ("gpl-implied", "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"),
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0"),
     ("cc-by-4.0", "Licensed under CC BY 4.0"),
     ("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0"),
@@ -42,12 +42,11 @@ SENTENCES = (
 )
 #: Rules in order (licence, sequence of identifiers).
 RULES = (
-    ("Apache-2.0", ("apache-2.0-both", "apache-2.0-copy")),
     ("Apache-2.0", ("apache-2.0-you", "apache-2.0-use", "apache-2.0-copy")),
-    ("Apache-2.0", ("apache-2.0-both",)),
+    ("Apache-2.0", ("apache-2.0-you", "apache-2.0-use")),
     ("Apache-2.0", ("apache-2.0-you",)),
     ("Apache-2.0", ("apache-2.0",)),
-    ("GPL-3.0-or-later", ("gpl-redistribute", "gpl-warranty")),
+    ("GPL-3.0-or-later", ("gpl-redistribute", "gpl-warranty", "gpl-implied")),
     ("GPL-3.0-or-later", ("gpl-redistribute",)),
     ("GPL-3.0-only", ("gpl-3.0",)),
     ("MIT", ("mit", "mit-permission")),

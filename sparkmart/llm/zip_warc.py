@@ -154,8 +154,8 @@ def _tail(file: pa.NativeFile, size: int) -> tuple[int, int, int]:
     file.seek(low)
     end = file.read(size - low)
     at = end.rfind(b"PK\x05\x06")
-    while at >= 0 and at + 22 + struct.unpack_from("<H", end, at + 20)[0] != len(end):
-        at = end.rfind(b"PK\x05\x06", 0, at)
+    while at >= 0 and (at + 22 > len(end) or at + 22 + struct.unpack_from("<H", end, at + 20)[0] != len(end)):
+        at = end.rfind(b"PK\x05\x06", 0, at + 3)  # the mark can occur in the comment
     if at < 0:
         raise ValueError("no end of central directory")
     entries, length, place = struct.unpack_from("<HII", end, at + 10)
