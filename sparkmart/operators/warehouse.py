@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
@@ -13,7 +14,11 @@ from sparkmart.functions.temporal import date_parts, parse_day_first
 from sparkmart.functions.text import split_list
 from sparkmart.operators.position import with_position
 from sparkmart.operators.quality import keep_first
+from sparkmart.operators.state import StateTable
+from sparkmart.runtime import materialize
 
+# columns of the written rows that all six loads read
+DATED = ["seq", "title", "description", "url", "category", "source_category", "tags", "live", "in_pagination", "date"]
 # fixed values: the reasons a row is rejected, in the order in which they are looked for
 REJECT_REASONS = ("date_null", "category", "source_category", "date", "article")
 
@@ -39,9 +44,17 @@ def assign_keys(new: DataFrame, existing: DataFrame | None, key: str, natural: S
 
 def _dated(news: DataFrame) -> DataFrame:
     """Rows that have a readable date, with it parsed; the others take no part in the load."""
+    if news.columns == DATED:
+        return news
     return news.withColumn("date", publication_day(news)).filter("date IS NOT NULL")
 
 
+def dated(news: DataFrame) -> DataFrame:
+    """What the loads need of the dated rows, written once: the news are read and their dates parsed a single time."""
+    rows = _dated(news).withColumn("in_pagination", pagination_flag(news))
+    return materialize(rows.select(*DATED), "dated-news")
+
+
 def publication_day(news: DataFrame) -> Column:
     """The day of ``updated``: parsed from a text, or taken from the time that cleaning made of it."""
     is_text = dict(news.dtypes)["updated"] == "string"
@@ -195,33 +208,63 @@ DIMENSION_KEYS = {
 }
 
 
+# what a load appends carries its id here; only rows of finished loads are read
+LOAD_ID = "load_id"
+
+
+def _loads(spark: SparkSession, database: str) -> StateTable:
+    return StateTable(spark, f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/_loads")
+
+
+def _stored(spark: SparkSession, database: str, loads: Sequence[str]) -> Star:
+    found = {}
+    for name in [*DIMENSION_KEYS, "fact_news"]:
+        if loads and spark.catalog.tableExists(f"{database}.{name}"):
+            rows = spark.table(f"{database}.{name}").filter(F.col(LOAD_ID).isin(list(loads)))
+            found[name] = rows.drop(LOAD_ID)
+    return Star(**found)
+
+
 def read_star(spark: SparkSession, database: str) -> Star:
-    """The star as stored in a database; tables that do not exist yet are None."""
-    names = [*DIMENSION_KEYS, "fact_news"]
-    return Star(**{n: spark.table(f"{database}.{n}") for n in names if spark.catalog.tableExists(f"{database}.{n}")})
+    """The star as stored in a database by finished loads; all of it is None before the first one has finished."""
+    return _stored(spark, database, _loads(spark, database).get("finished", []))
 
 
 def load_star_tables(news: DataFrame, database: str) -> Star:
     """Load news into the star of a database: dimensions first, then the fact, each by appending what is new.
 
-    A load that broke off is completed by running it again, and a repeated load adds nothing.
+    The rows of a load become visible together, when its id is added to the list of finished loads after the last
+    table was written. A load that broke off leaves rows that are never read, and a repeated load adds nothing. If
+    another load has finished meanwhile, this one isn't finished but raises, as both may have given the same keys.
     """
     spark = news.sparkSession
-    before = read_star(spark, database)
-    after = load_dimensions(news, before)
+    state = _loads(spark, database)
+    finished = state.get("finished", [])
+    before = _stored(spark, database, finished)
+    load = uuid.uuid4().hex
+    rows = dated(news)
+
+    def append(added: DataFrame, name: str) -> None:
+        target = added.withColumn(LOAD_ID, F.lit(load)).write.mode("append").format("parquet").partitionBy(LOAD_ID)
+        target.saveAsTable(f"{database}.{name}")
+
+    after = load_dimensions(rows, before)
     for name, key in DIMENSION_KEYS.items():
         known = getattr(before, name)
         highest = (known.agg(F.max(key)).first()[0] if known is not None else None) or 0
-        added = getattr(after, name).filter(F.col(key) > highest)
-        added.write.mode("append").format("parquet").saveAsTable(f"{database}.{name}")
-    stored = read_star(spark, database)
-    new_facts(news, stored).write.mode("append").format("parquet").saveAsTable(f"{database}.fact_news")
+        append(getattr(after, name).filter(F.col(key) > highest), name)
+    with_new = _stored(spark, database, [*finished, load])
+    append(new_facts(rows, replace(with_new, fact_news=before.fact_news)), "fact_news")
+    if state.get("finished", []) != finished:
+        raise RuntimeError("another load into this database has finished meanwhile; run this one again")
+    state.set("finished", [*finished, load], seq=len(finished) + 1)
     return read_star(spark, database)
 
 
 def load_star(news: DataFrame, star: Star = Star()) -> Star:
-    dims = load_dimensions(news, star)
-    return replace(dims, fact_news=load_fact(news, dims))
+    rows = dated(news)
+    dims = load_dimensions(rows, star)
+    return replace(dims, fact_news=load_fact(rows, dims))
 
 
 def star_extract(star: Star) -> DataFrame:

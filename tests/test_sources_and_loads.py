@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkmart.functions import temporal, text
-from sparkmart.operators import changes, intervals, loads, quality
+from sparkmart.operators import changes, intervals, loads, quality, warehouse
 from sparkmart.operators.state import StateTable
-from sparkmart.operators.warehouse import Star, load_star, load_star_tables, lookup, rejects
+from sparkmart.operators.warehouse import Star, load_star, load_star_tables, lookup, read_star, rejects
 from sparkmart.plans import news, sales
 from sparkmart.plans.extract_load import TableSpec, param_query, specs_from
 from sparkmart.plans.models import Model, Project
@@ -271,6 +271,25 @@ def test_star_tables_are_loaded_once(spark):
     assert rows(star.dim_category) == [(1, "c1"), (2, "c2")]
 
 
+def test_a_broken_load_is_not_seen(spark, monkeypatch):
+    source, database = _news(spark), scratch_database(spark)
+    load_star_tables(source.filter("seq = 1"), database)
+    before = {n: rows(getattr(read_star(spark, database), n)) for n in Star.__dataclass_fields__}
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(warehouse, "new_facts", broken)
+        with pytest.raises(RuntimeError):
+            load_star_tables(source, database)
+    assert spark.table(f"{database}.dim_article").count() > len(before["dim_article"])
+    assert {n: rows(getattr(read_star(spark, database), n)) for n in Star.__dataclass_fields__} == before
+    star = load_star_tables(source, database)
+    assert star.fact_news.count() == 2 and star.dim_article.count() == 3
+    assert star.dim_article.select("news_id").distinct().count() == 3
+
+
 def test_news_flow_from_csv(spark):
     source = _news(spark).filter("seq < 7")
     path, staging = scratch_path(spark, "csv"), scratch_path(spark, "staging")
