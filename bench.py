@@ -13,7 +13,7 @@ import sys
 import time
 
 from sparkmart.queries import QUERIES
-from sparkmart.runtime import local_session
+from sparkmart.runtime import drop_scratch, local_session
 
 HEADLINE = (
     "sales_mart",
@@ -68,6 +68,7 @@ def main() -> None:
     for name in names:
         run(spark, name, sf_dir)
         times[name] = round(statistics.median(run(spark, name, sf_dir) for _ in range(runs)), 3)
+    drop_scratch(spark)
     spark.stop()
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     total = round(sum(times.values()), 3)

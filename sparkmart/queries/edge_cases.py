@@ -6,9 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.functions import temporal
-from sparkmart.operators import align, diff, impute, merge, patch, stats
+from sparkmart.operators import align, diff, impute, merge, patch, stats, tables
 from sparkmart.operators.position import with_position
-from sparkmart.queries.registry import query, table
+from sparkmart.plans import sales
+from sparkmart.queries import basics  # noqa: F401  its SQL is used again
+from sparkmart.queries import fixtures as fx
+from sparkmart.queries.registry import ORACLES, query, table
+from sparkmart.runtime import scratch_database, scratch_path
+from sparkmart.sources import registry
 
 _LINES = "SELECT l_partkey % 10 AS grp, l_orderkey, l_linenumber, l_quantity FROM {lineitem}"
 
@@ -184,3 +189,45 @@ def parse_date_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, form in enumerate(forms):
         text = F.when(F.col("o_orderkey") % len(forms) == i, F.date_format(day, form)).otherwise(text)
     return table(spark, sf_dir, "orders").select("o_orderkey", temporal.parse_day_first(text).alias("parsed"))
+
+
+_SALES_SOURCES = """
+sources:
+  - name: classic
+    tables: [{name: orderdetails}, {name: orders}, {name: customers}, {name: products}]
+"""
+
+
+@query("declared_sources", ORACLES["sales_mart"])
+def declared_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales mart from sources that a declaration names and binds to folders."""
+    places = {}
+    for name, rows in fx.sales_sources(spark, sf_dir).items():
+        places[name] = scratch_path(spark, name)
+        rows.write.parquet(places[name])
+    bound = registry.register_sources(spark, registry.load_declaration(_SALES_SOURCES), places)
+    given = {name: rows for (_, name), rows in bound.items()}
+    return sales.sales_project().plan(given, ["view_customer_product_sales"])["view_customer_product_sales"]
+
+
+@query(
+    "diff_table_sets",
+    """
+    SELECT 'nation' AS table_name, '+++' AS action, count(*) AS row_inserts, 0::BIGINT AS row_deletes, 0::BIGINT AS row_updates,
+           3::BIGINT AS col_inserts, 0::BIGINT AS col_deletes, 0::BIGINT AS col_updates FROM nation
+    UNION ALL SELECT 'orders', '', 0, count(*), 0, 0, 0, 0 FROM orders WHERE o_orderkey % 5 = 0
+    UNION ALL SELECT 'supplier', '', 0, 0, 0, 0, 0, 1
+    """,
+)
+def diff_table_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables of two databases: one as it was, one with rows gone, one retyped, one new."""
+    old, new = scratch_database(spark, "old"), scratch_database(spark, "new")
+    given = {n: table(spark, sf_dir, n) for n in ("region", "orders", "supplier", "nation")}
+    for name in ("region", "orders", "supplier"):
+        given[name].write.saveAsTable(f"{old}.{name}")
+    given["region"].write.saveAsTable(f"{new}.region")
+    given["orders"].filter("o_orderkey % 5 <> 0").write.saveAsTable(f"{new}.orders")
+    given["supplier"].withColumn("s_nationkey", F.col("s_nationkey").cast("long")).write.saveAsTable(f"{new}.supplier")
+    given["nation"].write.saveAsTable(f"{new}.nation")
+    keys = {"region": ["r_regionkey"], "orders": ["o_orderkey"], "supplier": ["s_suppkey"]}
+    return tables.diff_tables(registry.table_set(spark, old), registry.table_set(spark, new), keys)

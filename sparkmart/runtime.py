@@ -57,6 +57,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove this application's written intermediates and scratch databases, when nothing reads them any more."""
+    root = scratch_root(spark)
+    for database in spark.catalog.listDatabases():
+        if f"{database.locationUri}/".replace("file:///", "file:/").find(root.replace("file:///", "file:/").removeprefix("file:")) >= 0:
+            spark.sql(f"DROP DATABASE {database.name} CASCADE")
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_database(spark: SparkSession, label: str = "mart") -> str:
     """Create a database whose tables live under the scratch root and return its name."""
     name = f"{label}_{uuid.uuid4().hex[:10]}"
