@@ -4,6 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from sparkmart import runtime
 from sparkmart.functions import temporal, text
 from sparkmart.operators import changes, intervals, loads, quality, warehouse
 from sparkmart.operators.state import StateTable
@@ -12,7 +13,7 @@ from sparkmart.plans import news, sales
 from sparkmart.plans.extract_load import TableSpec, param_query, specs_from
 from sparkmart.plans.models import Model, Project
 from sparkmart.queries.basics import example_project
-from sparkmart.runtime import drop_scratch, materialize, scratch_database, scratch_path
+from sparkmart.runtime import materialize, scratch_database, scratch_path
 from sparkmart.sources import files, jdbc, markup, registry, sinks
 from sparkmart.streaming.ingest import ingest_files, landing_stream
 from sparkmart.streaming.upsert import IncrementalSink, upsert_stream
@@ -369,14 +370,10 @@ def test_upsert_stream_resumes(spark):
     assert rows(sink.rows(spark).select("id")) == [(0,), (1,)]
 
 
-def test_scratch_of_the_application_is_removed(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        materialize(spark.range(5), "t")
-        name = scratch_database(spark)
-        spark.range(3).write.saveAsTable(f"{name}.t")
-        drop_scratch(spark)
-        assert not list(tmp_path.iterdir()) and not spark.catalog.databaseExists(name)
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+def test_scratch_of_the_application_is_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runtime, "scratch_root", lambda _: f"{tmp_path}/own")
+    materialize(spark.range(5), "t")
+    name = scratch_database(spark)
+    spark.range(3).write.saveAsTable(f"{name}.t")
+    runtime.drop_scratch(spark)
+    assert not list(tmp_path.iterdir()) and not spark.catalog.databaseExists(name)
