@@ -130,13 +130,16 @@ def byte_ids(texts: list[str | None]) -> list[bytes]:
     return [encode(t or "") + end for t in texts]
 
 
-def pieces(docs: DataFrame, id_column: str, text: str, capacity: int, ids: Callable[[list], list[bytes]]) -> DataFrame:
-    """Per piece: id, piece, start, length, ids_crc32; part and rank (among equal lengths of its partition) of those
-    that are shorter than ``capacity``, and rank among the full ones."""
+def pieces(docs: DataFrame, id_column: str, text: str, capacity: int, ids: Callable[[list], list[bytes]], with_ids: bool) -> DataFrame:
+    """Per piece: id, piece, start, length, ids_crc32, its partition (part) and its rank among equal lengths there.
+
+    ``with_ids`` adds the token ids themselves.
+    """
     kind = docs.schema[id_column].dataType
     schema = T.StructType(
         [T.StructField("id", kind), T.StructField("piece", T.IntegerType())]
         + [T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "part", "rank")]
+        + ([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else [])
     )
     given = docs.select(col(id_column).alias("id"), col(text).alias("text"))
 
@@ -148,6 +151,7 @@ def pieces(docs: DataFrame, id_column: str, text: str, capacity: int, ids: Calla
             for low in range(0, batch.num_rows, 512):
                 some = batch.slice(low, 512)
                 out: list[tuple] = []
+                cut_ids: list[np.ndarray] = []
                 for row, raw in enumerate(ids(some.column(1).to_pylist())):
                     total = len(raw) // 4
                     start = 0
@@ -155,12 +159,15 @@ def pieces(docs: DataFrame, id_column: str, text: str, capacity: int, ids: Calla
                         length = (total % capacity or capacity) if piece == 0 else capacity
                         crc = zlib.crc32(raw[4 * start : 4 * (start + length)])
                         out.append((row, piece, start, length, crc, part, int(seen[length])))
+                        if with_ids:
+                            cut_ids.append(np.frombuffer(raw, "<u4", length, 4 * start).astype(np.int32))
                         seen[length] += 1
                         start += length
                 columns = list(zip(*out))
                 yield pa.record_batch(
                     [some.column(0).take(pa.array(columns[0], pa.int64())), pa.array(columns[1], pa.int32())]
-                    + [pa.array(c, pa.int64()) for c in columns[2:]],
+                    + [pa.array(c, pa.int64()) for c in columns[2:]]
+                    + ([pa.array(cut_ids, pa.list_(pa.int32()))] if with_ids else []),
                     schema.names,
                 )
 
@@ -168,15 +175,16 @@ def pieces(docs: DataFrame, id_column: str, text: str, capacity: int, ids: Calla
 
 
 def packed(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text", capacity: int = CAPACITY, ids: Callable[[list], list[bytes]] = byte_ids
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", capacity: int = CAPACITY, ids: Callable[[list], list[bytes]] = byte_ids,
+    with_ids: bool = False,
 ) -> DataFrame:
-    """(id, piece, start, length, ids_crc32, sequence_id, offset) per piece of each row of ``docs``.
+    """(id, piece, start, length, ids_crc32, sequence_id, offset) per piece of each row of ``docs``; ``with_ids`` adds ids.
 
     Documents of up to ``capacity`` tokens stay whole; longer ones are cut into pieces, the first of which may be
     shorter. ``ids`` turns texts into bytes of 32-bit ids and has at least one id a text. A null text counts as empty,
     a null or repeated id is kept as it is: each row is packed. An empty table gives an empty table.
     """
-    rows = materialize(pieces(docs, id_column, text, capacity, ids), "packing-pieces")
+    rows = materialize(pieces(docs, id_column, text, capacity, ids, with_ids), "packing-pieces")
     per = rows.groupBy("part", "length").agg(F.count("*").alias("n"))
     run = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = materialize(per.select("part", "length", "n", F.coalesce(F.sum("n").over(run), F.lit(0)).alias("before")), "packing-counts")
@@ -186,7 +194,7 @@ def packed(
     full, counts[capacity] = int(counts[capacity]), 0
     places = Places(plan(counts, capacity), capacity)
     ranked = rows.join(before.drop("n"), ["part", "length"])
-    columns = ["id", "piece", "start", "length", "ids_crc32"]
+    columns = ["id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     schema = T.StructType([rows.schema[c] for c in columns] + [T.StructField(c, T.LongType()) for c in ("sequence_id", "offset")])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,3 +208,12 @@ def packed(
             yield pa.record_batch([*(batch.column(c) for c in columns), pa.array(sequence), pa.array(offset)], schema.names)
 
     return ranked.select(*columns, (F.col("rank") + F.col("before")).alias("at")).mapInArrow(place, schema)
+
+
+def sequences(placed: DataFrame) -> DataFrame:
+    """(sequence_id, ids) of rows that ``packed`` gave ``with_ids``: the training sequences themselves.
+
+    A group has the pieces of one sequence, at most its capacity of tokens.
+    """
+    own = F.sort_array(F.collect_list(F.struct("offset", "ids")))
+    return placed.groupBy("sequence_id").agg(F.flatten(F.transform(own, lambda x: x["ids"])).alias("ids"))

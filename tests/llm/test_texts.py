@@ -157,6 +157,17 @@ def test_packing_round_trip(spark, docs, texts):
     assert packing.packed(docs.limit(0)).count() == 0
 
 
+def test_sequences_hold_the_documents(spark, docs, texts):
+    whole = Tokenizer.from_file(byte_tokens.path("byte_bpe_50k.json"))
+    placed = packing.packed(docs.where("doc_id <> 3"), capacity=64, with_ids=True).cache()
+    made = {r["sequence_id"]: list(r["ids"]) for r in packing.sequences(placed).collect()}
+    assert all(len(ids) <= 64 for ids in made.values())
+    got: dict[int, list[int]] = {}
+    for r in placed.orderBy("id", "piece").collect():
+        got.setdefault(r["id"], []).extend(made[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]])
+    assert got == {i: whole.encode(t or "", add_special_tokens=False).ids + [2] for i, t in enumerate(texts) if i != 3}
+
+
 def test_two_documents_replace_a_worse_one():
     counts = np.zeros(11, np.int64)
     counts[[6, 3, 2]] = [1, 1, 2]
