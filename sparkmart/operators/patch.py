@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions.text import escape_null, unescape_null
 from sparkmart.operators.changes import null_safe
-from sparkmart.operators.diff import DELETE, GAIN, INSERT, MOVE, SAME, UPDATE, TableDiff, schema_diff
+from sparkmart.operators.diff import DELETE, GAIN, INSERT, MOVE, SAME, SKIP, UPDATE, TableDiff, schema_diff
 
 # fixed values: name of the action column and the action of the schema line
 ACTION_COLUMN, SCHEMA_LINE = "@@", "!"
+ORDER_COLUMN = "row_order"
 
 
 def arrow(tables: Sequence[DataFrame]) -> str:
@@ -38,17 +39,31 @@ def arrow(tables: Sequence[DataFrame]) -> str:
     return "-" * (longest + 1) + ">"
 
 
-def flatten(diff: TableDiff, everything: bool = False) -> DataFrame:
+def flatten(diff: TableDiff, everything: bool = False, position: str | None = None, context: int | None = None) -> DataFrame:
     """The comparison as texts: action column ``@@``, then one column per column of either table.
 
     Updated rows have the arrow as action and ``old->new`` in the changed cells, where NULL is written
     as a literal. Columns that were added, removed, renamed or moved are told by a line with action ``!``.
+
+    With ``position``, the row number that both tables carry, the lines are numbered in ``row_order``: merged order,
+    the schema line before all. ``context`` then adds so many unchanged rows around changes, and ``...`` where rows
+    are left out.
     """
-    sign = arrow([diff.a, diff.b])
-    schema = schema_diff(diff.a, diff.b, diff.renames)
+    a, b = (diff.a.drop(position), diff.b.drop(position)) if position else (diff.a, diff.b)
+    sign = arrow([a, b])
+    schema = schema_diff(a, b, diff.renames)
     source = {y: x for x, y in diff.columns.common}
-    rows = diff.rows if everything else diff.changes_only()
-    cells = [F.when(F.col("action") == UPDATE, sign).otherwise(F.col("action")).alias(ACTION_COLUMN)]
+    if position:
+        rows = diff.in_merged_order(position, ORDER_COLUMN)
+        if not everything and context is not None:
+            shown = diff.with_context(position, context).select(ORDER_COLUMN, F.col("action").alias("__shown"))
+            rows = rows.join(shown, ORDER_COLUMN).withColumn("action", F.col("__shown")).drop("__shown")
+        elif not everything:
+            rows = rows.filter(F.col("action") != SAME)
+    else:
+        rows = diff.rows if everything else diff.changes_only()
+    numbered = [F.col(ORDER_COLUMN)] if position else []
+    cells = [*numbered, F.when(F.col("action") == UPDATE, sign).otherwise(F.col("action")).alias(ACTION_COLUMN)]
     for entry in schema:
         c = entry.column
         if entry.action == INSERT:
@@ -61,11 +76,11 @@ def flatten(diff: TableDiff, everything: bool = False) -> DataFrame:
             value = F.when(
                 F.array_contains("changed", c), F.concat(escape_null(old), F.lit(sign), escape_null(new))
             ).otherwise(shown)
-        cells.append(value.alias(c))
+        cells.append(F.when(F.col("action") != SKIP, value).alias(c))
     flat = rows.select(cells)
     if any(e.action != SAME for e in schema):
         line = diff.a.sparkSession.createDataFrame(
-            [(SCHEMA_LINE, *[e.action for e in schema])], flat.schema
+            [(*([-1] if position else []), SCHEMA_LINE, *[e.action for e in schema])], flat.schema
         )
         flat = line.unionByName(flat)
     return flat
@@ -138,10 +153,10 @@ class FlatPatch:
 
 def read_flat(flat: DataFrame) -> FlatPatch:
     """Take a text comparison apart. The arrow of a row is its action, so it needs no further search."""
-    columns = [c for c in flat.columns if c != ACTION_COLUMN]
+    columns = [c for c in flat.columns if c not in (ACTION_COLUMN, ORDER_COLUMN)]
     line = flat.filter(F.col(ACTION_COLUMN) == SCHEMA_LINE).first()
     schema = {c: (line[c] or "") if line is not None else "" for c in columns}
-    return FlatPatch(schema, flat.filter(F.col(ACTION_COLUMN) != SCHEMA_LINE))
+    return FlatPatch(schema, flat.filter(~F.col(ACTION_COLUMN).isin(SCHEMA_LINE, SKIP)).drop(ORDER_COLUMN))
 
 
 def apply_flat(table: DataFrame, flat: DataFrame, keys: Sequence[str], types: dict[str, str] | None = None) -> Patched:

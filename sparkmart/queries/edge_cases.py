@@ -231,3 +231,23 @@ def diff_table_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     given["nation"].write.saveAsTable(f"{new}.nation")
     keys = {"region": ["r_regionkey"], "orders": ["o_orderkey"], "supplier": ["s_suppkey"]}
     return tables.diff_tables(registry.table_set(spark, old), registry.table_set(spark, new), keys)
+
+
+@query(
+    "diff_flat_ordered",
+    """
+    WITH t AS (SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS o, c_custkey, c_mktsegment AS s, c_custkey % 100 = 7 AS changed FROM customer),
+    w AS (SELECT *, o - max(CASE WHEN changed THEN o END) OVER (ORDER BY o) AS since, min(CASE WHEN changed THEN o END) OVER (ORDER BY o DESC) - o AS until,
+                 min(CASE WHEN changed THEN o END) OVER () AS first FROM t),
+    v AS (SELECT *, coalesce(since <= 1, false) OR coalesce(until <= 1, false) AS shown FROM w)
+    SELECT o AS row_order, CASE WHEN changed THEN '->' WHEN shown THEN '' ELSE '...' END AS action, CASE WHEN shown THEN c_custkey::VARCHAR END AS c_custkey,
+           CASE WHEN changed THEN s || '->' || lower(s) WHEN shown THEN s END AS c_mktsegment
+    FROM v WHERE shown OR since = 2 OR o = first - 2
+    """,
+)
+def diff_flat_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changed segments in row order, each with the rows beside it, and marks where rows are left out."""
+    a = with_position(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), ["c_custkey"], "row_no")
+    b = a.withColumn("c_mktsegment", F.when(F.col("c_custkey") % 100 == 7, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment")))
+    flat = patch.flatten(diff.diff(a, b, ["c_custkey"], position="row_no"), position="row_no", context=1)
+    return flat.withColumnRenamed(patch.ACTION_COLUMN, "action")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sparkmart.queries.registry import table
 
 # ---- news -------------------------------------------------------------------------------------
+# fixed values: the column names of the news input
 
 _NEWS_COLUMNS = """
     doc_id AS seq,
@@ -61,6 +62,7 @@ def dq_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---- sales ------------------------------------------------------------------------------------
+# fixed values: the column names of the sales inputs
 
 _ORDERDETAILS = """
     SELECT CASE WHEN l_orderkey % 97 = 0 THEN -l_orderkey - 1 ELSE l_orderkey END AS order_number,
