@@ -6,6 +6,7 @@ import struct
 from collections.abc import Sequence
 from dataclasses import dataclass
 from decimal import Decimal, localcontext
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 
 from sparkmart.functions.text import key_part
 from sparkmart.operators.position import with_position
+from sparkmart.runtime import materialize
 
 # values that are sorted in one task; a larger column is narrowed down around its middle first
 MEDIAN_LIMIT = 100_000
@@ -211,18 +213,46 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
         value = known_value(field) if number else F.col(f"`{c}`").cast("string")
         by_type.setdefault(field.dataType.simpleString() if number else "string", {})[c] = value
     found: dict[str, object] = {}
-    for values in by_type.values():
-        found.update(_top_values(df, values))
+    for kind, values in by_type.items():
+        found.update(_top_texts(df, values) if kind == "string" else _top_values(df, values))
     return {c: found.get(c) for c in columns}
 
 
+def _top_texts(df: DataFrame, values: dict[str, Column]) -> dict[str, object]:
+    """column -> most frequent text. Texts are counted by hash; only those whose hash is as frequent as any are compared.
+
+    A column without repeated texts needs just its smallest one.
+    """
+    names = list(values)
+    marks = [F.when(values[c].isNotNull(), F.xxhash64(values[c])) for c in names]
+    hashed = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("c"), m.alias("h")) for i, m in enumerate(marks)])))
+    counted = materialize(hashed.filter("h IS NOT NULL").groupBy("c", "h").agg(F.count(F.lit(1)).alias("n")), "text-counts")
+    best = {r["c"]: r["n"] for r in counted.groupBy("c").agg(F.max("n").alias("n")).collect()}  # one row per column
+    found: dict[str, object] = {}
+    if single := [i for i, n in best.items() if n == 1]:
+        row = df.agg(*[F.min(values[names[i]]).alias(f"m{i}") for i in single]).first()
+        found.update({names[i]: row[f"m{i}"] for i in single})
+    if many := {i: n for i, n in best.items() if n > 1}:
+        top = reduce(lambda x, y: x | y, [(F.col("c") == i) & (F.col("n") == n) for i, n in many.items()])
+        wanted = materialize(counted.filter(top).select("c", "h"), "text-candidates")
+        cells = [F.struct(F.lit(i).alias("c"), marks[i].alias("h"), values[names[i]].alias("v")) for i in many]
+        rows = df.select(F.inline(F.array(*cells))).join(wanted, ["c", "h"], "left_semi")
+        found.update({names[c]: v for c, v in _most_frequent(rows)})
+    return found
+
+
 def _top_values(df: DataFrame, values: dict[str, Column]) -> dict[str, object]:
     """column -> most frequent value; at most one row per column reaches the driver."""
     names = list(values)
     cells = F.array(*[F.struct(F.lit(i).alias("c"), values[c].alias("v")) for i, c in enumerate(names)])
-    counted = df.select(F.inline(cells)).filter("v IS NOT NULL").groupBy("c", "v").count()
+    return {names[c]: v for c, v in _most_frequent(df.select(F.inline(cells)).filter("v IS NOT NULL"))}
+
+
+def _most_frequent(cells: DataFrame) -> list[tuple[int, object]]:
+    """(c, v) with the most frequent, then smallest value of each column c."""
+    counted = cells.groupBy("c", "v").count()
     top = counted.groupBy("c").agg(F.min(F.struct(-F.col("count"), F.col("v").alias("v")))["v"].alias("v"))
-    return {names[row["c"]]: row["v"] for row in top.collect()}
+    return [(row["c"], row["v"]) for row in top.collect()]
 
 
 def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:

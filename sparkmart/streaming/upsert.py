@@ -37,6 +37,13 @@ class IncrementalSink:
         return spark.read.schema(with_batch).parquet(self.target)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read twice
+        try:
+            self._write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _write(self, batch: DataFrame, batch_id: int) -> None:
         low, high = batch.agg(F.min(self.key), F.max(self.key)).first()
         if low is None:
             return
