@@ -151,6 +151,7 @@ def filtered(docs: DataFrame, text: str = "text", lang: str = "lang", source: st
     counts = fresh(docs.columns, "counts")
     verdict = fresh([*docs.columns, counts], "kept")
     narrow = materialize(measured(docs, counts, text, list(dict.fromkeys([lang, source]))), "quality-rules")
-    limits = fences(sketches(narrow, counts, lang, source), min_docs)
+    # written, so that Spark knows their size before it plans how to join them to the texts
+    limits = materialize(fences(sketches(narrow, counts, lang, source), min_docs), "quality-fences")
     rows = judged(measured(docs, counts, text), counts, limits, verdict, lang, source)
     return rows.where(col(verdict)).select(*[col(c) for c in docs.columns])
