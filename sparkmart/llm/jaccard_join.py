@@ -343,7 +343,8 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     Rows that repeat id and text count once. Different linked texts under one id can't be told apart and stay.
     """
     found = materialize(jaccard_components(docs, id_column, text), "jaccard-found")
-    gone = found.where("id != component").select(F.col("id").alias("gone")).distinct()
+    # this list grows with the corpus: it is joined by a shuffle at every size
+    gone = found.where("id != component").select(F.col("id").alias("gone")).distinct().hint("merge")
     kept = docs.join(gone, col(id_column) == gone.gone, "left_anti")
     many = found.where("n_shingles > 0 and id = component").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("many"))
     if many.isEmpty():
