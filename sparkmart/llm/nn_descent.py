@@ -172,9 +172,24 @@ def _best(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
         yield cut(held, True)[1]
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per owner: its members with each other; pairs with a fresh entry that are better than one's worst."""
+def _met(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Per owner: its members with each other; pairs with a fresh entry that are better than one's worst.
+
+    Of what a task has found for a node, only the best ``k`` go on, as no more can enter its list.
+    """
     a_out, b_out, s_out, held = [], [], [], 0
+
+    def best() -> pa.RecordBatch:
+        a, b, s = (np.concatenate(c) for c in (a_out, b_out, s_out))
+        node, other, sim = np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((s, s))
+        order = np.lexsort((other, node))
+        order = order[np.concatenate(([True], (np.diff(node[order]) != 0) | (np.diff(other[order]) != 0)))]
+        node, other, sim = node[order], other[order], sim[order]
+        order = np.lexsort((-sim, node))
+        node, other, sim = node[order], other[order], sim[order]
+        good = np.arange(len(node)) - np.searchsorted(node, node) < k
+        return _edges(node[good], other[good], sim[good])
+
     for group in _grouped(batches, "owner", "part"):
         fresh = group.column("fresh").to_numpy(zero_copy_only=False)
         if not fresh.any():
@@ -192,13 +207,11 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             b_out.append(member[j])
             s_out.append(sim[i, j])
             held += len(i)
-        if held > 100_000:
-            a, b, s = (np.concatenate(c) for c in (a_out, b_out, s_out))
-            yield _edges(np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((s, s)))
+        if held > 500_000:
+            yield best()
             a_out, b_out, s_out, held = [], [], [], 0
     if held:
-        a, b, s = (np.concatenate(c) for c in (a_out, b_out, s_out))
-        yield _edges(np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((s, s)))
+        yield best()
 
 
 def _deal(df: DataFrame) -> int:
@@ -232,7 +245,7 @@ def neighbour_lists(nodes: DataFrame, k: int, orders: int, seed: int) -> DataFra
         ahead = ahead.join(hubs, ahead.owner == hubs.hub, "left").select("owner", "member", "fresh", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
         back = back.join(hubs, back.owner == hubs.hub, "left").select("owner", "member", "fresh", F.pmod(F.hash("member"), parts).alias("part"))
         met = ahead.unionByName(back).join(known, "member").repartition(deal, "owner", "part").sortWithinPartitions("owner", "part")
-        found = met.mapInArrow(_met, _LIST)
+        found = met.mapInArrow(lambda b: _met(b, k), _LIST)
         lists = kept(lists.withColumn("fresh", F.lit(False)).unionByName(found), round_)
         new = lists.where("fresh").count()
         if new <= ENOUGH * count * k:
