@@ -218,8 +218,11 @@ def _deal(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def neighbour_lists(nodes: DataFrame, k: int, orders: int, seed: int) -> DataFrame:
-    """(node, other, sim, fresh): the lists after NN-descent over ``nodes`` (node, unit)."""
+def neighbour_lists(nodes: DataFrame, k: int, orders: int, seed: int, near: float) -> DataFrame:
+    """(node, other, sim, fresh): the lists after NN-descent over ``nodes`` (node, unit).
+
+    Rounds end when few entries are new, or when two rounds in a row have found none with a similarity of ``near``.
+    """
     deal = _deal(nodes)
     placed = nodes.mapInArrow(lambda b: _keyed(b, orders, seed), "node long, `order` int, key long, half binary")
     dealt = placed.repartitionByRange(deal, "order", "key", "node").sortWithinPartitions("order", "key", "node")
@@ -231,7 +234,7 @@ def neighbour_lists(nodes: DataFrame, k: int, orders: int, seed: int) -> DataFra
 
     lists = kept(first, 0)
     half = materialize(nodes.mapInArrow(_halves, "member long, half binary"), "neighbours-vectors")
-    count = half.count()
+    count, quiet = half.count(), 0
     for round_ in range(1, ROUNDS + 1):
         worst = lists.groupBy("node").agg(F.min("sim").alias("low"), F.count("*").alias("n"))
         worst = worst.select(F.col("node").alias("of"), F.when(F.col("n") >= k, F.col("low")).otherwise(F.lit(-2.0)).cast("float").alias("worst_"))
@@ -247,8 +250,9 @@ def neighbour_lists(nodes: DataFrame, k: int, orders: int, seed: int) -> DataFra
         met = ahead.unionByName(back).join(known, "member").repartition(deal, "owner", "part").sortWithinPartitions("owner", "part")
         found = met.mapInArrow(lambda b: _met(b, k), _LIST)
         lists = kept(lists.withColumn("fresh", F.lit(False)).unionByName(found), round_)
-        new = lists.where("fresh").count()
-        if new <= ENOUGH * count * k:
+        new = lists.where("fresh").agg(F.count("*").alias("all"), F.count_if(F.col("sim") >= near).alias("near")).first()
+        quiet = 0 if new["near"] else quiet + 1
+        if new["all"] <= ENOUGH * count * k or quiet == 2:
             break
     return lists
 
@@ -371,7 +375,7 @@ def _audited(nodes: DataFrame, links: DataFrame, least: float, audit: int) -> fl
 
 def _search(nodes: DataFrame, least: float, k: int, orders: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """(node, root) of linked nodes and (node, n) with their numbers of linked copies."""
-    lists = neighbour_lists(nodes.select("node", "unit"), k, orders, seed)
+    lists = neighbour_lists(nodes.select("node", "unit"), k, orders, seed, least - SLACK)
     near = lists.where(F.col("sim") >= least - SLACK).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     links = _checked(near, nodes, least, "links")
     roots = components(links, "links-roots")
@@ -410,10 +414,10 @@ def _beyond(nodes: DataFrame, roots: DataFrame, wide: DataFrame, least: float, k
 
     centres = materialize(means.mapInArrow(unit, "node long, unit binary"), "beyond-centres")
     others = nodes.select("node", "unit").join(members.select("node"), "node", "left_anti")
-    lists = neighbour_lists(materialize(others.unionByName(centres), "beyond-nodes"), k, orders, seed)
     # a link can't reach farther from the mean than the threshold's angle and the members' spread, here at most as wide
-    reach = math.cos(min(math.pi, 2 * math.acos(least)))
-    near = lists.where(F.col("sim") >= reach - SLACK).join(centres.select("node"), "node").select("node", "other")
+    reach = math.cos(min(math.pi, 2 * math.acos(least))) - SLACK
+    lists = neighbour_lists(materialize(others.unionByName(centres), "beyond-nodes"), k, orders, seed, reach)
+    near = lists.where(F.col("sim") >= reach).join(centres.select("node"), "node").select("node", "other")
     is_centre = centres.select(F.col("node").alias("other"), F.lit(True).alias("centre"))
     near = near.join(is_centre, "other", "left").select(F.col("node").alias("root"), "other", F.coalesce("centre", F.lit(False)).alias("centre")).distinct()
     # pairs of two components meet through the members of one that are nearest to the other's mean
