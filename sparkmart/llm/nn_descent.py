@@ -9,7 +9,8 @@ and becomes a link.
 A list full of links is saturated: there may be more. It is enlarged to its whole component, without writing out pairs:
 members within half the threshold's angle of the component's mean direction are linked with each other by the triangle
 inequality and only need counting; the others are compared with all members, block by block, and counts leave the
-blocks. Components whose links could reach beyond are looked for once more with such cores collapsed into their mean.
+blocks. Before that, links beyond are looked for: centres of saturated components are compared with each other, and where
+their radii allow a link their members are; other nodes are searched once more with such components collapsed into their mean.
 
 Recall is audited: ``AUDIT`` nodes, those with the smallest hashes, are compared with all vectors in blocks. Below
 ``RECALL`` the search is repeated with lists twice as long and twice as many hyperplane orders.
@@ -218,7 +219,7 @@ def _deal(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def neighbour_lists(nodes: DataFrame, k: int, orders: int, seed: int, near: float) -> DataFrame:
+def neighbour_lists(nodes: DataFrame, k: int, orders: int, seed: int, near: float = LEAST - SLACK) -> DataFrame:
     """(node, other, sim, fresh): the lists after NN-descent over ``nodes`` (node, unit).
 
     Rounds end when few entries are new, or when two rounds in a row have found none with a similarity of ``near``.
@@ -377,15 +378,19 @@ def _search(nodes: DataFrame, least: float, k: int, orders: int, seed: int) -> t
     """(node, root) of linked nodes and (node, n) with their numbers of linked copies."""
     lists = neighbour_lists(nodes.select("node", "unit"), k, orders, seed, least - SLACK)
     near = lists.where(F.col("sim") >= least - SLACK).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    near = materialize(near, "links-near")
     links = _checked(near, nodes, least, "links")
     roots = components(links, "links-roots")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    counted = both.join(nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("n"), F.count("*").alias("entries"))
+    counted = both.join(nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("n"))
     counted = materialize(counted, "links-counted")
-    full = counted.where(F.col("entries") >= k).select("node")
+    # an entry near the threshold that is no link takes a place in the list too
+    ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node")))
+    full = materialize(ends.groupBy("node").agg(F.count("*").alias("entries")).where(F.col("entries") >= k).select("node"), "links-full")
+    roots = roots.unionByName(full.join(roots.select("node"), "node", "left_anti").select("node", F.col("node").alias("root")))
     wide = materialize(roots.join(full, "node").select("root").distinct(), "links-wide")
     if wide.isEmpty():
-        return roots, counted.select("node", "n")
+        return roots, counted
     roots = _beyond(nodes, roots, wide, least, k, orders, seed + 1)
     wide = roots.join(full, "node").select("root").distinct()
     more = materialize(_enlarged(nodes, roots, wide, least), "links-enlarged")
@@ -393,43 +398,95 @@ def _search(nodes: DataFrame, least: float, k: int, orders: int, seed: int) -> t
     return roots, rest.unionByName(more.select("node", "n"))
 
 
+def _radii(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, unit, radius) of components, as far as this task has them: mean direction and the largest angle of a member.
+
+    A mean of no direction gets the radius pi, so that nothing is ruled out.
+    """
+    found: dict[int, list] = {}
+    for batch in batches:
+        for root, unit, mean in zip(*(batch.column(c).to_pylist() for c in ("root", "unit", "sum"))):
+            if root not in found:
+                m = np.frombuffer(mean, np.float64)
+                size = math.sqrt(m @ m)
+                found[root] = [m / size, 0.0] if size > 1e-9 else [np.zeros(len(m)), math.pi]
+            at = found[root]
+            at[1] = max(at[1], math.acos(max(-1.0, min(1.0, float(np.frombuffer(unit, np.float64) @ at[0])))))
+    if found:
+        yield pa.record_batch(
+            [pa.array(list(found), pa.int64()), pa.array([m.tobytes() for m, _ in found.values()], pa.binary()), pa.array([r for _, r in found.values()], pa.float64())],
+            ["node", "unit", "radius"],
+        )
+
+
+def _facing(batches: Iterator[pa.RecordBatch], angle: float) -> Iterator[pa.RecordBatch]:
+    """(root, far): pairs of centres whose members may be as near as ``angle``, going by the components' radii."""
+    for group in _grouped(batches, "size", "left_block", "right_block"):
+        left = group.filter(group.column("left"))
+        right = group.filter(pa.compute.invert(group.column("left")))
+        if not left.num_rows or not right.num_rows:
+            continue
+        a, b = left.column("node").to_numpy(), right.column("node").to_numpy()
+        apart = np.arccos(np.clip(_matrix(left.column("unit"), np.float64) @ _matrix(right.column("unit"), np.float64).T, -1, 1))
+        most = np.add.outer(left.column("radius").to_numpy(), right.column("radius").to_numpy()) + angle + 1e-6
+        meet = apart <= most
+        if group.column("left_block")[0] == group.column("right_block")[0]:
+            meet &= a[:, None] < b[None, :]  # both sides hold the same centres
+        i, j = np.nonzero(meet)
+        yield pa.record_batch([pa.array(a[i]), pa.array(b[j])], ["root", "far"])
+
+
+def _asking(batches: Iterator[pa.RecordBatch], angle: float) -> Iterator[pa.RecordBatch]:
+    """(root, node, unit): nodes that may be as near as ``angle`` to a member of the component, going by its radius."""
+    for batch in batches:
+        good = []
+        for unit, mean, radius in zip(*(batch.column(c).to_pylist() for c in ("unit", "mean", "radius"))):
+            dot = float(np.frombuffer(unit, np.float64) @ np.frombuffer(mean, np.float64)) if len(unit) == len(mean) else -2.0
+            good.append(dot > -2 and math.acos(max(-1.0, min(1.0, dot))) <= radius + angle + 1e-6)
+        yield batch.select(["root", "node", "unit"]).filter(pa.array(good, pa.bool_()))
+
+
 def _beyond(nodes: DataFrame, roots: DataFrame, wide: DataFrame, least: float, k: int, orders: int, seed: int) -> DataFrame:
     """``roots`` after links from saturated components to other nodes have been looked for.
 
-    Their members stand aside and one mean vector stands for each component, so that a list no longer fills up with the
-    component itself; what comes near enough to the mean to hold a link is compared with the members.
+    A link between two saturated components may be in neither end's list, so all pairs of their centres are compared, in
+    blocks; where the radii allow a link, the members of one that are near enough to the other's centre meet its members.
+    A link with an unsaturated node belongs into that node's own list. Such nodes are looked for once more in lists in
+    which the members stand aside and one mean vector stands for each component, by entries of either side.
     """
-    deal = _deal(nodes)
+    deal, angle = _deal(nodes), math.acos(least)
     members = materialize(roots.join(wide, "root").join(nodes, "node").select("node", "root", "unit"), "beyond-members")
     sums = members.select("root", "unit").mapInArrow(lambda b: _sums(b, "unit"), "root long, sum binary")
     means = sums.repartition(deal, "root").mapInArrow(lambda b: _sums(b, "sum"), "root long, sum binary")
+    part = members.join(means, "root").mapInArrow(_radii, "node long, unit binary, radius double")
+    # tasks agree on a component's mean; it is taken from the first, the radius is the largest
+    centres = materialize(part.groupBy("node").agg(F.first("unit").alias("unit"), F.max("radius").alias("radius")), "beyond-centres")
 
-    def unit(batches):
-        for batch in batches:
-            out = []
-            for s in batch.column("sum").to_pylist():
-                x = np.frombuffer(s, np.float64)
-                out.append((x / max(math.sqrt(x @ x), 1e-300)).tobytes())
-            yield pa.record_batch([batch.column("root"), pa.array(out, pa.binary())], ["node", "unit"])
-
-    centres = materialize(means.mapInArrow(unit, "node long, unit binary"), "beyond-centres")
     others = nodes.select("node", "unit").join(members.select("node"), "node", "left_anti")
-    # a link can't reach farther from the mean than the threshold's angle and the members' spread, here at most as wide
-    reach = math.cos(min(math.pi, 2 * math.acos(least))) - SLACK
-    lists = neighbour_lists(materialize(others.unionByName(centres), "beyond-nodes"), k, orders, seed, reach)
-    near = lists.where(F.col("sim") >= reach).join(centres.select("node"), "node").select("node", "other")
-    is_centre = centres.select(F.col("node").alias("other"), F.lit(True).alias("centre"))
-    near = near.join(is_centre, "other", "left").select(F.col("node").alias("root"), "other", F.coalesce("centre", F.lit(False)).alias("centre")).distinct()
-    # pairs of two components meet through the members of one that are nearest to the other's mean
-    single = near.where("not centre").select("root", F.col("other").alias("node"))
-    pairs = near.where("centre").select("root", F.col("other").alias("far")).join(members.select(F.col("root").alias("far"), "node"), "far").select("root", "node")
-    asked = single.unionByName(pairs).join(nodes.select("node", F.col("unit").alias("x")), "node")
+    lists = neighbour_lists(materialize(others.unionByName(centres.select("node", "unit")), "beyond-nodes"), k, orders, seed)
+    entries = lists.select("node", "other", "sim").unionByName(lists.select(F.col("other").alias("node"), F.col("node").alias("other"), "sim"))
+    reach = F.cos(F.least(F.lit(math.pi), F.col("radius") + angle)) - SLACK
+    near = entries.join(centres.select("node", "radius"), "node").where(F.col("sim") >= reach)
+    near = near.select(F.col("node").alias("root"), F.col("other").alias("node")).join(centres.select("node"), "node", "left_anti").distinct()
+    single = near.join(nodes.select("node", "unit"), "node").select("root", "node", "unit")
+
+    blocks = max(1, math.ceil(centres.count() / (4 * BLOCK)))
+    own = centres.withColumn("size", F.length("unit")).withColumn("block", F.pmod(F.hash("node"), F.lit(blocks)))
+    left = own.withColumn("left", F.lit(True)).withColumn("left_block", F.col("block")).withColumn("right_block", F.explode(F.sequence("block", F.lit(blocks - 1))))
+    right = own.withColumn("left", F.lit(False)).withColumn("right_block", F.col("block")).withColumn("left_block", F.explode(F.sequence(F.lit(0), "block")))
+    keys = ("size", "left_block", "right_block")
+    pairs = left.unionByName(right).repartition(deal, *keys).sortWithinPartitions(*keys).mapInArrow(lambda b: _facing(b, angle), "root long, far long")
+    pairs = pairs.join(centres.select(F.col("node").alias("root"), F.col("unit").alias("mean"), "radius"), "root")
+    far = members.select(F.col("root").alias("far"), "node", "unit")
+    asking = pairs.join(far, "far").select("root", "node", "unit", "mean", "radius").mapInArrow(lambda b: _asking(b, angle), "root long, node long, unit binary")
+    asked = materialize(single.unionByName(asking), "beyond-asked")
+
     keys = ("root", "left_block", "right_block")
     count = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("rights"))
-    asks = single.unionByName(pairs).groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("lefts"))
+    asks = asked.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("lefts"))
     shape = count.join(asks, "root")
     left = asked.join(shape, "root").select(
-        "root", "node", F.col("x").alias("unit"), F.pmod(F.hash("node"), "lefts").alias("left_block"),
+        "root", "node", "unit", F.pmod(F.hash("node"), "lefts").alias("left_block"),
         F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("right_block"), F.lit(True).alias("left"),
     )
     right = members.join(shape, "root").select(
@@ -452,7 +509,9 @@ def _beyond(nodes: DataFrame, roots: DataFrame, wide: DataFrame, least: float, k
     if found.isEmpty():
         return roots
     star = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return components(found.unionByName(star), "beyond-roots")
+    merged = components(found.unionByName(star), "beyond-roots")
+    alone = roots.join(merged.select("node"), "node", "left_anti")
+    return merged.unionByName(alone)
 
 
 def near_vectors(

@@ -120,3 +120,15 @@ def test_vectors_of_empty_and_repeated_rows(spark):
     got = sorted(((r["id"], r["n_links"], r["component"]) for r in out.collect()), key=str)
     assert got == sorted([(1, 2, 1), (1, 2, 1), (2, 2, 1), (None, 0, None), (3, 0, 3)], key=str)
     assert out.where(F.col("n_links").isNull()).count() == 0
+
+
+def test_saturated_components_meet_beyond_twice_the_angle(spark):
+    """Two arcs of vectors, linked at their ends only, where every list is full of nearer vectors."""
+    rng = np.random.default_rng(5)
+    angles = np.concatenate([np.linspace(0, 0.9, 200), np.linspace(1.32, 2.22, 200)])
+    x = np.stack([np.cos(angles), np.sin(angles)], axis=1) @ np.linalg.qr(rng.standard_normal((16, 16)))[0][:2]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    out, _ = nn_descent.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    linked = (x @ x.T >= 0.9) & ~np.eye(len(x), dtype=bool)
+    assert linked[:200, 200:].any()
+    assert {r["id"]: (r["n_links"], r["component"]) for r in out.collect()} == {i: (int(n), 0) for i, n in enumerate(linked.sum(axis=1))}
