@@ -12,8 +12,12 @@ inequality and only need counting; the others are compared with all members, blo
 blocks. Before that, links beyond are looked for: centres of saturated components are compared with each other, and where
 their radii allow a link their members are; other nodes are searched once more with such components collapsed into their mean.
 
-Recall is audited: ``AUDIT`` nodes, those with the smallest hashes, are compared with all vectors in blocks. Below
-``RECALL`` the search is repeated with lists twice as long and twice as many hyperplane orders.
+There are as many orders as let a pair at the threshold share a run with a chance of ``RECALL``; they grow with the table.
+
+Recall is audited: nodes, those with the smallest hashes first, are compared with all vectors in blocks until ``LINKED`` of
+them have a true link, all nodes are through, or ``AUDIT_MOST`` are. It is the mean of the shares of their links found, so that
+a small family counts as much as a large one. Below ``RECALL`` the search is repeated with lists twice as long and twice as many
+orders, and after ``ATTEMPTS`` it fails. Where no audited node of a larger table has a link, the recall is NaN: not measured.
 
 Vectors that are null, empty, zero, or hold null or non-finite components link with nothing; vectors of different length
 neither. Rows with a null id come back without a component. Repeated ids are vectors of their own with one id. The search
@@ -40,7 +44,7 @@ NEIGHBOURS, ORDERS, RUN = 12, 4, 256
 ROUNDS, ENOUGH = 10, 0.002
 HUB, SLACK = 64, 0.005
 BLOCK = 512
-AUDIT, RECALL = 256, 0.99
+AUDIT, AUDIT_MOST, LINKED, RECALL, ATTEMPTS = 256, 8192, 128, 0.99, 5
 
 _log = logging.getLogger(__name__)
 
@@ -105,13 +109,12 @@ def _keyed(batches: Iterator[pa.RecordBatch], orders: int, seed: int) -> Iterato
             x = np.frombuffer(b"".join(units[i] for i in at), np.float64).reshape(len(at), -1)
             if size not in planes:
                 planes[size] = np.random.default_rng(seed).standard_normal((x.shape[1], orders * bits))
-            signs = (x @ planes[size] > 0).reshape(len(at), orders, bits)
-            key = signs.astype(np.int64) @ weight
             half = [h.tobytes() for h in x.astype(np.float16)]
             node = batch.column("node").take(pa.array(at))
             for t in range(orders):
+                key = (x @ planes[size][:, t * bits : (t + 1) * bits] > 0).astype(np.int64) @ weight
                 yield pa.record_batch(
-                    [node, pa.array([size * 64 + t] * len(at), pa.int32()), pa.array(key[:, t]), pa.array(half, pa.binary())], ["node", "order", "key", "half"]
+                    [node, pa.array([size * 65536 + t] * len(at), pa.int64()), pa.array(key), pa.array(half, pa.binary())], ["node", "order", "key", "half"]
                 )
 
 
@@ -219,13 +222,23 @@ def _deal(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def orders_for(count: int, least: float) -> int:
+    """Orders in which a pair at ``least`` among ``count`` nodes shares a run with a chance of ``RECALL``, at least ``ORDERS``.
+
+    A run is what agrees in the first log2(count / RUN) planes; a plane parts a pair with its angle's share of pi.
+    """
+    planes = math.log2(max(count / RUN, 1))
+    share = (1 - math.acos(least) / math.pi) ** planes
+    return max(ORDERS, math.ceil(math.log(1 - RECALL) / math.log(1 - share))) if share < 1 else ORDERS
+
+
 def neighbour_lists(nodes: DataFrame, k: int, orders: int, seed: int, near: float = LEAST - SLACK) -> DataFrame:
     """(node, other, sim, fresh): the lists after NN-descent over ``nodes`` (node, unit).
 
     Rounds end when few entries are new, or when two rounds in a row have found none with a similarity of ``near``.
     """
     deal = _deal(nodes)
-    placed = nodes.mapInArrow(lambda b: _keyed(b, orders, seed), "node long, `order` int, key long, half binary")
+    placed = nodes.mapInArrow(lambda b: _keyed(b, orders, seed), "node long, `order` long, key long, half binary")
     dealt = placed.repartitionByRange(deal, "order", "key", "node").sortWithinPartitions("order", "key", "node")
     first = dealt.mapInArrow(lambda b: _runs(b, k), _LIST)
 
@@ -347,11 +360,27 @@ def _enlarged(nodes: DataFrame, roots: DataFrame, wide: DataFrame, least: float)
     return compared.unionByName(inside).groupBy("node").agg(F.sum("n").alias("n"))
 
 
-def _audited(nodes: DataFrame, links: DataFrame, least: float, audit: int) -> float:
-    """Share of the true links of ``audit`` nodes that were found; the nodes are compared with all others in blocks."""
-    picked = nodes.orderBy(F.xxhash64("node"), "node").limit(audit).select("node", "unit").collect()  # ``audit`` rows
-    if not picked:
-        return 1.0
+def _audited(nodes: DataFrame, links: DataFrame, least: float) -> float:
+    """Mean share of their true links that was found, over audited nodes with a link; these are compared with all nodes.
+
+    Nodes are taken until ``LINKED`` have a link. 1 if all nodes are audited and have none, NaN if ``AUDIT_MOST`` have none.
+    """
+    order = materialize(nodes.orderBy(F.xxhash64("node"), "node").limit(AUDIT_MOST).select("node", "unit"), "audit-nodes")
+    total, done, step, shares = nodes.count(), 0, AUDIT, []
+    while len(shares) < LINKED and done < min(total, AUDIT_MOST):
+        picked = order.orderBy(F.xxhash64("node"), "node").offset(done).limit(min(step, AUDIT_MOST - done)).collect()
+        done, step = done + len(picked), 2 * step
+        true = nodes.select("node", "unit", "copies").mapInArrow(_comparer(picked, least), "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
+        both = true.where("n > 0").join(links.select("node", F.col("n").alias("got")), "node", "left")
+        shares += [r["share"] for r in both.select((F.least("n", F.coalesce("got", F.lit(0))) / F.col("n")).alias("share")).collect()]
+    _log.info("audit: %d of %d nodes compared, %d with a link", done, total, len(shares))
+    if not shares:
+        return 1.0 if done >= total else math.nan
+    return sum(shares) / len(shares)
+
+
+def _comparer(picked: list, least: float):
+    """Counts how many copies each of the ``picked`` nodes (node, unit) is linked with in a batch (node, unit, copies)."""
     by_size: dict[int, list] = {}
     for r in picked:
         by_size.setdefault(len(r["unit"]), []).append(r)
@@ -365,13 +394,15 @@ def _audited(nodes: DataFrame, links: DataFrame, least: float, audit: int) -> fl
                 at = np.array([i for i, u in enumerate(units) if len(u) == n], np.int64)
                 if len(at):
                     y = np.frombuffer(b"".join(units[i] for i in at), np.float64).reshape(len(at), -1)
-                    linked = (x @ y.T >= least) & (ids[:, None] != own[at][None, :])
-                    yield pa.record_batch([pa.array(ids), pa.array(linked @ copies[at], pa.int64())], ["node", "n"])
+                    found = np.zeros(len(ids), np.int64)
+                    for low in range(0, len(at), BLOCK):
+                        part = slice(low, low + BLOCK)
+                        linked = (x @ y[part].T >= least) & (ids[:, None] != own[at[part]][None, :])
+                        found += linked @ copies[at[part]]
+                    hit = np.flatnonzero(found)
+                    yield pa.record_batch([pa.array(ids[hit]), pa.array(found[hit], pa.int64())], ["node", "n"])
 
-    true = nodes.select("node", "unit", "copies").mapInArrow(compare, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
-    both = true.join(links.select("node", F.col("n").alias("got")), "node", "left")
-    total = both.agg(F.sum("n").alias("n"), F.sum(F.least("n", F.coalesce("got", F.lit(0)))).alias("got")).first()
-    return 1.0 if not total["n"] else total["got"] / total["n"]
+    return compare
 
 
 def _search(nodes: DataFrame, least: float, k: int, orders: int, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -515,22 +546,30 @@ def _beyond(nodes: DataFrame, roots: DataFrame, wide: DataFrame, least: float, k
 
 
 def near_vectors(
-    vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding", least: float = LEAST, k: int = NEIGHBOURS, orders: int = ORDERS
+    vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding", least: float = LEAST, k: int = NEIGHBOURS, orders: int | None = None
 ) -> tuple[DataFrame, float]:
-    """(id, n_links, component) per row of ``vectors``, and the audited recall of the links."""
+    """(id, n_links, component) per row of ``vectors``, and the audited recall of the links, which is ``RECALL`` or more.
+
+    Fails where ``ATTEMPTS`` searches stay below that; the recall is NaN where the audit met no link.
+    """
     kind = vectors.schema[id_column].dataType.simpleString()
     given = vectors.select(col(id_column).alias("id"), col(vector).cast("array<double>").alias("vector"))
     rows = given.mapInArrow(_units, f"id {kind}, unit binary").withColumn("node", F.when(F.col("unit").isNotNull(), F.xxhash64("unit")))
     rows = materialize(rows, "vectors")
     able = rows.where(F.col("node").isNotNull() & F.col("id").isNotNull())
     nodes = materialize(able.groupBy("node").agg(F.first("unit").alias("unit"), F.count("*").alias("copies"), F.min("id").alias("low")), "nodes")
+    orders = orders or orders_for(nodes.count(), least)
     seed, recall = 7, 0.0
-    for attempt in range(3):
+    for attempt in range(ATTEMPTS):
         roots, counted = _search(nodes, least, k << attempt, orders << attempt, seed + 10 * attempt)
-        recall = _audited(nodes, counted, least, AUDIT)
+        recall = _audited(nodes, counted, least)
         _log.info("lists of %d, %d orders: recall %.4f", k << attempt, orders << attempt, recall)
-        if recall >= RECALL:
+        if math.isnan(recall):
+            _log.warning("recall not measured: none of %d audited nodes has a link", AUDIT_MOST)
+        if not recall < RECALL:
             break
+    else:
+        raise RuntimeError(f"recall {recall:.4f} is below {RECALL} after {ATTEMPTS} searches, the last with lists of {k << attempt}")
     linked = nodes.join(roots, "node", "left").join(counted, "node", "left").select(
         "node", "low", F.coalesce("root", "node").alias("root"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )

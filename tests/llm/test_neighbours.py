@@ -132,3 +132,25 @@ def test_saturated_components_meet_beyond_twice_the_angle(spark):
     linked = (x @ x.T >= 0.9) & ~np.eye(len(x), dtype=bool)
     assert linked[:200, 200:].any()
     assert {r["id"]: (r["n_links"], r["component"]) for r in out.collect()} == {i: (int(n), 0) for i, n in enumerate(linked.sum(axis=1))}
+
+
+def test_audit_counts_small_families_and_goes_on_until_it_meets_links(spark, monkeypatch):
+    """A huge family found whole doesn't hide lost pairs; a sample without links isn't a recall of 1."""
+    x = np.eye(64)
+    twins = [(2 * i + j, v.tobytes(), 10**6 if i == 0 else 1) for i in range(20) for j, v in enumerate((x[i], (x[i] + 0.1 * x[i + 20]) / np.sqrt(1.01)))]
+    singles = [(100 + i, x[40 + i].tobytes(), 1) for i in range(24)]
+    nodes = spark.createDataFrame(twins + singles, "node long, unit binary, copies long")
+    found = spark.createDataFrame([(0, 1000000), (1, 1000000)] + [(n, 1) for n in range(2, 20)], "node long, n long")
+    monkeypatch.setattr(nn_descent, "AUDIT", 2)
+    assert nn_descent._audited(nodes, found, 0.9) == 0.5
+    monkeypatch.setattr(nn_descent, "AUDIT_MOST", 8)
+    assert np.isnan(nn_descent._audited(nodes.where("node >= 100"), found, 0.9))
+
+
+def test_recall_below_the_bound_fails(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "_audited", lambda *_: 0.5)
+    monkeypatch.setattr(nn_descent, "ATTEMPTS", 2, raising=False)
+    table = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError, match="recall 0.5"):
+        nn_descent.near_vectors(table)
+    assert nn_descent.orders_for(10**8, 0.9) > 4 * nn_descent.orders_for(10**4, 0.9) > nn_descent.ORDERS
