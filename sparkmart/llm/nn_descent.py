@@ -26,6 +26,7 @@ compares unit vectors in half precision (off by less than 0.002), the links are
 
 from __future__ import annotations
 
+import itertools
 import logging
 import math
 from collections.abc import Iterator
@@ -41,7 +42,7 @@ from sparkmart.runtime import materialize
 
 LEAST = 0.9
 NEIGHBOURS, ORDERS, RUN = 12, 4, 256
-ROUNDS, ENOUGH = 10, 0.002
+ENOUGH = 0.002
 HUB, SLACK = 64, 0.005
 BLOCK = 512
 AUDIT, AUDIT_MOST, LINKED, RECALL, ATTEMPTS = 256, 8192, 128, 0.99, 5
@@ -232,10 +233,10 @@ def orders_for(count: int, least: float) -> int:
     return max(ORDERS, math.ceil(math.log(1 - RECALL) / math.log(1 - share))) if share < 1 else ORDERS
 
 
-def neighbour_lists(nodes: DataFrame, k: int, orders: int, seed: int, near: float = LEAST - SLACK) -> DataFrame:
+def neighbour_lists(nodes: DataFrame, k: int, orders: int, seed: int) -> DataFrame:
     """(node, other, sim, fresh): the lists after NN-descent over ``nodes`` (node, unit).
 
-    Rounds end when few entries are new, or when two rounds in a row have found none with a similarity of ``near``.
+    Rounds end when few entries are new, however many rounds that takes.
     """
     deal = _deal(nodes)
     placed = nodes.mapInArrow(lambda b: _keyed(b, orders, seed), "node long, `order` long, key long, half binary")
@@ -248,8 +249,8 @@ def neighbour_lists(nodes: DataFrame, k: int, orders: int, seed: int, near: floa
 
     lists = kept(first, 0)
     half = materialize(nodes.mapInArrow(_halves, "member long, half binary"), "neighbours-vectors")
-    count, quiet = half.count(), 0
-    for round_ in range(1, ROUNDS + 1):
+    count = half.count()
+    for round_ in itertools.count(1):
         worst = lists.groupBy("node").agg(F.min("sim").alias("low"), F.count("*").alias("n"))
         worst = worst.select(F.col("node").alias("of"), F.when(F.col("n") >= k, F.col("low")).otherwise(F.lit(-2.0)).cast("float").alias("worst_"))
         known = half.join(worst, half.member == worst.of, "left").select("member", "half", F.coalesce("worst_", F.lit(-2.0).cast("float")).alias("worst"))
@@ -264,11 +265,8 @@ def neighbour_lists(nodes: DataFrame, k: int, orders: int, seed: int, near: floa
         met = ahead.unionByName(back).join(known, "member").repartition(deal, "owner", "part").sortWithinPartitions("owner", "part")
         found = met.mapInArrow(lambda b: _met(b, k), _LIST)
         lists = kept(lists.withColumn("fresh", F.lit(False)).unionByName(found), round_)
-        new = lists.where("fresh").agg(F.count("*").alias("all"), F.count_if(F.col("sim") >= near).alias("near")).first()
-        quiet = 0 if new["near"] else quiet + 1
-        if new["all"] <= ENOUGH * count * k or quiet == 2:
-            break
-    return lists
+        if lists.where("fresh").count() <= ENOUGH * count * k:
+            return lists
 
 
 def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,7 +405,7 @@ def _comparer(picked: list, least: float):
 
 def _search(nodes: DataFrame, least: float, k: int, orders: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """(node, root) of linked nodes and (node, n) with their numbers of linked copies."""
-    lists = neighbour_lists(nodes.select("node", "unit"), k, orders, seed, least - SLACK)
+    lists = neighbour_lists(nodes.select("node", "unit"), k, orders, seed)
     near = lists.where(F.col("sim") >= least - SLACK).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     near = materialize(near, "links-near")
     links = _checked(near, nodes, least, "links")

@@ -154,3 +154,19 @@ def test_recall_below_the_bound_fails(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="recall 0.5"):
         nn_descent.near_vectors(table)
     assert nn_descent.orders_for(10**8, 0.9) > 4 * nn_descent.orders_for(10**4, 0.9) > nn_descent.ORDERS
+
+
+def test_rounds_go_on_while_lists_improve(spark, monkeypatch):
+    """Far vectors: no entry is near the threshold, and the lists still improve for more than two rounds."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((600, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    nodes = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(x)], "node long, unit binary")
+    rounds = []
+    kept = nn_descent.materialize
+    monkeypatch.setattr(nn_descent, "materialize", lambda df, label: rounds.append(label) or kept(df, label))
+    monkeypatch.setattr(nn_descent, "RUN", 32)
+    lists = nn_descent.neighbour_lists(nodes, 6, 2, 1).collect()
+    assert max(r["sim"] for r in lists) < 0.895
+    assert sum(label.startswith("neighbours-") and label[-1].isdigit() for label in rounds) > 3
+    assert sum(r["fresh"] for r in lists) <= nn_descent.ENOUGH * 600 * 6
