@@ -39,19 +39,65 @@ SENTENCES = (
     ("cc-by-nc-4.0-work", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("cc-by-4.0-work", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("reserved", "All rights reserved"),
+    # whole notices, in the pieces that their usual line ends leave
+    ("apache-2.0-obtain", "You may obtain a copy of the License at"),
+    ("apache-2.0-url", "http://www.apache.org/licenses/LICENSE-2.0"),
+    ("mit-title", "MIT License"),
+    ("mit-title", "The MIT License"),
+    ("mit-title", "The MIT License (MIT)"),
+    ("mit-whole", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'),
+    ("gpl-implied-of", "without even the implied warranty of"),
+    ("gpl-fitness", "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"),
+    ("gpl-2-terms", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
+    ("either-2", "either version 2 of the License, or (at your option) any later version"),
+    ("lgpl-terms", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public"),
+    ("lgpl-published", "License as published by the Free Software Foundation"),
+    ("lgpl-terms-line", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("either-2.1", "either version 2.1 of the License, or (at your option) any later version"),
+    ("lgpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
+    ("agpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
+    ("bsd-2-title", "BSD 2-Clause License"),
+    ("bsd-3-title", "BSD 3-Clause License"),
+    ("bsd-forms", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("bsd-source", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer"),
+    ("bsd-binary", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution"),
+    ("bsd-endorse", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("isc-title", "ISC License"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("mpl-2.0-terms", "This Source Code Form is subject to the terms of the Mozilla Public"),
+    ("mpl-2.0-v", "License, v"),
+    ("mpl-2.0-line", "This Source Code Form is subject to the terms of the Mozilla Public License, v"),
+    ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("cc0-1.0", "CC0 1.0 Universal"),
 )
 #: Rules in order (licence, sequence of identifiers).
 RULES = (
     ("Apache-2.0", ("apache-2.0-you", "apache-2.0-use", "apache-2.0-copy")),
+    ("Apache-2.0", ("apache-2.0-you", "apache-2.0-use", "apache-2.0-obtain", "apache-2.0-url")),
     ("Apache-2.0", ("apache-2.0-you", "apache-2.0-use")),
     ("Apache-2.0", ("apache-2.0-you",)),
     ("Apache-2.0", ("apache-2.0",)),
     ("GPL-3.0-or-later", ("gpl-redistribute", "gpl-warranty", "gpl-implied")),
+    ("GPL-3.0-or-later", ("gpl-redistribute", "gpl-warranty", "gpl-implied-of", "gpl-fitness")),
     ("GPL-3.0-or-later", ("gpl-redistribute",)),
+    ("AGPL-3.0-or-later", ("agpl-3", "gpl-warranty", "gpl-implied-of", "gpl-fitness")),
+    ("AGPL-3.0-or-later", ("agpl-3",)),
+    ("LGPL-3.0-or-later", ("lgpl-3", "gpl-warranty", "gpl-implied-of", "gpl-fitness")),
+    ("LGPL-3.0-or-later", ("lgpl-3",)),
+    ("GPL-2.0-or-later", ("gpl-2-terms", "either-2", "gpl-warranty", "gpl-implied-of", "gpl-fitness")),
+    ("GPL-2.0-or-later", ("gpl-2-terms", "either-2")),
+    ("LGPL-2.1-or-later", ("lgpl-terms", "lgpl-published", "either-2.1")),
+    ("LGPL-2.1-or-later", ("lgpl-terms-line", "either-2.1")),
     ("GPL-3.0-only", ("gpl-3.0",)),
     ("MIT", ("mit", "mit-permission")),
     ("MIT", ("mit-licensed", "mit-permission")),
+    ("MIT", ("mit-title", "mit-permission")),
     ("MIT", ("mit-permission",)),
+    ("MIT", ("mit-title", "mit-whole")),
+    ("MIT", ("mit", "mit-whole")),
+    ("MIT", ("mit-licensed", "mit-whole")),
+    ("MIT", ("mit-whole",)),
+    ("MIT", ("mit-title",)),
     ("MIT", ("mit",)),
     ("MIT", ("mit-licensed",)),
     ("CC-BY-NC-4.0", ("cc-by-nc-4.0",)),
@@ -59,10 +105,22 @@ RULES = (
     ("CC-BY-SA-4.0", ("cc-by-sa-4.0",)),
     ("CC-BY-4.0", ("cc-by-4.0",)),
     ("CC-BY-4.0", ("cc-by-4.0-work",)),
+    ("BSD-3-Clause", ("bsd-forms", "bsd-source", "bsd-binary", "bsd-endorse")),
+    ("BSD-3-Clause", ("bsd-3-title",)),
+    ("BSD-3-Clause", ("bsd-endorse",)),
+    ("BSD-2-Clause", ("bsd-forms", "bsd-source", "bsd-binary")),
+    ("BSD-2-Clause", ("bsd-2-title",)),
+    ("ISC", ("isc-title", "isc")),
+    ("ISC", ("isc",)),
+    ("ISC", ("isc-title",)),
+    ("MPL-2.0", ("mpl-2.0-terms", "mpl-2.0-v")),
+    ("MPL-2.0", ("mpl-2.0-line",)),
+    ("Unlicense", ("unlicense",)),
+    ("CC0-1.0", ("cc0-1.0",)),
     ("Proprietary", ("reserved",)),
 )
 #: Every known sentence has one of these words.
-ANCHORS = ("licen[sc]e", "rights", "permission", "compliance", "warranty", "redistribute")
+ANCHORS = ("licen[sc]e", "rights", "permission", "compliance", "warranty", "redistribut", "merchantability", "mozilla", "unencumbered", "cc0")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

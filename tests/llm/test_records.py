@@ -142,3 +142,26 @@ def test_every_known_sentence_is_recognised(spark):
     table = spark.createDataFrame([(i, f"Some text. {s}. More text.") for i, (_, s) in enumerate(licences.SENTENCES)], "doc_id long, text string")
     known = {r["id"]: r["n_known"] for r in licences.recognised(table).collect()}
     assert all(n >= 1 for n in known.values())
+
+
+def test_standard_notices_are_recognised(spark):
+    """Notices as they stand in files, with their usual line ends."""
+    gpl = "{} is free software{} you can redistribute it and/or modify\nit under the terms of the GNU {} License as published by\nthe Free Software Foundation{} either version {} of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.\n"
+    notices = {
+        "MIT": 'Copyright (c) 2020 A B\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice shall be included.\n',
+        "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by law.\n',
+        "GPL-3.0-or-later": gpl.format("This program", ":", "General Public", ",", 3),
+        "GPL-2.0-or-later": gpl.format("This program", ";", "General Public", ";", 2),
+        "AGPL-3.0-or-later": gpl.format("This program", ":", "Affero General Public", ",", 3),
+        "LGPL-2.1-or-later": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.\n",
+        "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n* Redistributions of source code must retain the above copyright notice, this\n  list of conditions and the following disclaimer.\n\n* Redistributions in binary form must reproduce the above copyright notice,\n  this list of conditions and the following disclaimer in the documentation\n  and/or other materials provided with the distribution.\n\nThe end.\n",
+        "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n",
+        "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.\n",
+        "Unlicense": "This is free and unencumbered software released into the public domain.\n",
+        "CC0-1.0": "Creative Commons Legal Code\n\nCC0 1.0 Universal\n\n",
+    }
+    table = spark.createDataFrame(list(notices.items()), "doc_id string, text string")
+    got = {r["id"]: (r["licences"], r["n_unmatched"]) for r in licences.recognised(table).collect()}
+    assert got == {name: (name, 0) for name in notices}
+    title = spark.createDataFrame([(1, "MIT License\n\nCopyright (c) 2020 A B\n")], "doc_id long, text string")
+    assert licences.recognised(title).first()["licences"] == "MIT"
