@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import gam, jaccard_join, licences, nn_descent, packing, quality_rules, unigram_count, url_filter, word_bpe, zip_warc
+from sparkmart.llm import gam, jaccard_join, licences, nn_descent, packing, phrases, quality_rules, unigram_count, url_filter, word_bpe, zip_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -253,3 +253,38 @@ def op1_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept")
     )
+
+
+@query("op11_phrases", r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), t AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece
+), total AS (
+  SELECT lang, sum(len(w))::HUGEINT AS n FROM t GROUP BY lang
+), f AS (
+  SELECT lang, g, count(*)::HUGEINT AS f FROM (
+    SELECT lang, w[i:i + k - 1] AS g FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM t, (SELECT unnest(range(1, 6)) AS k)))
+  GROUP BY lang, g HAVING count(*) >= 100
+), c AS (
+  SELECT lang, g, f AS a FROM f WHERE len(g) > 1
+), inside AS (
+  SELECT lang, sub, max(a) AS most FROM (
+    SELECT lang, a, g, k, unnest([g[i:i + k - 1] for i in range(1, len(g) - k + 2)]) AS sub FROM c, (SELECT unnest(range(2, 5)) AS k) WHERE k < len(g))
+  GROUP BY lang, sub
+), cut AS (
+  SELECT c.lang, c.g, c.a, n, k, x.f AS l, y.f AS r, 1000 * c.a * n // (x.f * y.f) AS score
+  FROM (SELECT *, unnest(range(1, len(g))) AS k FROM c) c JOIN total USING (lang)
+  JOIN f x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k + 1:]
+), best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), named AS (
+  SELECT best.*, array_to_string(g, ' ') AS phrase FROM best LEFT JOIN inside i ON i.lang = best.lang AND i.sub = best.g WHERE coalesce(most < a, true)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+  a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM named QUALIFY rank <= 2000
+""")
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
