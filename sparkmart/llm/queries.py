@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import gam, jaccard_join, licences, nn_descent, packing, phrases, quality_rules, unigram_count, url_filter, word_bpe, zip_warc
+from sparkmart.llm import gam, jaccard_join, licences, nn_descent, packing, phrases, prefix_trie, quality_rules, unigram_count, url_filter, word_bpe, zip_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -288,3 +288,36 @@ FROM named QUALIFY rank <= 2000
 """)
 def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_prefix_trie", r"""
+WITH crc AS (
+  SELECT [list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)
+    for i in range(256)] AS t
+), turns AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS s
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), head AS (
+  SELECT conv_id, s, xor(list_reduce(list_concat([4294967295], [ascii(x)::BIGINT for x in string_split(conv_id::VARCHAR, '')]),
+    lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) % 6 AS h FROM turns, crc
+), whole AS (
+  SELECT a.conv_id, list_concat(coalesce(b.s[1:h], []), a.s[h + 1:]) AS s FROM head a LEFT JOIN turns b ON b.conv_id = a.conv_id - a.conv_id % 100
+), node AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, depth > 0 AS inner,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM (SELECT conv_id, s[1:d] AS path, d AS depth, len(s) = d AS last FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM whole))
+  GROUP BY path, depth
+), child AS (
+  SELECT path[1:depth - 1] AS up, count(*) AS n FROM node WHERE depth > 0 GROUP BY up
+), own AS (
+  SELECT node.*, coalesce(n, 0) AS n_children, (n_convs - 1) * CASE WHEN depth > 0 THEN length(path[depth].text) ELSE 0 END AS saved
+  FROM node LEFT JOIN child ON up = path
+), sums AS (
+  SELECT top, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT path[1:d] AS top, n_children, saved FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM own)) GROUP BY top
+)
+SELECT o.conv_id, o.depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, n_leaves, saved_tokens, o.ends_sha256
+FROM own o JOIN sums ON top = o.path LEFT JOIN node p ON o.depth > 0 AND p.depth = o.depth - 1 AND p.path = o.path[1:o.depth - 1]
+""")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
