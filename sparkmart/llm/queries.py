@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import gam, jaccard_join, licences, nn_descent, packing, phrases, prefix_trie, quality_rules, unigram_count, url_filter, word_bpe, zip_warc
+from sparkmart.llm import char_models, gam, jaccard_join, licences, nn_descent, packing, phrases, prefix_trie, quality_rules, unigram_count, url_filter, word_bpe, zip_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -321,3 +321,10 @@ FROM own o JOIN sums ON top = o.path LEFT JOIN node p ON o.depth > 0 AND p.depth
 """)
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_char_models")
+def op13_char_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows, lang, score, rejected = char_models.identified(docs, char_models.learned(docs), keep=["doc_id"])
+    return rows.select("doc_id", char_models.held_out(F.col("doc_id")).alias("held_out"), lang, score, rejected)
