@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.functions.comparison import EXACT, CompareOptions
 from sparkmart.functions.text import key_part
 from sparkmart.operators.diff import TableDiff, classify
-from sparkmart.operators.position import occurrence_number, with_position
+from sparkmart.operators.position import with_position
 from sparkmart.operators.stats import column_subsets, distinct_counts
 from sparkmart.runtime import materialize
 
 # fixed value: number of columns whose subsets are tried unless the caller says otherwise
 MAX_COLUMNS = 5
+#: rows of each side that a task of a neighbour pass sees of one gap at a time
+GAP_ROWS = 1_000_000
 
 
 def key_candidates(a: DataFrame, b: DataFrame, ignore: Sequence[str] = (), limit: int = MAX_COLUMNS) -> list[str]:
@@ -48,7 +51,7 @@ def align_rows(
     both tables and neither has been paired by an earlier subset. The candidates are ``columns``, or the
     ``candidates`` common columns with the most distinct values; there are ``2 ** candidates - 1``
     subsets. If there are more common columns, rows that agree in all of them are paired before.
-    Rows left over pair when they agree in all common columns, first with first, second with second.
+    Rows left over pair by neighbourhood, see :func:`neighbour_pairs`.
     """
     common = [c for c in a.columns if c in b.columns and c != position and c not in options.ignore_columns]
     columns = list(columns or key_candidates(a.drop(position), b.drop(position), options.ignore_columns, candidates))
@@ -75,7 +78,7 @@ def align_rows(
     pairs = decided[0]
     for more in decided[1:]:
         pairs = pairs.unionByName(more)
-    return pairs.unionByName(_equal_leftovers(left, right, pairs, everything))
+    return neighbour_pairs(left, right, materialize(pairs, "pairs"), [f"__p_{c}" for c in everything])
 
 
 def _keyed(side: DataFrame, keys: dict[int, Sequence[str]]) -> DataFrame:
@@ -141,18 +144,106 @@ def _by_priority(candidates: DataFrame) -> list[DataFrame]:
     return accepted
 
 
-def _equal_leftovers(left: DataFrame, right: DataFrame, pairs: DataFrame, columns: Sequence[str]) -> DataFrame:
-    parts = [f"__p_{c}" for c in columns]
-    rest_l = left.join(pairs.select(F.col("l_pos").alias("pos")), "pos", "left_anti")
-    rest_r = right.join(pairs.select(F.col("r_pos").alias("pos")), "pos", "left_anti")
-    shared = rest_l.select(parts).distinct().join(rest_r.select(parts).distinct(), parts, "left_semi")
-    same_l = materialize(rest_l.join(shared, parts, "left_semi"), "leftover")
-    same_r = materialize(rest_r.join(shared, parts, "left_semi"), "leftover")
-    if same_l.isEmpty():
-        return pairs.limit(0)
-    left_n = occurrence_number(same_l, parts, "pos", "nth").withColumnRenamed("pos", "l_pos")
-    right_n = occurrence_number(same_r, parts, "pos", "nth").withColumnRenamed("pos", "r_pos")
-    return left_n.join(right_n, [*parts, "nth"]).select("l_pos", "r_pos")
+def neighbour_pairs(left: DataFrame, right: DataFrame, pairs: DataFrame, parts: Sequence[str], block: int = GAP_ROWS) -> DataFrame:
+    """``pairs`` and the unpaired rows that follow or precede a pair in both tables and have equal ``parts``.
+
+    Four passes: through the left table forwards, then backwards, then through the right one. A pass goes through the
+    gap of unpaired rows after each pair (the backward ones also through the gap at the end of the table) with the row
+    next to the pair's other half in hand: a row of the gap that equals the row in hand pairs with it, and the next one
+    is taken in hand, until that is paired already. Rows of the gap that don't are passed over.
+
+    Gaps are found as islands of positions and never share rows, so all are worked off at the same time. A gap of more
+    than ``block`` rows is worked off block by block, one block a round, so no task sees more.
+    """
+    whole = F.to_json(F.array(*parts))
+    # two hashes, so that unlike rows of large tables don't meet
+    marks = [F.xxhash64(whole).alias("k1"), F.xxhash64(F.lit(1), whole).alias("k2")]
+    sides = [side.select("pos", *marks) for side in (left, right)]
+    ends = [side.agg(F.coalesce(F.max("pos") + 1, F.lit(0)).alias("n")).first()["n"] for side in (left, right)]
+    for near in (0, 1):
+        for forwards in (True, False):
+            more = _neighbour_pass(sides, pairs, ends, near, forwards, block)
+            if more is None:
+                return pairs
+            pairs = pairs.unionByName(more)
+    return pairs
+
+
+def _islands(side: DataFrame, taken: DataFrame) -> DataFrame:
+    """Unpaired rows with the number of their island of neighbouring positions."""
+    rest = side.join(taken, "pos", "left_anti")
+    return materialize(with_position(rest, ["pos"], "nth").select("pos", "k1", "k2", (F.col("pos") - F.col("nth")).alias("island")), "islands")
+
+
+def _neighbour_pass(sides: list[DataFrame], pairs: DataFrame, ends: list[int], near: int, forwards: bool, block: int) -> DataFrame | None:
+    """Pairs that one pass through table ``near`` finds; None where no unpaired rows are equal at all."""
+    names = ["l_pos", "r_pos"]
+    own, other = names[near], names[1 - near]
+    taken = pairs.select(F.col(own).alias("own"), F.col(other).alias("far"))
+    rows = _islands(sides[near], taken.select(F.col("own").alias("pos")))
+    hand = _islands(sides[1 - near], taken.select(F.col("far").alias("pos")))
+    if rows.join(hand, ["k1", "k2"], "left_semi").isEmpty():
+        return None
+    step, border = (1, F.min) if forwards else (-1, F.max)
+    gaps = rows.groupBy("island").agg(border("pos").alias("at")).withColumn("own", F.col("at") - step)
+    runs = hand.groupBy("island").agg(border("pos").alias("hand")).select(F.col("island").alias("run"), "hand", (F.col("hand") - step).alias("far"))
+    # numbers of rows as the last pair that is no pair: only gaps at the end are next to it
+    anchors = taken if forwards else taken.unionByName(taken.sparkSession.createDataFrame([(ends[near], ends[1 - near])], "own long, far long"))
+    state = materialize(gaps.join(anchors, "own").join(runs, "far").select("island", "run", "at", "hand"), "gaps")
+    found = None
+    while not state.isEmpty():
+        reach = lambda c: F.col("pos").between(*((F.col(c), F.col(c) + block - 1) if forwards else (F.col(c) - block + 1, F.col(c))))
+        gap = rows.join(state, "island").where(reach("at")).select("island", "run", F.lit(0).alias("side"), "pos", "k1", "k2")
+        row = hand.withColumnRenamed("island", "run").join(state, "run").where(reach("hand")).select("island", "run", F.lit(1).alias("side"), "pos", "k1", "k2")
+        order = F.col("pos") if forwards else F.desc("pos")
+        both = gap.unionByName(row).repartition("island").sortWithinPartitions("island", F.desc("side"), order)
+        out = materialize(both.mapInArrow(lambda b: _walked(b, step, block), "island long, run long, own long, far long, last boolean"), "neighbours")
+        new = out.where("last IS NULL").select(F.col("own").alias(own), F.col("far").alias(other))
+        found = new if found is None else found.unionByName(new)
+        state = materialize(out.where("NOT last").select("island", "run", F.col("own").alias("at"), F.col("far").alias("hand")), "gaps")
+    return found if found is not None else pairs.limit(0)
+
+
+def _walked(batches: Iterator[pa.RecordBatch], step: int, block: int) -> Iterator[pa.RecordBatch]:
+    """Per gap, the rows in hand first, then those of the gap: its pairs, and a row saying where to go on and whether it ends."""
+    own = run = None
+    hand: list[tuple[int, int, int]] = []
+    seen = taken = 0
+    last = None
+    out: list[tuple] = []
+
+    def closed() -> None:
+        # the rows in hand are used up, or those of the gap: there may be more of them
+        more = len(hand) == block if taken == len(hand) else seen == block
+        out.append((own, run, last + step, (hand[taken][0] if taken < len(hand) else hand[-1][0] + step), not more))
+
+    for batch in batches:
+        for island, to, side, pos, k1, k2 in zip(*(c.to_pylist() for c in batch.columns)):
+            if island != own:
+                if last is not None:
+                    closed()
+                own, run, hand, seen, taken, last = island, to, [], 0, 0, None
+            if side:
+                hand.append((pos, k1, k2))
+                continue
+            if taken == len(hand) == block:
+                continue  # the rest of this block needs the next rows in hand
+            seen, last = seen + 1, pos
+            if taken < len(hand) and hand[taken][1:] == (k1, k2):
+                out.append((own, run, pos, hand[taken][0], None))
+                taken += 1
+        if out:
+            yield _found(out)
+            out.clear()
+    if last is not None:
+        closed()
+    if out:
+        yield _found(out)
+
+
+def _found(out: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64()] * 4 + [pa.bool_()]
+    return pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out), kinds)], ["island", "run", "own", "far", "last"])
 
 
 def pair_by_content(a: DataFrame, b: DataFrame, position: str, columns: Sequence[str] | None = None,

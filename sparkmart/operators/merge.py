@@ -108,8 +108,9 @@ class ThreeWay:
         either side go, and so do columns. A conflicting cell keeps the local value, or, with
         ``conflict_style='text'``, shows parent, local and remote in one text.
 
-        Rows with a repeated or blank key can't be told apart by it. They are merged as a multiset: of each
-        full row as many copies stay as local and remote have together beyond those of the parent.
+        Rows with a repeated or blank key can't be told apart by it. They are merged as a multiset, by the number of
+        copies of each full row: a number changed on one side only is taken, and so is one changed alike on both.
+        Where both changed it differently the local number stays; :meth:`copy_conflicts` lists such rows.
         """
         if conflict_style not in ("local", "text"):
             raise ValueError(f"unknown conflict style {conflict_style!r}")
@@ -118,15 +119,28 @@ class ThreeWay:
         merged = kept.select([self._merged_cell(c, conflict_style).alias(c) for c in self.merged_columns()])
         return merged.unionByName(self._merged_loose(merged.schema))
 
-    def _merged_loose(self, schema: T.StructType) -> DataFrame:
+    def _loose_copies(self, schema: T.StructType) -> DataFrame:
+        """Full rows with a repeated or blank key, and how many copies each table has; hot rows are counted map-side."""
         names = self.merged_columns()
         cells = []
         for c in names:
             have = [F.col(tag)[c] for tag, t in (("l", self.local), ("r", self.remote), ("p", self.parent)) if c in t.columns]
             cells.append(F.coalesce(*have).cast(schema[c].dataType).alias(c))
-        sign = F.when(self._has("p"), -1).otherwise(1).cast("long")
-        copies = self.rows.filter("loose").select(*cells, sign.alias("__n")).groupBy(*[F.col(f"`{c}`") for c in names]).agg(F.sum("__n").alias("__n"))
-        return expand_ranges(copies.filter("__n > 0"), "__n", "__i").select(*[F.col(f"`{c}`") for c in names])
+        counts = [F.count_if(f"__{tag}").alias(f"__{tag}") for tag in "plr"]
+        loose = self.rows.filter("loose").select(*cells, *[self._has(tag).alias(f"__{tag}") for tag in "plr"])
+        return loose.groupBy(*[F.col(f"`{c}`") for c in names]).agg(*counts)
+
+    def _merged_loose(self, schema: T.StructType) -> DataFrame:
+        # a side that kept the parent's number leaves the decision to the other one
+        copies = self._loose_copies(schema).withColumn("__n", F.expr("CASE WHEN __l = __p THEN __r ELSE __l END"))
+        names = [F.col(f"`{c}`") for c in self.merged_columns()]
+        return expand_ranges(copies.filter("__n > 0").drop("__p", "__l", "__r"), "__n", "__i").select(*names)
+
+    def copy_conflicts(self) -> DataFrame:
+        """Full rows with a repeated or blank key whose number of copies both sides changed, to different numbers."""
+        types = T.StructType([next(t.schema[c] for t in (self.local, self.remote, self.parent) if c in t.columns) for c in self.merged_columns()])
+        numbers = {"__p": "parent_copies", "__l": "local_copies", "__r": "remote_copies"}
+        return self._loose_copies(types).filter("__l != __p AND __r != __p AND __l != __r").withColumnsRenamed(numbers)
 
     def merged_columns(self) -> list[str]:
         """Local order; columns dropped on either side go, columns added by remote come last."""

@@ -507,16 +507,15 @@ def diff_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "diff_auto_repeated",
     """
-    WITH a AS (SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS nth, event_id AS l_pos FROM events),
-    b AS (SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS nth,
-                 row_number() OVER (ORDER BY event_id) - 1 AS r_pos FROM events WHERE event_type <> 'view' OR event_id % 3 = 0)
-    SELECT l_pos, r_pos FROM a JOIN b ON a.event_type = b.event_type AND a.nth = b.nth
+    WITH a AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, count(*) OVER () // 2 AS mid FROM orders)
+    SELECT pos AS l_pos, pos - CASE WHEN pos < mid THEN 1 ELSE 2 END AS r_pos FROM a WHERE pos NOT IN (0, mid)
     """,
 )
 def diff_auto_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tables of a few rows repeated very often: equal rows pair first with first, second with second."""
-    events = table(spark, sf_dir, "events").select("event_id", "event_type")
-    fewer = events.filter("event_type <> 'view' OR event_id % 3 = 0")
-    a = with_position(events, ["event_id"], "row_no").drop("event_id")
-    b = with_position(fewer, ["event_id"], "row_no").drop("event_id")
-    return align.align_rows(a, b, "row_no")
+    """Seven rows repeated over and over, and once without the first and a middle one: neighbours pair, two rows are gone."""
+    orders = with_position(table(spark, sf_dir, "orders"), ["o_orderkey"], "nth")
+    same = [F.concat(F.lit(f"{c} "), F.col("nth") % 7).alias(c) for c in orders.columns if c != "nth"]
+    mid = orders.count() // 2
+    a = orders.select("nth", *same)
+    b = with_position(a.filter(~F.col("nth").isin(0, mid)), ["nth"], "row_no").drop("nth")
+    return align.align_rows(a.withColumnRenamed("nth", "row_no"), b, "row_no")

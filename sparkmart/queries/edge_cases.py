@@ -24,20 +24,38 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "merge3_repeated_keys",
-    f"""
-    WITH p AS ({_LINES.format(lineitem='lineitem')}),
-    u AS (SELECT *, 1 AS n FROM p WHERE l_orderkey % 17 <> 0 UNION ALL SELECT *, 1 FROM p WHERE l_orderkey % 19 <> 0
-          UNION ALL SELECT *, 1 FROM p WHERE l_orderkey % 23 = 0 UNION ALL SELECT *, -1 FROM p),
-    g AS (SELECT grp, l_orderkey, l_linenumber, l_quantity, CAST(greatest(sum(n), 0) AS BIGINT) AS n FROM u GROUP BY ALL)
-    SELECT grp, l_orderkey, l_linenumber, l_quantity FROM (SELECT *, unnest(range(n)) AS copy FROM g)
+    """
+    SELECT * EXCLUDE (copy) REPLACE (l_partkey % 10 AS l_partkey)
+    FROM (SELECT *, unnest(range(CASE WHEN l_orderkey % 17 = 0 OR l_orderkey % 19 = 0 THEN 0 WHEN l_orderkey % 23 = 0 THEN 2 ELSE 1 END)) AS copy
+          FROM lineitem)
     """,
 )
 def merge3_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten keys for all order lines: local and remote dropped some rows, remote doubled others."""
-    p = _lines(spark, sf_dir)
+    p = table(spark, sf_dir, "lineitem").withColumn("l_partkey", F.col("l_partkey") % 10)
     local = p.filter("l_orderkey % 17 <> 0")
-    remote = p.filter("l_orderkey % 19 <> 0").unionAll(p.filter("l_orderkey % 23 = 0"))
-    return merge.three_way(p, local, remote, ["grp"]).merged()
+    remote = p.filter("l_orderkey % 19 <> 0").unionAll(p.filter("l_orderkey % 23 = 0 AND l_orderkey % 19 <> 0"))
+    return merge.three_way(p, local, remote, ["l_partkey"]).merged()
+
+
+_ORDER_EDITS = """
+    SELECT * REPLACE (CASE WHEN o_orderkey % 5 = 0 THEN 'done' ELSE o_orderstatus END AS o_orderstatus,
+                      CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey % 50 END AS o_custkey)
+    FROM orders WHERE o_orderkey % 11 <> 0
+    UNION ALL SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey % 50 END AS o_custkey)
+    FROM orders WHERE o_orderkey % 13 = 0
+"""
+
+
+@query("merge3_same_changes", f"SELECT * FROM ({_ORDER_EDITS}) WHERE o_orderkey % 17 <> 0 OR o_orderkey % 5 = 0 OR o_orderkey % 13 = 0")
+def merge3_same_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides made the same updates, deletes and copies under repeated and null keys; remote dropped more rows."""
+    key = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey") % 50)
+    p = table(spark, sf_dir, "orders").withColumn("o_custkey", key)
+    status = F.when(F.col("o_orderkey") % 5 == 0, "done").otherwise(F.col("o_orderstatus"))
+    both = p.withColumn("o_orderstatus", status).filter("o_orderkey % 11 <> 0").unionAll(p.filter("o_orderkey % 13 = 0"))
+    remote = both.filter("o_orderkey % 17 <> 0 OR o_orderkey % 5 = 0 OR o_orderkey % 13 = 0")
+    return merge.three_way(p, both, remote, ["o_custkey"]).merged()
 
 
 _HOLES = "SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey END AS o_orderkey), o_orderkey AS n FROM orders"

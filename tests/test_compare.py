@@ -111,17 +111,40 @@ def sequential_pairs(a, b, columns):
                 pairs.append((i, j))
                 used_a.add(i)
                 used_b.add(j)
-    full = list(columns)
-    for i, r in enumerate(a):
-        if i in used_a:
-            continue
-        for j, s in enumerate(b):
-            if j not in used_b and all(str(r[c]) == str(s[c]) for c in full):
-                pairs.append((i, j))
-                used_a.add(i)
-                used_b.add(j)
-                break
-    return sorted(pairs)
+    return sorted(walk(a, b, pairs, lambda r: tuple(str(r[c]) for c in columns)))
+
+
+def walk(a, b, pairs, key):
+    """The four passes over neighbours, row by row."""
+    to = [dict(pairs), {j: i for i, j in pairs}]
+    for near in (0, 1):
+        mine, theirs = (a, b) if near == 0 else (b, a)
+        own, far = to[near], to[1 - near]
+        for step in (1, -1):
+            hand = None if step == 1 else len(theirs) - 1
+            for i in range(len(mine))[::step]:
+                if i in own:
+                    hand = own[i] + step
+                elif hand is not None and 0 <= hand < len(theirs) and hand not in far and key(mine[i]) == key(theirs[hand]):
+                    own[i], far[hand] = hand, i
+                    hand += step
+    return list(to[0].items())
+
+
+@pytest.mark.parametrize("block", [1_000_000, 3])
+def test_neighbours_of_repeated_rows_match_a_walk(spark, block):
+    rng = random.Random(block)
+    for count in (9, 60):
+        a = [rng.choice("xyz") if count > 9 else "xyz"[i % 3] for i in range(count)]
+        b = [x for i, x in enumerate(a) if (rng.random() < 0.8 if count > 9 else i > 0)]
+        b[len(b) // 2 : len(b) // 2] = ["y", "q"] if count > 9 else []
+        some = [(i, j) for i, j in walk(a, b, [], str) if rng.random() < 0.2] if count > 9 else []
+        frames = [spark.createDataFrame(list(enumerate(t)), "pos long, __p_x string") for t in (a, b)]
+        pairs = spark.createDataFrame(some, "l_pos long, r_pos long")
+        got = rows(align.neighbour_pairs(*frames, pairs, ["__p_x"], block))
+        assert sorted(got) == sorted(walk(a, b, some, str))
+        if count == 9:  # one deleted first row is one delete
+            assert sorted(got) == [(i, i - 1) for i in range(1, 9)]
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
@@ -225,8 +248,21 @@ def test_merge_properties_with_repeated_and_null_keys(spark, seed):
         return spark.createDataFrame([(rng.choice([None, 1, 2, 3, 4, 5, 6, 7, 8]), rng.choice("ab")) for _ in range(n)], schema)
 
     p, x = some(9), some(12)
-    for merged, wanted in (((p, x, p), x), ((p, p, x), x), ((p, p, p), p)):
-        assert rows(merge.three_way(*merged, ["k"]).merged()) == rows(wanted)
+    for merged, wanted in (((p, x, p), x), ((p, p, x), x), ((p, x, x), x), ((p, p, p), p)):
+        found = merge.three_way(*merged, ["k"])
+        assert rows(found.merged()) == rows(wanted)
+        assert found.copy_conflicts().isEmpty()
+
+
+def test_merge_counts_copies(spark):
+    schema = "k long, v string"
+    p = spark.createDataFrame([(7, "a"), (7, "b"), (8, "c"), (8, "c")], schema)
+    same = spark.createDataFrame([(7, "z"), (7, "b"), (None, "n"), (8, "c")], schema)
+    assert rows(merge.three_way(p, same, same, ["k"]).merged()) == rows(same)
+    more = spark.createDataFrame([(7, "a"), (7, "b"), (8, "c"), (8, "c"), (8, "c"), (8, "c")], schema)
+    found = merge.three_way(p, same, more, ["k"])
+    assert rows(found.merged()) == rows(same)
+    assert rows(found.copy_conflicts()) == [(8, "c", 2, 1, 4)]
 
 
 def test_many_columns_pair_equal_rows_first(spark):
