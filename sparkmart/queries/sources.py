@@ -222,3 +222,20 @@ def sink_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, ext in enumerate(("csv", "ndjson", "tsv", "ssv", "parquet")):
         at = sinks.convert(spark, at, f"{base}/{i}.{ext}", part.schema)
     return files.read_parquet(spark, at)
+
+
+@query("sink_convert_texts", "SELECT * FROM documents")
+def sink_convert_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks through comma, tab and semicolon files and back."""
+    documents = table(spark, sf_dir, "documents")
+    at, base = f"{sf_dir}/documents.parquet", scratch_path(spark, "convert")
+    for i, ext in enumerate(("csv", "tsv", "ssv", "parquet")):
+        at = sinks.convert(spark, at, f"{base}/{i}.{ext}", documents.schema)
+    return files.read_parquet(spark, at)
+
+
+@query("src_csv_line_breaks", "SELECT * FROM conversations")
+def src_csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed columns and texts with line breaks from CSV that is read in splits."""
+    turns = table(spark, sf_dir, "conversations")
+    return files.read_csv(spark, sinks.write_csv(turns, scratch_path(spark, "csv")), turns.schema)

@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import datetime
 
 import pytest
@@ -377,3 +378,34 @@ def test_scratch_of_the_application_is_removed(spark, tmp_path, monkeypatch):
     spark.range(3).write.saveAsTable(f"{name}.t")
     runtime.drop_scratch(spark)
     assert not list(tmp_path.iterdir()) and not spark.catalog.databaseExists(name)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_line_breaks_in_quotes_are_read_in_splits(spark, tmp_path, seed):
+    """Random records over many small splits, with doubled and stray quotes and both kinds of line ends."""
+    rng = random.Random(seed)
+    want = []
+    for f in range(2):
+        end = rng.choice(["\n", "\r\n"])
+        made = [
+            (str(i), "".join(rng.choices(["a", '"', "\n", ",", "é", "\r\n", "x" * 40, ""], k=rng.randint(0, 12))), rng.choice(["plain", '5" x', "", "a b"]))
+            for i in range(60)
+        ]
+        with open(tmp_path / f"{f}.csv", "w", newline="", encoding="utf8") as out:
+            out.write(f"id,te xt,third{end}")
+            for a, b, c in made:
+                quoted = b.replace('"', '""')
+                out.write(f'{a},"{quoted}",{c}{end}')
+        want += made
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "300")
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 4
+        assert sorted(map(tuple, files.read_csv_strings(spark, str(tmp_path)).collect())) == sorted(want)
+        typed = files.read_csv(spark, str(tmp_path))
+        assert typed.dtypes == [("id", "bigint"), ("te xt", "string"), ("third", "string")] and typed.count() == 120
+        raw = [tuple(r["fields"]) for r in files.read_csv_raw(spark, str(tmp_path)).collect()]
+        assert sorted(raw) == sorted(want + [("id", "te xt", "third")] * 2)
+    finally:
+        spark.conf.set(size, before)
