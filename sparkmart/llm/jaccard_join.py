@@ -340,14 +340,19 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component, that with the smallest id; rows without words or without id all stay.
 
-    Rows that repeat id and text count once. Different linked texts under one id can't be told apart and stay.
+    Rows are known by id and a digest of the text, so of two texts under one id each is judged by itself; of linked
+    ones that with the smaller digest stays. Rows that repeat id and text count once.
     """
-    found = materialize(jaccard_components(docs, id_column, text), "jaccard-found")
+    mark = F.unhex(F.md5(F.coalesce(col(text), F.lit("")).cast("binary")))
+    key = F.when(col(id_column).isNotNull(), F.struct(col(id_column).alias("id"), mark.alias("mark")))
+    keyed = docs.select(key.alias("key"), col(text).alias("text"))
+    found = materialize(jaccard_components(keyed, "key", "text"), "jaccard-found")
+    same = (col(id_column) == F.col("gone.id")) & (mark == F.col("gone.mark"))
     # this list grows with the corpus: it is joined by a shuffle at every size
     gone = found.where("id != component").select(F.col("id").alias("gone")).distinct().hint("merge")
-    kept = docs.join(gone, col(id_column) == gone.gone, "left_anti")
-    many = found.where("n_shingles > 0 and id = component").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("many"))
+    kept = docs.join(gone, same, "left_anti")
+    many = found.where("n_shingles > 0 and id = component").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("gone"))
     if many.isEmpty():
         return kept
-    again = kept.join(many, col(id_column) == many.many, "left_semi").dropDuplicates([id_column, text])
-    return kept.join(many, col(id_column) == many.many, "left_anti").unionByName(again)
+    again = kept.join(many, same, "left_semi").dropDuplicates([id_column, text])
+    return kept.join(many, same, "left_anti").unionByName(again)

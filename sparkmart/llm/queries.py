@@ -80,25 +80,34 @@ WITH w AS (
   SELECT r, lang, source, unnest([{{'metric': 'symbols', 'value': 1000 * n_symbols // n_words}},
     {{'metric': 'dup_lines', 'value': 1000 * n_dup_lines // greatest(n_lines, 1)}},
     {{'metric': 'repeats', 'value': 1000 * n_repeat_words // n_words}},
-    {{'metric': 'word_length', 'value': 1000 * word_chars // n_words}}], recursive := true) FROM b WHERE NOT base_failed
+    {{'metric': 'word_length', 'value': 1000 * word_chars // n_words}},
+    {{'metric': 'words', 'value': n_words}}, {{'metric': 'lines', 'value': greatest(n_lines, 1)}}], recursive := true) FROM b WHERE NOT base_failed
 ), s AS (
-  SELECT *, (value >> {_SHIFT}) << {_SHIFT} AS bucket FROM v
-), levels AS (
-  SELECT lang, source, metric, count(*) AS total, quantile_disc(bucket, 0.25) AS q1, quantile_disc(bucket, 0.5) AS q2,
-    quantile_disc(bucket, 0.75) AS q3, grouping(lang) AS gl, grouping(source) AS gs
-  FROM s GROUP BY GROUPING SETS ((lang, source, metric), (lang, metric), (metric))
-), picked AS (
-  SELECT o.lang, o.source, o.metric,
-    CASE WHEN o.total >= {quality_rules.MIN_DOCS} THEN [o.q1, o.q2, o.q3] WHEN l.total >= {quality_rules.MIN_DOCS} THEN [l.q1, l.q2, l.q3]
-      ELSE [g.q1, g.q2, g.q3] END AS q
-  FROM levels o JOIN levels l ON o.lang IS NOT DISTINCT FROM l.lang AND o.metric = l.metric AND l.gs = 1 AND l.gl = 0
-  JOIN levels g ON g.metric = o.metric AND g.gl = 1 AND g.gs = 1 WHERE o.gl = 0 AND o.gs = 0
+  SELECT lang, source, metric, (value >> {_SHIFT}) << {_SHIFT} AS bucket FROM v
+), level AS (
+  SELECT lang, source, metric, bucket, count(*) AS n, grouping(lang) + grouping(source) AS up
+  FROM s GROUP BY GROUPING SETS ((lang, source, metric, bucket), (lang, metric, bucket), (metric, bucket))
+), run AS (
+  SELECT *, sum(n) OVER (PARTITION BY up, lang, source, metric ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY up, lang, source, metric) AS total FROM level
+), q AS (
+  SELECT up, lang, source, metric, max(total) AS n, min(bucket) FILTER (upto * 1000 >= total * 250) AS q250, min(bucket) FILTER (upto * 1000 >= total * 500) AS q500,
+    min(bucket) FILTER (upto * 1000 >= total * 750) AS q750, min(bucket) FILTER (upto * 1000 >= total * 999) AS q999
+  FROM run GROUP BY up, lang, source, metric
+), own AS (
+  SELECT l.up, l.lang, l.source, l.metric, l.n::HUGEINT AS n, CASE l.metric WHEN 'symbols' THEN l.q750 + 24000 // w.q500 WHEN 'dup_lines' THEN l.q999 + 1000 // k.q500
+      WHEN 'repeats' THEN l.q999 + 12000 // w.q500 ELSE l.q500 + 14 * greatest(least(l.q500 - l.q250, l.q750 - l.q500), 75) END AS high,
+    CASE l.metric WHEN 'word_length' THEN l.q500 - 14 * greatest(least(l.q500 - l.q250, l.q750 - l.q500), 75) ELSE 0 END AS low
+  FROM q l JOIN q w ON w.metric = 'words' AND w.up = l.up AND w.lang IS NOT DISTINCT FROM l.lang AND w.source IS NOT DISTINCT FROM l.source
+  JOIN q k ON k.metric = 'lines' AND k.up = l.up AND k.lang IS NOT DISTINCT FROM l.lang AND k.source IS NOT DISTINCT FROM l.source
+  WHERE l.metric NOT IN ('words', 'lines')
 ), fence AS (
-  SELECT lang, source, metric, q[2] AS mid, {quality_rules.WIDTH} * greatest(least(q[2] - q[1], q[3] - q[2]),
-    CASE metric WHEN 'symbols' THEN 10 WHEN 'dup_lines' THEN 50 WHEN 'repeats' THEN 40 ELSE 150 END) AS width FROM picked
+  SELECT o.lang, o.source, o.metric,
+    (o.n * o.low + {quality_rules.MIX} * ((t.n * t.low + {quality_rules.MIX} * g.low) // (t.n + {quality_rules.MIX}))) // (o.n + {quality_rules.MIX}) AS low,
+    (o.n * o.high + {quality_rules.MIX} * ((t.n * t.high + {quality_rules.MIX} * g.high) // (t.n + {quality_rules.MIX}))) // (o.n + {quality_rules.MIX}) AS high
+  FROM own o JOIN own t ON t.up = 1 AND t.metric = o.metric AND t.lang IS NOT DISTINCT FROM o.lang JOIN own g ON g.up = 2 AND g.metric = o.metric WHERE o.up = 0
 ), bad AS (
   SELECT DISTINCT r FROM v JOIN fence f ON v.metric = f.metric AND v.lang IS NOT DISTINCT FROM f.lang AND v.source IS NOT DISTINCT FROM f.source
-  WHERE value > mid + width OR (f.metric = 'word_length' AND value < mid - width)
+  WHERE value > high OR value < low
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND r NOT IN (SELECT r FROM bad) AS kept FROM b

@@ -170,3 +170,11 @@ def test_rounds_go_on_while_lists_improve(spark, monkeypatch):
     assert max(r["sim"] for r in lists) < 0.895
     assert sum(label.startswith("neighbours-") and label[-1].isdigit() for label in rounds) > 3
     assert sum(r["fresh"] for r in lists) <= nn_descent.ENOUGH * 600 * 6
+
+
+def test_two_texts_under_one_id_are_judged_apart(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, long), (2, long + " x"), (2, " ".join(f"v{i}" for i in range(30))), (3, "short other text"), (3, "short other text"), (None, long), (4, None), (4, None)]
+    docs = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, mark string")
+    kept = sorted(((r["doc_id"], (r["text"] or "")[:5]) for r in jaccard_join.one_of_each(docs).collect()), key=str)
+    assert kept == [(1, "w0 w1"), (2, "v0 v1"), (3, "short"), (4, ""), (4, ""), (None, "w0 w1")]

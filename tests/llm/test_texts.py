@@ -185,3 +185,25 @@ def test_plans_use_up_all_lengths_tightly(seed):
         np.add.at(used, lengths, times)
     assert used.tolist() == counts.tolist()
     assert sum(t for _, t in plan) <= 1.01 * (counts * np.arange(1025)).sum() / 1024 + 1
+
+
+def test_fences_follow_their_group(spark):
+    """Two sources with other habits have other fences; what is usual in one is rejected in the other; no size switches."""
+    rng = random.Random(9)
+
+    def text(length, lines, symbols):
+        words = ["".join(rng.choices("abcdefgh", k=max(1, int(rng.gauss(length, 1))))) for _ in range(200)]
+        words[:symbols] = ["#"] * symbols
+        return "\n".join(" ".join(words[i::lines]) for i in range(lines)) + "\n" + "\n".join([words[-1] + " same line"] * lines)
+
+    rows = [(i, text(5, 4, 0), "en", "short") for i in range(150)] + [(200 + i, text(12, 40, 0), "en", "long") for i in range(150)]
+    odd = [(900, text(12, 4, 0), "en", "short"), (901, text(5, 40, 0), "en", "long"), (902, text(5, 4, 90), "en", "short"), (903, text(12, 40, 0), "en", "long")]
+    small = [(950, text(5, 4, 0), "en", "few")]
+    docs = spark.createDataFrame(rows + odd + small, "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"] for r in quality_rules.filtered(docs).collect()}
+    assert {900, 901, 902} & kept == set() and 903 in kept
+    assert len(kept & {r[0] for r in rows}) >= 298
+    found = {r["source"]: r.asDict() for r in quality_rules.rejections(docs).collect()}
+    for limit in quality_rules.LIMITS:
+        assert found["short"][limit] != found["long"][limit] or limit == "repeats_high"
+    assert found["short"]["word_length_rejected"] >= 1 and found["short"]["symbols_rejected"] == 1 and found["few"]["n_texts"] == 1
