@@ -29,7 +29,8 @@ def apply_changes(
     """The table after UPDATE, DELETE and INSERT, as one rewrite.
 
     ``updates`` holds the condition columns and the columns to set, ``deletes`` the condition
-    columns; each combination of condition values occurs once. NULL condition values match NULL.
+    columns. Repeated updates count once; unlike ones for the same condition values are refused, as neither is the
+    last. NULL condition values match NULL.
     The changes are written first, so that Spark knows their size: a condition may hit a large part of
     the table, and a small change set is then broadcast instead of gathering those rows by condition.
     """
@@ -40,8 +41,10 @@ def apply_changes(
     if updates is not None:
         assigned = [c for c in updates.columns if c not in conditions]
         new = materialize(
-            updates.select(*[F.col(c).alias(f"__{c}") for c in conditions], F.struct(*assigned).alias("__new")), "updates"
+            updates.select(*[F.col(c).alias(f"__{c}") for c in conditions], F.struct(*assigned).alias("__new")).distinct(), "updates"
         )
+        if not new.groupBy(*[f"__{c}" for c in conditions]).count().where("count > 1").isEmpty():
+            raise ValueError(f"unlike updates for the same values of {', '.join(conditions)}")
         joined = out.join(new, null_safe(out, new, [(c, f"__{c}") for c in conditions]), "left")
         hit = F.col("__new").isNotNull()
         out = joined.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from decimal import Decimal
@@ -40,7 +41,9 @@ def impute_columns(df: DataFrame, methods: dict[str, str], order_by: Sequence[st
     sizes = {c: p.values for c, p in known.items()} if known is not None else None
     values.update(exact_medians(df, by_method["median"], sizes=sizes))
     values.update(modes(df, by_method["mode"]))
-    large = _beyond_double(df, [c for c, v in values.items() if v is not None and methods[c] != "mode" and v != int(v)])
+    # an infinite mean or median is a fill like others; one that is no number (opposite infinities) leaves the nulls
+    values = {c: None if isinstance(v, float) and math.isnan(v) else v for c, v in values.items()}
+    large = _beyond_double(df, [c for c, v in values.items() if v is not None and methods[c] != "mode" and math.isfinite(v) and v != int(v)])
     filled = df.withColumns({c: _fill(df.schema[c], v, methods[c], c in large) for c, v in values.items() if v is not None})
     if by_method["interpolate"]:
         if not order_by:

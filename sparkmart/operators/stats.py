@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+from fractions import Fraction
 from collections.abc import Sequence
 from dataclasses import dataclass
 from decimal import Decimal, localcontext
@@ -194,9 +195,13 @@ def quantiles_by(df: DataFrame, by: Sequence[str], value: str, shares: dict[str,
     run = placed.withColumn("__run", F.sum("__c").over(inside))
     joined = run.join(sums, [run[c].eqNullSafe(sums[c]) for c in [*by, "__block"]])
     upto = F.col("__run") + F.col("__before")
-    picked = [
-        F.min(F.when(upto >= F.ceil(F.lit(share) * F.col("__n")), F.col(value))).alias(name) for name, share in shares.items()
-    ]
+
+    def rank(share: float) -> Column:
+        """ceil(share * n) in whole numbers; the share is the decimal it is written as."""
+        up, down = Fraction(str(share)).as_integer_ratio()
+        return F.expr(f"(__n div {down}) * {up} + ((__n % {down}) * {up} + {down - 1}) div {down}")
+
+    picked = [F.min(F.when(upto >= rank(share), F.col(value))).alias(name) for name, share in shares.items()]
     return joined.groupBy(*[run[c] for c in by]).agg(*picked)
 
 

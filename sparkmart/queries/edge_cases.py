@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.functions import temporal
-from sparkmart.operators import align, diff, impute, merge, patch, stats, tables
+from sparkmart.operators import align, diff, impute, intervals, merge, patch, stats, tables
 from sparkmart.operators.position import with_position
 from sparkmart.plans import sales
 from sparkmart.queries import basics  # noqa: F401  its SQL is used again
@@ -177,6 +177,41 @@ def impute_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impute.impute(t, "v", "mean").withColumn("v", F.round("v", 3))
 
 
+_ENDLESS = """
+    SELECT *, CASE WHEN o_orderkey % 13 = 0 THEN CAST('Infinity' AS DOUBLE) WHEN o_orderkey % 17 <> 0 THEN o_totalprice END AS high,
+           CASE WHEN o_orderkey % 13 = 0 THEN CAST('-Infinity' AS DOUBLE) WHEN o_orderkey % 17 <> 0 THEN o_totalprice END AS low,
+           CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 13 < 6 THEN CAST('-Infinity' AS DOUBLE) ELSE CAST('Infinity' AS DOUBLE) END AS both
+    FROM {orders}
+"""
+
+
+@query(
+    "impute_infinity",
+    f"""
+    WITH t AS ({_ENDLESS.format(orders='orders')})
+    SELECT * REPLACE (coalesce(high, CAST('Infinity' AS DOUBLE)) AS high, round(coalesce(low, (SELECT median(low) FROM t)), 4) AS low) FROM t
+    """,
+)
+def impute_infinity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An infinite mean fills, a median is taken over infinities too, and a mean of opposite infinities fills nothing."""
+    t = spark.sql(_ENDLESS, orders=table(spark, sf_dir, "orders"))
+    return impute.impute_columns(t, {"high": "mean", "low": "median", "both": "mean"}).withColumn("low", F.round("low", 4))
+
+
+@query(
+    "run_shares",
+    """
+    SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS runs, max(value * 1000) AS max_ms,
+      list_sort(list(value * 1000))[(count(*) * 7 + 99) // 100] AS p7_ms, list_sort(list(value * 1000))[(count(*) * 14 + 99) // 100] AS p14_ms,
+      list_sort(list(value * 1000))[(count(*) * 55 + 99) // 100] AS p55_ms
+    FROM events WHERE value IS NOT NULL GROUP BY 1, 2
+    """,
+)
+def run_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares that no binary fraction holds."""
+    return intervals.run_metrics(table(spark, sf_dir, "events"), "ts", "event_type", "value", "1 day", [0.07, 0.14, 0.55])
+
+
 _MANY = "FROM lineitem, (SELECT unnest([0, 1, 2]) AS k)"
 
 
@@ -199,8 +234,8 @@ def median_large(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("parse_date_forms", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS parsed FROM orders")
 def parse_date_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order dates written in ten ways."""
-    forms = ("yyyy-MM-dd'T'HH:mm:ss", "dd-MMM-yyyy", "MMMM d, yyyy", "d/M/yy", "yyyy-MM-dd HH:mm:ss.SSS", "d.M.yyyy", "d MMMM yyyy HH:mm",
+    """Order dates written in many ways."""
+    forms = ("yyyy-MM-dd'T'HH:mm:ss", "EEEE, d MMMM yyyy", "EEE, dd MMM yyyy HH:mm:ss 'GMT'", "yyyy-MM-dd'T'HH:mm:ss'+07:00'", "MMM d, yyyy", "d-MMM-yy", "dd-MMM-yyyy", "MMMM d, yyyy", "d/M/yy", "yyyy-MM-dd HH:mm:ss.SSS", "d.M.yyyy", "d MMMM yyyy HH:mm",
              "yyyyMMdd", "d/M/yyyy h:mm a", "yyyy/M/d")
     day = F.col("o_orderdate").cast("timestamp")
     text = F.lit(None).cast("string")

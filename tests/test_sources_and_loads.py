@@ -409,3 +409,11 @@ def test_line_breaks_in_quotes_are_read_in_splits(spark, tmp_path, seed):
         assert sorted(raw) == sorted(want + [("id", "te xt", "third")] * 2)
     finally:
         spark.conf.set(size, before)
+
+
+def test_unlike_updates_of_one_key_are_refused(spark):
+    table = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    same = spark.createDataFrame([(1, "x"), (1, "x")], "k long, v string")
+    assert rows(changes.apply_changes(table, ["k"], updates=same)) == [(1, "x"), (2, "b")]
+    with pytest.raises(ValueError, match="unlike updates"):
+        changes.apply_changes(table, ["k"], updates=same.unionAll(table))

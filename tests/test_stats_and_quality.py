@@ -168,6 +168,23 @@ def test_more_ways_to_write_a_date(spark):
     assert [r[1][11:] if r[1] else None for r in got] == ["10:00:00", "00:00:00", "00:00:00", "00:00:00", "10:00:00.123", "15:07:00", "00:00:00", "00:00:00", None]
 
 
+def test_dates_by_the_classes_of_their_tokens(spark):
+    texts = {
+        "2024-01-05T10:00:00+07:00": "2024-01-05 03:00:00", "2024-01-05 10:00:00 -0530": "2024-01-05 15:30:00", "2024-01-05T10:00:00Z": "2024-01-05 10:00:00",
+        "Friday, 5 January 2024": "2024-01-05 00:00:00", "Fri, 05 Jan 2024 10:00:00 GMT": "2024-01-05 10:00:00", "Sept 5, 2024": "2024-09-05 00:00:00",
+        "5th of May": None, "5th May 2024": "2024-05-05 00:00:00", "May 5th, 2024 3 pm": None, "2024 Jan 5": "2024-01-05 00:00:00", "01/25/2024": "2024-01-25 00:00:00",
+        "25/25/2024": None, "5 Marvel 2024": None, "2024-1": None, "1-2-3-4": None, "Mon 1 Jul 24 1:02:03.5 a.m.": "2024-07-01 01:02:03.5", "": None, "12": None,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r[0]: r[1] for r in df.select("t", parse_timestamp("t").cast("string")).collect()}
+    assert got == texts
+
+
+def test_ranks_of_shares_are_exact(spark):
+    for n, share, want in ((50, 0.14, 6), (50, 0.5, 24), (100, 0.07, 6), (7, 1.0, 6), (100, 0.55, 54)):
+        assert stats.quantiles_by(spark.range(n).withColumn("g", F.lit(1)), ["g"], "id", {"q": share}).first()["q"] == want
+
+
 def test_coercion_goes_by_name(spark):
     df = spark.createDataFrame([("13-05-2025", "13-05-2025", "x")], "updated string, shown string, last_timestamp string")
     row = coerce_dates(df).first()
