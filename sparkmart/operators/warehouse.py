@@ -14,7 +14,7 @@ from sparkmart.functions.temporal import date_parts, parse_day_first
 from sparkmart.functions.text import split_list
 from sparkmart.operators.position import with_position
 from sparkmart.operators.quality import keep_first
-from sparkmart.operators.state import StateTable
+from sparkmart.operators.state import CommitLog, VersionTaken
 from sparkmart.runtime import materialize
 
 # columns of the written rows that all six loads read
@@ -212,8 +212,12 @@ DIMENSION_KEYS = {
 LOAD_ID = "load_id"
 
 
-def _loads(spark: SparkSession, database: str) -> StateTable:
-    return StateTable(spark, f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/_loads")
+def _folder(spark: SparkSession, database: str) -> str:
+    return spark.catalog.getDatabase(database).locationUri.rstrip("/")
+
+
+def _loads(spark: SparkSession, database: str) -> CommitLog:
+    return CommitLog(spark, f"{_folder(spark, database)}/_loads")
 
 
 def _stored(spark: SparkSession, database: str, loads: Sequence[str]) -> Star:
@@ -227,40 +231,88 @@ def _stored(spark: SparkSession, database: str, loads: Sequence[str]) -> Star:
 
 def read_star(spark: SparkSession, database: str) -> Star:
     """The star as stored in a database by finished loads; all of it is None before the first one has finished."""
-    return _stored(spark, database, _loads(spark, database).get("finished", []))
+    return _stored(spark, database, _loads(spark, database).latest([])[1])
+
+
+def _append(rows: DataFrame, load: str, database: str, name: str) -> None:
+    target = rows.withColumn(LOAD_ID, F.lit(load)).write.mode("append").format("parquet").partitionBy(LOAD_ID)
+    target.saveAsTable(f"{database}.{name}")
 
 
 def load_star_tables(news: DataFrame, database: str) -> Star:
     """Load news into the star of a database: dimensions first, then the fact, each by appending what is new.
 
-    The rows of a load become visible together, when its id is added to the list of finished loads after the last
-    table was written. A load that broke off leaves rows that are never read, and a repeated load adds nothing. If
-    another load has finished meanwhile, this one isn't finished but raises, as both may have given the same keys.
+    The rows of a load become visible together, when the next version of the list of finished loads is written after
+    the last table; that file is created by one writer only. Of two loads that began at the same version, the second to
+    finish fails, as both may have given the same keys, and can be run again. A load that broke off or failed leaves
+    rows that are never read (:func:`remove_unread` drops them), and a repeated load adds nothing.
     """
     spark = news.sparkSession
-    state = _loads(spark, database)
-    finished = state.get("finished", [])
+    log = _loads(spark, database)
+    version, finished = log.latest([])
     before = _stored(spark, database, finished)
     load = uuid.uuid4().hex
     rows = dated(news)
-
-    def append(added: DataFrame, name: str) -> None:
-        target = added.withColumn(LOAD_ID, F.lit(load)).write.mode("append").format("parquet").partitionBy(LOAD_ID)
-        target.saveAsTable(f"{database}.{name}")
-
     after = load_dimensions(rows, before)
     for name, key in DIMENSION_KEYS.items():
         known = getattr(before, name)
         highest = (known.agg(F.max(key)).first()[0] if known is not None else None) or 0
-        append(getattr(after, name).filter(F.col(key) > highest), name)
+        _append(getattr(after, name).filter(F.col(key) > highest), load, database, name)
     with_new = _stored(spark, database, [*finished, load])
-    append(new_facts(rows, replace(with_new, fact_news=before.fact_news)), "fact_news")
-    if state.get("finished", []) != finished:
-        raise RuntimeError("another load into this database has finished meanwhile; run this one again")
-    state.set("finished", [*finished, load], seq=len(finished) + 1)
+    _append(new_facts(rows, replace(with_new, fact_news=before.fact_news)), load, database, "fact_news")
+    _finish(log, version, [*finished, load])
+    return read_star(spark, database)
+
+
+def _finish(log: CommitLog, version: int, loads: list[str]) -> None:
+    try:
+        log.commit(version + 1, loads)
+    except VersionTaken as taken:
+        raise RuntimeError("another load into this database has finished meanwhile; run this one again") from taken
+
+
+def compact_star(spark: SparkSession, database: str) -> Star:
+    """Write the rows of all finished loads as those of one, so that reads have one load to look for.
+
+    It is a commit like that of a load: readers see the rows of before or the same rows of after.
+    """
+    log = _loads(spark, database)
+    version, finished = log.latest([])
+    if len(finished) > 1:
+        load = uuid.uuid4().hex
+        star = _stored(spark, database, finished)
+        for name in [*DIMENSION_KEYS, "fact_news"]:
+            _append(getattr(star, name), load, database, name)
+        _finish(log, version, [load])
+        log.forget(version)
     return read_star(spark, database)
 
 
+def remove_unread(spark: SparkSession, database: str) -> int:
+    """Drop the rows of loads that broke off, failed or were compacted, and return the number of such loads.
+
+    Run it while no load and no reader of an older version is at work.
+    """
+    finished = set(_loads(spark, database).latest([])[1])
+    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark, database))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    tracked = spark.conf.get("spark.sql.catalogImplementation") == "hive"
+    gone = set()
+    for name in [*DIMENSION_KEYS, "fact_news"]:
+        table = spark._jvm.org.apache.hadoop.fs.Path(path, name)
+        if not spark.catalog.tableExists(f"{database}.{name}") or not fs.exists(table):
+            continue
+        for status in fs.listStatus(table):
+            load = status.getPath().getName().removeprefix(f"{LOAD_ID}=")
+            if status.isDirectory() and load not in finished and status.getPath().getName() != load:
+                if tracked:
+                    spark.sql(f"ALTER TABLE {database}.{name} DROP IF EXISTS PARTITION ({LOAD_ID} = '{load}')")
+                fs.delete(status.getPath(), True)
+                gone.add(load)
+        spark.catalog.refreshTable(f"{database}.{name}")
+    return len(gone)
+
+
 def load_star(news: DataFrame, star: Star = Star()) -> Star:
     rows = dated(news)
     dims = load_dimensions(rows, star)

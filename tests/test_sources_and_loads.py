@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparkmart import runtime
 from sparkmart.functions import temporal, text
 from sparkmart.operators import changes, intervals, loads, quality, warehouse
-from sparkmart.operators.state import StateTable
+from sparkmart.operators.state import CommitLog, StateTable, VersionTaken
 from sparkmart.operators.warehouse import Star, load_star, load_star_tables, lookup, read_star, rejects
 from sparkmart.plans import news, sales
 from sparkmart.plans.extract_load import TableSpec, param_query, specs_from
@@ -292,6 +292,44 @@ def test_a_broken_load_is_not_seen(spark, monkeypatch):
     assert star.dim_article.select("news_id").distinct().count() == 3
 
 
+def test_of_two_loads_that_finish_together_one_fails(spark, monkeypatch):
+    source, database = _news(spark), scratch_database(spark)
+    load_star_tables(source.filter("seq = 1"), database)
+    finish = warehouse._finish
+
+    def late(log, version, loads):
+        # another load commits between this one's last table and its own commit
+        monkeypatch.setattr(warehouse, "_finish", finish)
+        load_star_tables(source.filter("seq < 3"), database)
+        finish(log, version, loads)
+
+    monkeypatch.setattr(warehouse, "_finish", late)
+    with pytest.raises(RuntimeError, match="another load"):
+        load_star_tables(source, database)
+    star = load_star_tables(source, database)
+    assert star.dim_article.select("news_id").distinct().count() == star.dim_article.count() == 3
+    before = {n: rows(getattr(star, n)) for n in Star.__dataclass_fields__}
+    star = warehouse.compact_star(spark, database)
+    assert {n: rows(getattr(star, n)) for n in Star.__dataclass_fields__} == before
+    assert len(warehouse._loads(spark, database).latest()[1]) == 1
+    assert warehouse.remove_unread(spark, database) >= 3 and warehouse.remove_unread(spark, database) == 0
+    assert {n: rows(getattr(read_star(spark, database), n)) for n in Star.__dataclass_fields__} == before
+    assert load_star_tables(source, database).fact_news.count() == len(before["fact_news"])
+
+
+def test_versions_are_written_once(spark, tmp_path):
+    log, other = (CommitLog(spark, f"{tmp_path}/log") for _ in range(2))
+    assert log.latest("none") == (0, "none")
+    log.commit(1, ["a"])
+    with pytest.raises(VersionTaken):
+        other.commit(1, ["b"])
+    (tmp_path / "log" / f"{2:020d}.json").write_text("[")  # a writer that died
+    assert other.latest() == (2, ["a"])
+    other.commit(3, ["a", "c"])
+    other.forget(3)
+    assert log.latest() == (3, ["a", "c"]) and log._numbers() == [3]
+
+
 def test_news_flow_from_csv(spark):
     source = _news(spark).filter("seq < 7")
     path, staging = scratch_path(spark, "csv"), scratch_path(spark, "staging")
