@@ -2,13 +2,14 @@
 
 1. Texts are lower-cased (A-Z), cut into pieces and words, and written as blocks of word numbers with their own
    dictionaries, one language a block. Words are known by a 64-bit hash of language and word; the table of all distinct
-   words shows whether two of them share a hash, and then another seed is taken, so counts are exact.
+   words shows whether two of them share a hash, and then another seed is taken, so counts are exact. What is sent later
+   are as many bits of the hash as tell the frequent words from all others, by the same table.
 2. Vertical partitioning: a suffix (the words from some position on, at most ``DEPTH``, up to the end of its piece or
    the first rare word) belongs to the subtree of its first word. A prefix whose count exceeds a quarter of the memory
    budget is extended by one word, again and again; the resulting light prefixes are dealt into as many groups as keep
    the expected total of a group at half the budget. Heavy prefixes are marked in slots of a hash, counted per task, so
    the map of prefixes has a fixed bound; a light prefix in a marked slot is extended as well, which changes nothing.
-3. Every block sends its suffixes, equal ones counted first, to the groups in packed rows. A group sorts its suffixes,
+3. Every task sends the suffixes of its blocks, equal ones counted first, to the groups in packed rows. A group sorts its suffixes,
    which is its depth-truncated subtree laid out flat: a node is a run with a common prefix, and its count is the sum
    of the leaves in the run. Nodes with at least ``least`` occurrences leave the group. Extended prefixes have their
    leaves in several groups; their own totals are sent and added up apart.
@@ -28,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,8 +43,8 @@ from sparkmart.runtime import materialize
 DEPTH = 5
 LEAST = 100
 TOP = 2000
-BUDGET = 1 << 21
-BLOCK_WORDS = 1 << 19
+BUDGET = 1 << 22
+BLOCK_WORDS, ROUTE_WORDS = 1 << 19, 1 << 22
 MOST_BITS, MOST_SLOTS = 1 << 26, 1 << 22
 SALTS = 64
 
@@ -55,7 +57,7 @@ _GAP[[32, 9]] = True
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 _BLOCKS = "lang string, words array<string>, counts array<long>, hashes array<long>, ids binary"
-_PACKED = "subtrees int, hashes binary, codes binary, counts binary"
+_PACKED = "subtrees int, hashes binary, codes binary, heads binary, counts binary"
 
 
 def words_of(texts: S.Texts) -> tuple[pa.Array, np.ndarray]:
@@ -136,8 +138,10 @@ def encoded(docs: DataFrame, text: str, lang: str, block: int = BLOCK_WORDS) ->
 class Partition:
     """Which words are frequent, which prefixes are heavy, and the group of every other prefix."""
 
-    def __init__(self, frequent: np.ndarray, slots: int, groups: int):
+    def __init__(self, frequent: np.ndarray, slots: int, groups: int, bits: int):
         self.frequent, self.slots, self.groups = frequent, slots, groups
+        #: the bits of a hash that tell frequent words from all others
+        self.bits = np.uint64(bits)
         self.marks: dict[int, np.ndarray] = {}
 
     def suffixes(self, ids: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
@@ -195,7 +199,7 @@ def _ordered(codes: list[np.ndarray], first: list[np.ndarray], most: int) -> np.
     bits = int(most).bit_length()
     if 3 * bits <= 63:
         b = np.int64(bits)
-        codes = [(((codes[0] << b) | codes[1]) << b) | codes[2], (codes[3] << b) | codes[4]]
+        codes = [(((codes[0].astype(np.int64) << b) | codes[1]) << b) | codes[2], (codes[3].astype(np.int64) << b) | codes[4]]
     return np.lexsort([*reversed(codes), *reversed(first)])
 
 
@@ -208,91 +212,142 @@ def _changes(columns: list[np.ndarray], n: int) -> np.ndarray:
     return new
 
 
-def _routed(batches: Iterator[pa.RecordBatch], plan: Partition) -> Iterator[pa.RecordBatch]:
-    """Packed suffixes by (depth of their light prefix, group); totals of marked prefixes as depth 0."""
-    for ids, hashes in _rows(batches):
-        codes, of, prefix, length = plan.suffixes(ids, hashes)
-        n = len(ids)
-        depth = np.ones(n, np.int8)
-        pos, cut, group = [], [], []
-        for d in range(1, DEPTH):
-            if d not in plan.marks:
-                break
-            heavy = np.flatnonzero((depth == d) & (length >= d))
-            heavy = heavy[plan.marked(d, prefix[d - 1][heavy])]
-            depth[heavy] = d + 1
-            if d > 1:  # single words are counted already
-                pos.append(heavy)
-                cut.append(np.full(len(heavy), d, np.int8))
-                group.append((prefix[d - 1][heavy] % np.uint64(plan.groups)).astype(np.int64))
-        for d in range(1, DEPTH + 1):
-            sent = np.flatnonzero((depth == d) & (length >= max(d, 2)))
-            pos.append(sent)
-            cut.append(length[sent])
-            group.append((prefix[d - 1][sent] % np.uint64(plan.groups)).astype(np.int64) + d * plan.groups)
-        at, upto, to = np.concatenate(pos), np.concatenate(cut), np.concatenate(group)
-        if not len(at):
-            continue
-        path = [np.where(upto > d, codes[at + d], 0) for d in range(DEPTH)]
-        order = _ordered(path, [to], len(of))
-        path, to = [p[order] for p in path], to[order]
-        start = np.flatnonzero(_changes([to, *path], len(to)))
+def _routes(ids: np.ndarray, hashes: np.ndarray, plan: Partition) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Suffixes of a block: word codes by depth, hashes by code, groups, and depths of their light prefixes.
+
+    Totals of marked prefixes have depth 0.
+    """
+    codes, of, prefix, length = plan.suffixes(ids, hashes)
+    depth = np.ones(len(ids), np.int8)
+    pos, cut, group, light = [], [], [], []
+
+    def add(at: np.ndarray, upto: np.ndarray, d: int, kind: int) -> None:
+        pos.append(at)
+        cut.append(upto)
+        group.append((prefix[d - 1][at] % np.uint64(plan.groups)).astype(np.int32))
+        light.append(np.full(len(at), kind, np.int8))
+
+    for d in range(1, DEPTH):
+        if d not in plan.marks:
+            break
+        heavy = np.flatnonzero((depth == d) & (length >= d))
+        heavy = heavy[plan.marked(d, prefix[d - 1][heavy])]
+        depth[heavy] = d + 1
+        if d > 1:  # single words are counted already
+            add(heavy, np.full(len(heavy), d, np.int8), d, 0)
+    for d in range(1, DEPTH + 1):
+        sent = np.flatnonzero((depth == d) & (length >= max(d, 2)))
+        add(sent, length[sent], d, d)
+    at, upto = np.concatenate(pos), np.concatenate(cut)
+    path = np.stack([np.where(upto > d, codes[at + d], 0).astype(np.int32) for d in range(DEPTH)])
+    return path, of, np.concatenate(group), np.concatenate(light)
+
+
+def _squeezed(codes: np.ndarray) -> bytes:
+    """Columns of small numbers byte by byte, compressed: frequent words keep their byte, so the rest is short."""
+    wide = np.dtype("<u2" if codes.max(initial=0) < 65536 else "<u4")
+    planes = codes.astype(wide).view(np.uint8).reshape(len(codes), -1, wide.itemsize).transpose(0, 2, 1)
+    return bytes([wide.itemsize]) + zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _unsqueezed(data: bytes, columns: int) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8).reshape(columns, data[0], -1)
+    return np.ascontiguousarray(raw.transpose(0, 2, 1)).view(f"<u{data[0]}").reshape(columns, -1).astype(np.int32)
+
+
+def _routed(batches: Iterator[pa.RecordBatch], plan: Partition, most: int) -> Iterator[pa.RecordBatch]:
+    """Packed suffixes by group, of as many blocks as have ``most`` words together, equal ones counted."""
+    held: list[tuple[np.ndarray, ...]] = []
+    words = 0
+
+    def flush() -> pa.RecordBatch:
+        of = np.unique(np.concatenate([h[1] for h in held]) & plan.bits)  # the gap's 0 comes first
+        path = np.concatenate([np.searchsorted(of, h[1] & plan.bits).astype(np.int32)[h[0]] for h in held], axis=1)
+        to, light = (np.concatenate([h[k] for h in held]) for k in (2, 3))
+        held.clear()
+        order = _ordered(list(path), [to, light], len(of))
+        path, to, light = path[:, order], to[order], light[order]
+        start = np.flatnonzero(_changes([to, light, *path], len(to)))
         times = np.diff(np.append(start, len(to)))
-        path, to = np.stack([p[start] for p in path]), to[start]
-        edge = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1], [True])))
+        path, to, light = path[:, start], to[start], light[start]
+        edge = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1], [True]))) if len(to) else []
         out = []
         for a, b in zip(edge, edge[1:]):
             used, code = np.unique(path[:, a:b], return_inverse=True)
-            out.append((int(to[a]), of[used].tobytes(), pack(code.reshape(DEPTH, -1).ravel()), pack(times[a:b])))
-        yield pa.record_batch(
-            [pa.array([x[0] for x in out], pa.int32()), *(pa.array([x[k] for x in out], pa.binary()) for k in (1, 2, 3))],
-            ["subtrees", "hashes", "codes", "counts"],
+            code = code.reshape(DEPTH, -1)
+            out.append((int(to[a]), pack(of[used].astype(np.int64)), _squeezed(np.concatenate((light[None, a:b], code[1:]))), pack(code[0]), pack(times[a:b])))
+        return pa.record_batch(
+            [pa.array([x[0] for x in out], pa.int32()), *(pa.array([x[k] for x in out], pa.binary()) for k in (1, 2, 3, 4))],
+            ["subtrees", "hashes", "codes", "heads", "counts"],
         )
 
+    for ids, hashes in _rows(batches):
+        held.append(_routes(ids, hashes, plan))
+        words += len(ids)
+        if words >= most:
+            yield flush()
+            words = 0
+    if held:
+        yield flush()
+
 
-def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list]]:
+def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
     own, rows = None, []
     for row in chain.from_iterable(b.to_pylist() for b in batches):
         if rows and row["subtrees"] != own:
-            yield own, rows
+            yield rows
             rows = []
         own = row["subtrees"]
-        rows.append((np.frombuffer(row["hashes"], np.uint64), unpack(row["codes"]).reshape(DEPTH, -1), unpack(row["counts"])))
+        rest = _unsqueezed(row["codes"], DEPTH)
+        path = np.concatenate((unpack(row["heads"]).astype(np.int32)[None], rest[1:]))
+        rows.append((unpack(row["hashes"]), path, unpack(row["counts"]), rest[0].astype(np.int8)))
     if rows:
-        yield own, rows
+        yield rows
 
 
-def _nodes(batches: Iterator[pa.RecordBatch], groups: int, least: int) -> Iterator[pa.RecordBatch]:
-    """Per group: its suffixes in order, a flat subtree; the nodes (path, n) with at least ``least`` occurrences."""
-    for own, rows in _by_group(batches):
-        known, code = np.unique(np.concatenate([r[0] for r in rows]), return_inverse=True)
-        base = np.cumsum([0, *(len(r[0]) for r in rows)])
+def _nodes(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Per group: its suffixes in order, a flat subtree; the nodes (path, n) with at least ``least`` occurrences.
+
+    Words are known by the kept bits of their hashes here.
+    """
+    for rows in _by_group(batches):
+        known, code = np.unique(np.concatenate([np.zeros(1, np.int64), *(r[0] for r in rows)]), return_inverse=True)
+        code = code.astype(np.int32)  # the gap's 0 is the smallest
+        base = np.cumsum([1, *(len(r[0]) for r in rows)])
         path = np.concatenate([code[b:][r[1]] for b, r in zip(base, rows)], axis=1)
-        times = np.concatenate([r[2] for r in rows])
-        # the smallest hash is that of the gap, 0, if any row has one
-        gap = len(known) > 0 and known[0] == 0
-        path = path if gap else path + 1
-        known = known if gap else np.concatenate(([np.uint64(0)], known))
-        order = _ordered(list(path), [], len(known))
-        path, times = path[:, order], times[order]
-        depth = own // groups
-        value = known.view(np.int64)
-        for d in range(max(depth, 2), DEPTH + 1):
-            # a depth of 0 marks totals of extended prefixes, which count for themselves only
-            start = np.flatnonzero(_changes(list(path if depth == 0 else path[:d]), path.shape[1]))
-            total = np.add.reduceat(times, start)
-            here = (path[d - 1][start] > 0) & (total >= least)
-            if depth == 0 and d < DEPTH:
-                here &= path[d][start] == 0
-            flat = value[path[:d, start[here]].T.ravel()]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, d), pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.record_batch([lists, pa.array(total[here], pa.int64())], ["path", "n"])
+        times, light = (np.concatenate([r[k] for r in rows]) for k in (2, 3))
+        order = _ordered(list(path), [light], len(known))
+        path, times, light = path[:, order], times[order], light[order]
+        for depth in np.unique(light).tolist():
+            cut = slice(*np.searchsorted(light, [depth, depth + 1]))
+            tree, leaves = path[:, cut], times[cut]
+            for d in range(max(depth, 2), DEPTH + 1):
+                # a depth of 0 marks totals of extended prefixes, which count for themselves only
+                start = np.flatnonzero(_changes(list(tree if depth == 0 else tree[:d]), tree.shape[1]))
+                total = np.add.reduceat(leaves, start)
+                here = (tree[d - 1][start] > 0) & (total >= least)
+                if depth == 0 and d < DEPTH:
+                    here &= tree[d][start] == 0
+                flat = known[tree[:d, start[here]].T.ravel()]
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, d), pa.int32()), pa.array(flat, pa.int64()))
+                yield pa.record_batch([lists, pa.array(total[here], pa.int64())], ["path", "n"])
 
 
 def _power(n: float) -> int:
     return 1 << max(10, int(n - 1).bit_length())
 
 
+def _bits(words: DataFrame, least: int) -> int:
+    """A mask of the hashes under which no words that are frequent, alone or together, look alike; fewer bits are fewer bytes to send."""
+    for width in (40, 48, 56, 63):
+        mask = (1 << width) - 1
+        short = words.groupBy(F.col("hash").bitwiseAND(F.lit(mask)).alias("short")).agg(F.count("*").alias("words"), F.sum("n").alias("n"))
+        # zero stands for a gap
+        if short.where((F.col("n") >= least) & ((F.col("words") > 1) | (F.col("short") == 0))).isEmpty():
+            return mask
+    raise RuntimeError("frequent words look alike under 63 bits of their hashes")
+
+
 def _plan(blocks: DataFrame, words: DataFrame, least: int, budget: int) -> Partition:
     """Vertical partitioning: marks heavy prefixes, level by level, until none is left."""
     often = words.where(F.col("n") >= least)
@@ -306,7 +361,7 @@ def _plan(blocks: DataFrame, words: DataFrame, least: int, budget: int) -> Parti
     # at most MOST_BITS / 64 rows
     got = often.groupBy(F.shiftright(at, 6).alias("at")).agg(F.bit_or(one).alias("bits")).toArrow()
     table[got["at"].to_numpy()] = got["bits"].to_numpy()
-    plan = Partition(table.view(np.uint8), slots, max(1, -(-2 * size["total"] // budget)))
+    plan = Partition(table.view(np.uint8), slots, max(1, -(-2 * size["total"] // budget)), _bits(words, least))
     slot = F.col("hash").bitwiseAND(F.lit(slots - 1)).alias("slot")
     counts = often.groupBy(slot).agg(F.sum("n").alias("n"))
     for depth in range(1, DEPTH):
@@ -320,17 +375,21 @@ def _plan(blocks: DataFrame, words: DataFrame, least: int, budget: int) -> Parti
     return plan
 
 
-def counted(blocks: DataFrame, words: DataFrame, least: int, budget: int) -> DataFrame:
-    """(path, n) for every phrase of up to ``DEPTH`` words with at least ``least`` occurrences; paths are word hashes."""
+def counted(blocks: DataFrame, words: DataFrame, least: int, budget: int) -> tuple[DataFrame, DataFrame]:
+    """(path, n) for every phrase of up to ``DEPTH`` words with at least ``least`` occurrences, and its words (hash, lang, word, n).
+
+    Paths are hashes of words, as many bits as tell the frequent ones apart.
+    """
     plan = _plan(blocks, words, least, budget)
-    groups = plan.groups
-    deal = max(groups, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sent = blocks.select("hashes", "ids").mapInArrow(lambda b: _routed(b, plan), _PACKED)
+    deal = max(plan.groups, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sent = blocks.select("hashes", "ids").mapInArrow(lambda b: _routed(b, plan, ROUTE_WORDS), _PACKED)
     nodes = sent.repartition(deal, "subtrees").sortWithinPartitions("subtrees").mapInArrow(
-        lambda b: _nodes(b, groups, least), "path array<long>, n long"
+        lambda b: _nodes(b, least), "path array<long>, n long"
     )
-    single = words.where(F.col("n") >= least).select(F.array("hash").alias("path"), "n")
-    return materialize(nodes.unionByName(single), "phrase-nodes")
+    short = F.col("hash").bitwiseAND(F.lit(int(plan.bits)))
+    single = words.where(F.col("n") >= least).select(short.alias("hash"), "lang", "word", "n")
+    single = materialize(single, "phrase-frequent")
+    return materialize(nodes.unionByName(single.select(F.array("hash").alias("path"), "n")), "phrase-nodes"), single
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, top: int = TOP, budget: int = BUDGET,
@@ -342,7 +401,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     descending, then the phrase by its bytes.
     """
     blocks, words = encoded(docs, text, lang, block)
-    counts = counted(blocks, words, least, budget)
+    counts, frequent = counted(blocks, words, least, budget)
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     phrases = counts.where(F.size("path") > 1).withColumnRenamed("n", "a")
     longer = (
@@ -351,7 +410,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
         .groupBy("path").agg(F.max("a").alias("most"))
     )
     own = phrases.join(longer, "path", "left").where("most is null or most < a").drop("most")
-    tongue = words.where(F.col("n") >= least).select(F.col("hash").alias("head"), "lang")
+    tongue = frequent.select(F.col("hash").alias("head"), "lang")
     own = materialize(own.withColumn("head", F.col("path")[0]).join(tongue, "head").drop("head").join(totals, "lang"), "phrase-candidates")
     cuts = own.withColumn("k", F.explode(F.expr("sequence(1, size(path) - 1)")))
     parts = (
@@ -365,7 +424,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     best = scored.groupBy("path", "lang", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     best = materialize(best.select("path", "lang", "a", "n", "cut.score", "cut.l", "cut.r"), "phrase-scores")
     spelled = (
-        best.select("path", F.posexplode("path").alias("place", "hash")).join(words.select("hash", "word"), "hash")
+        best.select("path", F.posexplode("path").alias("place", "hash")).join(frequent.select("hash", "word"), "hash")
         .groupBy("path").agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("parts"))
         .select("path", F.concat_ws(" ", F.col("parts.word")).alias("phrase"))
     )
