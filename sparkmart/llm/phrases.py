@@ -199,7 +199,14 @@ def _ordered(codes: list[np.ndarray], first: list[np.ndarray], most: int) -> np.
     bits = int(most).bit_length()
     if 3 * bits <= 63:
         b = np.int64(bits)
-        codes = [(((codes[0].astype(np.int64) << b) | codes[1]) << b) | codes[2], (codes[3].astype(np.int64) << b) | codes[4]]
+        keys = []
+        for columns in (codes[:3], codes[3:]):
+            key = columns[0].astype(np.int64)
+            for c in columns[1:]:
+                key <<= b
+                key |= c
+            keys.append(key)
+        codes = keys
     return np.lexsort([*reversed(codes), *reversed(first)])
 
 
@@ -262,11 +269,18 @@ def _routed(batches: Iterator[pa.RecordBatch], plan: Partition, most: int) -> It
 
     def flush() -> pa.RecordBatch:
         of = np.unique(np.concatenate([h[1] for h in held]) & plan.bits)  # the gap's 0 comes first
-        path = np.concatenate([np.searchsorted(of, h[1] & plan.bits).astype(np.int32)[h[0]] for h in held], axis=1)
         to, light = (np.concatenate([h[k] for h in held]) for k in (2, 3))
-        held.clear()
+        path = np.empty((DEPTH, len(to)), np.int32)
+        at = 0
+        while held:
+            own, hashes, *_ = held.pop(0)
+            path[:, at : at + own.shape[1]] = np.searchsorted(of, hashes & plan.bits).astype(np.int32)[own]
+            at += own.shape[1]
         order = _ordered(list(path), [to, light], len(of))
-        path, to, light = path[:, order], to[order], light[order]
+        for column in path:  # row by row, so that no second copy is held
+            column[:] = column[order]
+        to, light = to[order], light[order]
+        del order
         start = np.flatnonzero(_changes([to, light, *path], len(to)))
         times = np.diff(np.append(start, len(to)))
         path, to, light = path[:, start], to[start], light[start]
@@ -316,8 +330,12 @@ def _nodes(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordB
         base = np.cumsum([1, *(len(r[0]) for r in rows)])
         path = np.concatenate([code[b:][r[1]] for b, r in zip(base, rows)], axis=1)
         times, light = (np.concatenate([r[k] for r in rows]) for k in (2, 3))
+        rows.clear()
         order = _ordered(list(path), [light], len(known))
-        path, times, light = path[:, order], times[order], light[order]
+        for column in path:
+            column[:] = column[order]
+        times, light = times[order], light[order]
+        del order
         for depth in np.unique(light).tolist():
             cut = slice(*np.searchsorted(light, [depth, depth + 1]))
             tree, leaves = path[:, cut], times[cut]
