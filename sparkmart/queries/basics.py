@@ -23,11 +23,11 @@ _FACT = f"SELECT header.*, line.* EXCLUDE (order_number) {_LINES}"
     "sales_mart",
     f"""
     WITH {fx.SALES_CTES}
-    SELECT line.price_each * line.quantity_ordered AS total_sales, line.quantity_ordered,
-           (SELECT product_name FROM products WHERE products.product_code = line.product_code) AS product_name,
-           (SELECT customer_name FROM customers WHERE customers.customer_number = header.customer_number) AS customer_name,
-           header.comments, header.status, header.order_date
-    {_LINES}
+    SELECT {', '.join(sales.MART_COLUMNS)} FROM (
+      SELECT *, price_each * quantity_ordered AS total_sales,
+             (SELECT c.customer_name FROM customers c WHERE c.customer_number = fact.customer_number) AS customer_name,
+             (SELECT p.product_name FROM products p WHERE p.product_code = fact.product_code) AS product_name
+      FROM ({_FACT}) AS fact)
     """,
 )
 def sales_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
