@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,3 +30,14 @@ def by_size(df: DataFrame, key: str, count: int) -> DataFrame:
     """Deal ``df`` by ``key`` into ``count`` partitions, or the session's number where that is larger."""
     most = max(count, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return df.repartition(most, col(key))
+
+
+def shared_uri(spark: SparkSession, path: str) -> str:
+    """``path`` as a URI that pyarrow's file systems know; without a scheme it lies in the default file system."""
+    if ":/" not in path:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        path = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return "file:///" + rest.lstrip("/")
+    return path.replace(f"{scheme}:", "s3:", 1) if scheme in ("s3a", "s3n") else path

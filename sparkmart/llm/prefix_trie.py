@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkmart.llm import spans as S
-from sparkmart.llm.frames import col
+from sparkmart.llm.frames import col, shared_uri
 from sparkmart.runtime import materialize, scratch_path
 
 HEADS, FAMILY = 6, 100
@@ -413,8 +413,7 @@ def prefix_trie(conversations: DataFrame, conv: str = "conv_id", turn: str = "tu
     spark = conversations.sparkSession
     rows = paths(rebuilt(numbered_turns(conversations, conv, turn, role, text)))
     nodes = trie_nodes(rows, budget, band)
-    folder = scratch_path(spark, "trie-queue")
-    folder = folder if ":/" in folder else f"file://{folder}"
+    folder = shared_uri(spark, scratch_path(spark, "trie-queue"))
     deal = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-nodes.count() // (4 * budget)))
     roots = nodes.where("depth > 0 and node = shard")
     outer = roots.groupBy("parent").agg(F.count("*").alias("children")).withColumnRenamed("parent", "of")

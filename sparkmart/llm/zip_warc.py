@@ -26,7 +26,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.frames import col
+from sparkmart.llm.frames import col, shared_uri
 from sparkmart.runtime import materialize, scratch_path
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -313,6 +313,5 @@ def read_records(packages: DataFrame) -> DataFrame:
 
 def round_trip(pages: DataFrame, id_column: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
     """Write ``pages`` into packages in a new folder of the shared scratch area and read their records."""
-    folder = scratch_path(pages.sparkSession, "warc")
-    folder = folder if ":/" in folder else f"file://{folder}"
+    folder = shared_uri(pages.sparkSession, scratch_path(pages.sparkSession, "warc"))
     return read_records(write_packages(marked(pages, id_column, url, payload), folder))
