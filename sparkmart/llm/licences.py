@@ -1,10 +1,12 @@
 """Licence recognition by sentences, in DataFrame operations only.
 
 A text is cut into sentences, each sentence is reduced to its lower-case letters and digits, and sentences that a table
-of known licence sentences lists become identifiers. The identifiers of a document, in order of place, with a bar where
-other text lies between, form a sequence. Rules are sequences of identifiers with a licence each; they are tried in their
-order, and what a rule has matched is taken out before the next one is tried, so put the more specific ones first. Known
-sentences that no rule explains are counted as ``n_unmatched``.
+of known licence sentences lists become identifiers. A line's end before a capital letter may end a sentence (after a
+title) or stand inside one (a wrapped line); so a sentence is any run of such lines, and a known run inside a longer known
+run does not count. The identifiers of a document, in order of place, with a bar where other text lies between, form a
+sequence. Rules are sequences of identifiers with a licence each; they are tried in their order, and what a rule has
+matched is taken out before the next one is tried, so put the more specific ones first. A licence of ``LAST_RESORT`` is
+named only where no other is found. Known sentences that no rule explains are counted as ``n_unmatched``.
 
 Texts without one of the anchor words that every known sentence has are not cut at all. Only the few known sentences
 are shuffled, never the texts. A null text or one without a known sentence has no licences (an empty string) and zero
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.llm.frames import col
@@ -39,19 +41,15 @@ SENTENCES = (
     ("cc-by-nc-4.0-work", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("cc-by-4.0-work", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("reserved", "All rights reserved"),
-    # whole notices, in the pieces that their usual line ends leave
+    # whole notices, cut where a sentence or an empty line ends
     ("apache-2.0-obtain", "You may obtain a copy of the License at"),
     ("apache-2.0-url", "http://www.apache.org/licenses/LICENSE-2.0"),
     ("mit-title", "MIT License"),
     ("mit-title", "The MIT License"),
     ("mit-title", "The MIT License (MIT)"),
     ("mit-whole", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'),
-    ("gpl-implied-of", "without even the implied warranty of"),
-    ("gpl-fitness", "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"),
     ("gpl-2-terms", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
     ("either-2", "either version 2 of the License, or (at your option) any later version"),
-    ("lgpl-terms", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public"),
-    ("lgpl-published", "License as published by the Free Software Foundation"),
     ("lgpl-terms-line", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
     ("either-2.1", "either version 2.1 of the License, or (at your option) any later version"),
     ("lgpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
@@ -64,8 +62,7 @@ SENTENCES = (
     ("bsd-endorse", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
     ("isc-title", "ISC License"),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
-    ("mpl-2.0-terms", "This Source Code Form is subject to the terms of the Mozilla Public"),
-    ("mpl-2.0-v", "License, v"),
+    ("isc", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
     ("mpl-2.0-line", "This Source Code Form is subject to the terms of the Mozilla Public License, v"),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
     ("cc0-1.0", "CC0 1.0 Universal"),
@@ -78,15 +75,13 @@ RULES = (
     ("Apache-2.0", ("apache-2.0-you",)),
     ("Apache-2.0", ("apache-2.0",)),
     ("GPL-3.0-or-later", ("gpl-redistribute", "gpl-warranty", "gpl-implied")),
-    ("GPL-3.0-or-later", ("gpl-redistribute", "gpl-warranty", "gpl-implied-of", "gpl-fitness")),
     ("GPL-3.0-or-later", ("gpl-redistribute",)),
-    ("AGPL-3.0-or-later", ("agpl-3", "gpl-warranty", "gpl-implied-of", "gpl-fitness")),
+    ("AGPL-3.0-or-later", ("agpl-3", "gpl-warranty", "gpl-implied")),
     ("AGPL-3.0-or-later", ("agpl-3",)),
-    ("LGPL-3.0-or-later", ("lgpl-3", "gpl-warranty", "gpl-implied-of", "gpl-fitness")),
+    ("LGPL-3.0-or-later", ("lgpl-3", "gpl-warranty", "gpl-implied")),
     ("LGPL-3.0-or-later", ("lgpl-3",)),
-    ("GPL-2.0-or-later", ("gpl-2-terms", "either-2", "gpl-warranty", "gpl-implied-of", "gpl-fitness")),
+    ("GPL-2.0-or-later", ("gpl-2-terms", "either-2", "gpl-warranty", "gpl-implied")),
     ("GPL-2.0-or-later", ("gpl-2-terms", "either-2")),
-    ("LGPL-2.1-or-later", ("lgpl-terms", "lgpl-published", "either-2.1")),
     ("LGPL-2.1-or-later", ("lgpl-terms-line", "either-2.1")),
     ("GPL-3.0-only", ("gpl-3.0",)),
     ("MIT", ("mit", "mit-permission")),
@@ -113,12 +108,16 @@ RULES = (
     ("ISC", ("isc-title", "isc")),
     ("ISC", ("isc",)),
     ("ISC", ("isc-title",)),
-    ("MPL-2.0", ("mpl-2.0-terms", "mpl-2.0-v")),
     ("MPL-2.0", ("mpl-2.0-line",)),
     ("Unlicense", ("unlicense",)),
     ("CC0-1.0", ("cc0-1.0",)),
     ("Proprietary", ("reserved",)),
 )
+#: Licences that stand only where no other is found: most notices begin with "All rights reserved".
+LAST_RESORT = ("Proprietary",)
+_SPDX = [licence for licence in dict(RULES) if licence not in LAST_RESORT]
+SENTENCES += tuple((f"spdx-{licence}", f"SPDX-License-Identifier: {licence}") for licence in _SPDX)
+RULES = tuple((licence, (f"spdx-{licence}",)) for licence in _SPDX) + RULES
 #: Every known sentence has one of these words.
 ANCHORS = ("licen[sc]e", "rights", "permission", "compliance", "warranty", "redistribut", "merchantability", "mozilla", "unencumbered", "cc0")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -129,13 +128,41 @@ def reduced(sentence: str) -> str:
     return " ".join(re.findall("[a-z0-9]+", sentence.translate(str.maketrans(_UPPER, _LOWER))))
 
 
-def sentences(text: Column) -> Column:
-    """A text's sentences, reduced. A sentence ends at ``.``, ``!``, ``?`` or ``;`` before white space, at an empty line,
-    and at a line's end before a capital letter (comment signs between them don't count)."""
-    cut = F.regexp_replace(text, r"([.!?;])[ \t\r\n]+", "$1\u0001")
-    cut = F.regexp_replace(cut, r"\n[ \t\r#*/]*([A-Z\n])", "\u0001$1")
-    plain = F.regexp_replace(F.translate(cut, _UPPER, _LOWER), "[^a-z0-9\u0001]+", " ")
-    return F.transform(F.split(plain, "\u0001"), lambda s: F.trim(s))
+#: Replaced in this order (pattern, replacement): character 1 ends a sentence, character 2 may end one.
+CUTS = (
+    (r"(^|\n)[ \t\r#*/;%>|-]+", "$1"),  # comment marks, bullets and indents
+    ("(SPDX-License-Identifier:[ \\t]*[A-Za-z0-9.+-]*[A-Za-z0-9+])", "\u0001$1\u0001"),
+    (r"([.:;,\n])[ \t\r]*\n(\(?[0-9][0-9]?[.)]|\(?[a-z]\))[ \t]+", "$1\u0001"),  # numbers of list items
+    (r"([.!?;])[ \t\r\n]+", "$1\u0001"),
+    (r"\n[ \t\r]*\n", "\u0001"),
+    (r"\n([A-Z])", "\u0002$1"),
+)
+
+
+def segments(text: Column) -> Column:
+    """A text's parts between certain ends of sentences, reduced, with the possible ends inside them marked."""
+    for pattern, by in CUTS:
+        text = F.regexp_replace(text, pattern, by)
+    plain = F.regexp_replace(F.translate(text, _UPPER, _LOWER), "[^a-z0-9\u0001\u0002]+", " ")
+    return F.split(plain, "\u0001")
+
+
+def longest_run(known=SENTENCES) -> int:
+    """Most lines of one known sentence: one for each capital letter that may begin a line, or lines of thirty characters."""
+    return max(max(len(re.findall(r"(?<![A-Za-z0-9])[A-Z]", s)), len(s) // 30) + 1 for _, s in known)
+
+
+def _runs(segment: Column, most: int) -> tuple[Column, Column]:
+    """The lines of a segment (``lines``), and of these every run of at most ``most``: first line, line after it, text."""
+    lines = F.filter(F.transform(F.split(segment, "\u0002"), lambda x: F.trim(x)), lambda x: x != "")
+
+    def from_line(i: Column) -> Column:
+        return F.transform(
+            F.sequence(i + 1, F.least(i + most, F.size("lines"))),
+            lambda end: F.struct(i.alias("first"), end.alias("end"), F.array_join(F.slice("lines", i + 1, end - i), " ").alias("sentence")),
+        )
+
+    return lines, F.flatten(F.transform("lines", lambda _, i: from_line(i)))
 
 
 def recognised(docs: DataFrame, id_column: str = "doc_id", text: str = "text", known=SENTENCES, rules=RULES, anchors=ANCHORS) -> DataFrame:
@@ -147,25 +174,40 @@ def recognised(docs: DataFrame, id_column: str = "doc_id", text: str = "text", k
     spark = docs.sparkSession
     listed = spark.createDataFrame(table, "sentence string, name string")
     rows = docs.select(col(id_column).alias("id"), col(text).alias("text"))
+    most = longest_run(known)
+    lines, runs = _runs(F.col("segment"), most)
     cut = (
         rows.where(F.col("text").rlike(pattern))
-        .select("id", F.xxhash64("text").alias("mark"), F.posexplode(sentences(F.col("text"))).alias("place", "sentence"))
+        .select("id", F.xxhash64("text").alias("mark"), F.posexplode(segments(F.col("text"))).alias("place", "segment"))
+        .select("id", "mark", "place", lines.alias("lines"))
+        .select("id", "mark", "place", F.size("lines").alias("n"), F.explode(runs).alias("run"))
+        .select("id", "mark", "place", "n", "run.*")
         .join(F.broadcast(listed), "sentence")  # the rule table, of fixed size
-        .select("id", "mark", "place", "name")
+        .select("id", "mark", "place", "n", "first", "end", "name")
         .distinct()
+        .repartition("id", "mark")
     )
-    found = cut.groupBy("id", "mark").agg(F.sort_array(F.collect_list(F.struct("place", "name"))).alias("seen"))
+    before = Window.partitionBy("id", "mark", "place").orderBy("first", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = cut.withColumn("covered", F.max("end").over(before)).where("covered is null or covered < end")
+    found = whole.groupBy("id", "mark").agg(F.sort_array(F.collect_list(F.struct("place", "first", "end", "n", "name"))).alias("seen"))
+
+    def apart(x: Column, last: Column) -> Column:
+        """Whether other text lies between two known sentences."""
+        same = (x["place"] == last["place"]) & (x["first"] <= last["end"])
+        following = (x["place"] == last["place"] + 1) & (x["first"] == 0) & (last["end"] == last["n"])
+        return ~(same | following)
+
     step = F.transform(
         "seen",
         lambda x, i: F.concat(
-            F.when((i > 0) & (x["place"] > F.element_at("seen", F.greatest(i, F.lit(1)))["place"] + 1), "|").otherwise(""), F.lit("<"), x["name"], F.lit(">")
+            F.when((i > 0) & apart(x, F.element_at("seen", F.greatest(i, F.lit(1)))), "|").otherwise(""), F.lit("<"), x["name"], F.lit(">")
         ),
     )
     start = F.struct(F.array_join(step, "").alias("rest"), F.array().cast("array<string>").alias("hits"))
-    ordered = F.array(*[F.struct(F.lit("".join(f"<{n}>" for n in names)).alias("want"), F.lit(licence).alias("licence")) for licence, names in rules])
+    ordered = F.array(*[F.struct(F.lit("".join(f"<{n}>" for n in names)).alias("want"), F.lit(licence).alias("licence"), F.lit(licence in LAST_RESORT).alias("last")) for licence, names in rules])
 
     def apply(now: Column, rule: Column) -> Column:
-        hits = F.when(F.contains(now["rest"], rule["want"]), F.concat(now["hits"], F.array(rule["licence"]))).otherwise(now["hits"])
+        hits = F.when(F.contains(now["rest"], rule["want"]) & ~(rule["last"] & (F.size(now["hits"]) > 0)), F.concat(now["hits"], F.array(rule["licence"]))).otherwise(now["hits"])
         return F.struct(F.replace(now["rest"], rule["want"], F.lit("|")).alias("rest"), hits.cast("array<string>").alias("hits"))
 
     result = found.select("id", "mark", F.size("seen").cast("long").alias("n_known"), F.aggregate(ordered, start, apply).alias("end")).select(

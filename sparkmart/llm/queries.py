@@ -211,25 +211,43 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _licence_sql() -> str:
     known = ", ".join(f"('{licences.reduced(s)}', '{name}')" for name, s in licences.SENTENCES)
+    cut = "text"
+    for pattern, by in licences.CUTS:
+        cut = f"regexp_replace({cut}, '{pattern}', '{by}', 'g')".replace("$1", r"\1").replace("\x01", "' || chr(1) || '").replace("\x02", "' || chr(2) || '")
     steps = []
     for i, (licence, names) in enumerate(licences.RULES):
         want = "".join(f"<{n}>" for n in names)
+        when = f"contains(rest, '{want}') AND NOT list_contains(hits, '{licence}')" + (" AND len(hits) = 0" if licence in licences.LAST_RESORT else "")
         steps.append(
             f"s{i + 1} AS (SELECT doc_id, n_known, replace(rest, '{want}', '|') AS rest, "
-            f"CASE WHEN contains(rest, '{want}') AND NOT list_contains(hits, '{licence}') THEN list_append(hits, '{licence}') ELSE hits END AS hits FROM s{i})"
+            f"CASE WHEN {when} THEN list_append(hits, '{licence}') ELSE hits END AS hits FROM s{i})"
         )
     return rf"""
 WITH known(sentence, name) AS (VALUES {known}),
 cut AS (
-  SELECT doc_id, string_split(regexp_replace(translate(regexp_replace(regexp_replace(text, '([.!?;])[ \t\r\n]+', '\1' || chr(1), 'g'),
-    '\n[ \t\r#*/]*([A-Z\n])', chr(1) || '\1', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^a-z0-9' || chr(1) || ']+', ' ', 'g'), chr(1)) AS parts FROM documents
+  SELECT doc_id, string_split(regexp_replace(translate({cut}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^a-z0-9' || chr(1) || chr(2) || ']+', ' ', 'g'), chr(1)) AS parts FROM documents
+), segment AS (
+  SELECT doc_id, place, list_filter(list_transform(string_split(part, chr(2)), lambda x: trim(x)), lambda x: x <> '') AS lines
+  FROM (SELECT doc_id, unnest(range(1, len(parts) + 1)) AS place, unnest(parts) AS part FROM cut)
+), line AS (
+  SELECT doc_id, place, lines, len(lines) AS n, unnest(range(1, len(lines) + 1)) AS first FROM segment
+), run AS (
+  SELECT doc_id, place, n, first, k AS last, array_to_string(lines[first:k], ' ') AS sentence
+  FROM (SELECT *, unnest(range(first, least(first + {licences.longest_run()}, n + 1))) AS k FROM line)
 ), seen AS (
-  SELECT doc_id, place, name FROM (SELECT doc_id, unnest(range(1, len(parts) + 1)) AS place, trim(unnest(parts)) AS sentence FROM cut) JOIN known USING (sentence)
+  SELECT * FROM run JOIN known USING (sentence)
+), whole AS (
+  SELECT * FROM seen x WHERE NOT EXISTS (
+    FROM seen y WHERE y.doc_id = x.doc_id AND y.place = x.place AND y.first <= x.first AND y.last >= x.last AND y.last - y.first > x.last - x.first)
 ), s0 AS (
-  SELECT doc_id, count(*) AS n_known, string_agg(CASE WHEN place > before + 1 THEN '|' ELSE '' END || '<' || name || '>', '' ORDER BY place) AS rest,
+  SELECT doc_id, count(*) AS n_known, string_agg(CASE WHEN gap THEN '|' ELSE '' END || '<' || name || '>', '' ORDER BY place, first) AS rest,
     []::VARCHAR[] AS hits
-  FROM (SELECT *, lag(place) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM seen) GROUP BY doc_id
+  FROM (
+    SELECT *, CASE WHEN place = lag(place) OVER w THEN first > lag(last) OVER w + 1
+      ELSE place > lag(place) OVER w + 1 OR first > 1 OR lag(last) OVER w < lag(n) OVER w END AS gap
+    FROM whole WINDOW w AS (PARTITION BY doc_id ORDER BY place, first)
+  ) GROUP BY doc_id
 ), {', '.join(steps)}
 SELECT doc_id, coalesce(array_to_string(hits, ','), '') AS licences, coalesce(n_known, 0) AS n_known,
   coalesce(length(rest) - length(replace(rest, '<', '')), 0) AS n_unmatched
