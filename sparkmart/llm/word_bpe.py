@@ -3,12 +3,14 @@
 Texts are split at ASCII white space, which this vocabulary's normalizer and split pattern never reach across. A block
 (a run of rows of one input partition) writes its texts as positions in its own list of distinct words; the words go to
 buckets by their hash, where each distinct word is encoded once, with the tokenizer itself, and the ids go back to the
-blocks, in the order in which the words came. There they are joined to the texts by position; decoding looks the ids up
-in the vocabulary, a table of fixed size, and joins the pieces as the tokenizer does.
+blocks, in the order in which the words came. There they are joined to the texts by position.
+
+Decoding takes rows of ids, wherever they come from, and joins each id to the row of the vocabulary at its position, a
+table of fixed size; the pieces found are put together as the tokenizer does.
 
 Only words, ids and positions cross shuffles, in compressed runs. The two passes over the input number blocks by
 partition, so ``docs`` should be read from files (projections and filters allowed). A null text is encoded as an empty
-one: no ids, empty decoded text. Null or repeated ids stay; each row is encoded. An empty table gives an empty table.
+one: no ids. Null or repeated ids stay; each row is encoded. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from sparkmart.llm.frames import col
+from sparkmart.llm.frames import col, with_column
 from sparkmart.llm.packed import pack, unpack
 
 VOCABULARY = "word_bpe_49k.json"
@@ -43,10 +45,10 @@ def tokenizer(name: str) -> Tokenizer:
 
 
 @lru_cache(maxsize=2)
-def vocabulary(name: str) -> list[bytes]:
-    """Piece of each id."""
+def vocabulary(name: str) -> pa.Array:
+    """Piece of each id, null for an id without one; empty pieces are kept."""
     loaded = tokenizer(name)
-    return [(loaded.id_to_token(i) or "").encode() for i in range(loaded.get_vocab_size())]
+    return pa.array([loaded.id_to_token(i) for i in range(max(loaded.get_vocab().values()) + 1)], pa.string())
 
 
 def _squeeze(data: bytes) -> bytes:
@@ -141,10 +143,9 @@ def _encoded(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.Record
             yield pa.RecordBatch.from_pylist([{k: out.get(k) for k in _IDS_SCHEMA.names}], _IDS_SCHEMA)
 
 
-def _joined(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
-    """Blocks, one after another, their words before their texts: ids and decoded text of each row."""
-    block, runs, flat, start, count, decoded = None, [], None, None, None, []
-    pieces = vocabulary(name)
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks, one after another, their words before their texts: ids of each row."""
+    block, runs, flat, start, count = None, [], None, None, None
     for batch in batches:
         for row in batch.to_pylist():
             if row["block"] != block:
@@ -160,10 +161,6 @@ def _joined(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordB
                 begin = np.cumsum(many) - many
                 start, count = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
                 start[place], count[place] = begin, many
-                decoded = [b""] * len(place)
-                listed = flat.tolist()
-                for p, b, n in zip(place.tolist(), begin.tolist(), many.tolist()):
-                    decoded[p] = b" ".join([pieces[i] for i in listed[b : b + n]])
             ids = pa.ipc.open_stream(row["rows"]).read_all().column("id").combine_chunks()
             raw = np.frombuffer(_loosen(row["positions"]), np.uint8)
             at = np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel()
@@ -177,26 +174,53 @@ def _joined(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordB
                 total = np.concatenate(([0], np.cumsum(n)))
                 gathered = flat[np.repeat(start[own] - total[:-1], n) + np.arange(total[-1])]
                 offsets = total[edge[low : high + 1] - edge[low]]
-                texts = []
-                for k in range(low, high):
-                    texts.append(b" ".join([d for p in at[edge[k] : edge[k + 1]].tolist() if (d := decoded[p])]))
                 yield pa.record_batch(
-                    [ids.slice(low, high - low), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(gathered, pa.int32())),
-                     pa.array(texts, pa.binary()).cast(pa.string())],
-                    ["id", "ids", "decoded"],
+                    [ids.slice(low, high - low), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(gathered, pa.int32()))], ["id", "ids"]
                 )
                 low = high
 
 
 def encoded(docs: DataFrame, id_column: str = "doc_id", text: str = "text", name: str = VOCABULARY, block: int = BLOCK_WORDS) -> DataFrame:
-    """(id, ids, decoded) per row of ``docs``: the token ids of its whole text and what they decode to."""
+    """(id, ids) per row of ``docs``: the token ids of its whole text."""
     given = docs.select(col(id_column).alias("id"), col(text).alias("text"), F.spark_partition_id().alias("part"))
     deal = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = given.mapInArrow(lambda b: _words(b, deal, block), _WORDS)
     ids = words.repartition(deal, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: _encoded(b, name), _IDS)
     texts = given.mapInArrow(lambda b: _texts(b, block), _IDS)
-    schema = T.StructType([
-        T.StructField("id", given.schema["id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())
-    ])
+    schema = T.StructType([T.StructField("id", given.schema["id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     both = ids.unionByName(texts).repartition(deal, "block").sortWithinPartitions("block", F.col("rows").isNotNull())
-    return both.mapInArrow(lambda b: _joined(b, name), schema)
+    return both.mapInArrow(_joined, schema)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], at: int, name: str) -> Iterator[pa.RecordBatch]:
+    pieces = vocabulary(name)
+    for batch in batches:
+        lists = batch.column(at).cast(pa.list_(pa.int64()))
+        filled = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        low = 0
+        while low < batch.num_rows:  # rows of about a million ids at a time
+            begin = filled[low - 1] if low else 0
+            high = min(batch.num_rows, max(low + 1, int(np.searchsorted(filled, begin + 1_000_000))))
+            some = lists.slice(low, high - low)
+            owner, flat = pc.list_parent_indices(some).to_numpy(), some.flatten()
+            known = pc.fill_null(pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(pieces))), False)
+            found = pieces.take(flat.filter(known))  # the join: an id is the position of its piece
+            have = found.is_valid()
+            many = np.bincount(owner[known.to_numpy(zero_copy_only=False)][have.to_numpy(zero_copy_only=False)], minlength=len(some))
+            edge = pa.array(np.concatenate(([0], np.cumsum(many))), pa.int64())
+            text = pc.binary_join(pa.LargeListArray.from_arrays(edge, found.drop_null().cast(pa.large_string())), pa.scalar(" ", pa.large_string()))
+            text = pc.if_else(some.is_valid(), text, None).cast(pa.string())
+            yield with_column(batch.slice(low, high - low), "decoded", text)
+            low = high
+
+
+def decoded(rows: DataFrame, ids: str = "ids", name: str = VOCABULARY) -> DataFrame:
+    """``rows`` and the text that the column ``ids``, arrays of ids, decodes to (``decoded``).
+
+    Null ids and ids that the vocabulary lacks are passed over, as the tokenizer does; a null array gives a null text, an
+    empty one an empty text. A column ``decoded`` of the rows is replaced. Nothing is shuffled.
+    """
+    kept = rows.drop("decoded")
+    schema = T.StructType([*kept.schema.fields, T.StructField("decoded", T.StringType())])
+    at = kept.columns.index(ids)
+    return kept.mapInArrow(lambda b: _pieces(b, at, name), schema)

@@ -115,13 +115,26 @@ def test_byte_ids_are_the_tokenizers(texts):
 def test_word_ids_and_decoded_text_are_the_tokenizers(docs, texts):
     whole = word_bpe.tokenizer(word_bpe.VOCABULARY)
     for block in (20, 10**6):
-        rows = word_bpe.encoded(docs, block=block).collect()
+        rows = word_bpe.decoded(word_bpe.encoded(docs, block=block)).collect()
         assert len(rows) == docs.count()
         for r in rows:
             text = "no id" if r["id"] is None else texts[r["id"]]
             ids = whole.encode(text or "", add_special_tokens=False).ids
             assert list(r["ids"]) == ids and r["decoded"] == whole.decode(ids, skip_special_tokens=False)
-    assert word_bpe.encoded(docs.limit(0)).count() == 0
+    assert word_bpe.decoded(word_bpe.encoded(docs.limit(0))).count() == 0
+
+
+def test_decoding_of_any_ids(spark):
+    whole = word_bpe.tokenizer(word_bpe.VOCABULARY)
+    size = max(whole.get_vocab().values()) + 1
+    rng = random.Random(4)
+    lists = [None, [], [0], [None, 5, None], [-1, size, 7, 2**31 - 1], list(range(size)), [rng.randrange(size) for _ in range(1_200_000)]]
+    lists += [[rng.randrange(-3, size + 3) for _ in range(rng.randint(0, 50))] for _ in range(300)]
+    rows = spark.createDataFrame([(i % 5, x, "old") for i, x in enumerate(lists)], "doc_id long, ids array<int>, decoded string").coalesce(1)
+    got = word_bpe.decoded(rows).collect()
+    assert [r["doc_id"] for r in got] == [i % 5 for i in range(len(lists))]
+    for r, x in zip(got, lists):
+        assert r["decoded"] == (None if x is None else whole.decode([i for i in x if i is not None and i >= 0], skip_special_tokens=False))
 
 
 def test_unigram_counts_are_the_tokenizers(spark, texts):
