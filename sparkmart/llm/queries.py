@@ -173,7 +173,7 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_word_bpe")
 def op3_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = word_bpe.decoded(word_bpe.encoded(table(spark, sf_dir, "documents")))
+    rows = word_bpe.round_trip(table(spark, sf_dir, "documents"))
     return rows.select(
         F.col("id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),

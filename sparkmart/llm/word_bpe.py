@@ -180,16 +180,26 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 low = high
 
 
-def encoded(docs: DataFrame, id_column: str = "doc_id", text: str = "text", name: str = VOCABULARY, block: int = BLOCK_WORDS) -> DataFrame:
-    """(id, ids) per row of ``docs``: the token ids of its whole text."""
+def _blocks_to_join(docs: DataFrame, id_column: str, text: str, name: str, block: int) -> tuple[DataFrame, list[T.StructField]]:
     given = docs.select(col(id_column).alias("id"), col(text).alias("text"), F.spark_partition_id().alias("part"))
     deal = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = given.mapInArrow(lambda b: _words(b, deal, block), _WORDS)
     ids = words.repartition(deal, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: _encoded(b, name), _IDS)
     texts = given.mapInArrow(lambda b: _texts(b, block), _IDS)
-    schema = T.StructType([T.StructField("id", given.schema["id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     both = ids.unionByName(texts).repartition(deal, "block").sortWithinPartitions("block", F.col("rows").isNotNull())
-    return both.mapInArrow(_joined, schema)
+    return both, [T.StructField("id", given.schema["id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))]
+
+
+def encoded(docs: DataFrame, id_column: str = "doc_id", text: str = "text", name: str = VOCABULARY, block: int = BLOCK_WORDS) -> DataFrame:
+    """(id, ids) per row of ``docs``: the token ids of its whole text."""
+    both, fields = _blocks_to_join(docs, id_column, text, name, block)
+    return both.mapInArrow(_joined, T.StructType(fields))
+
+
+def round_trip(docs: DataFrame, id_column: str = "doc_id", text: str = "text", name: str = VOCABULARY, block: int = BLOCK_WORDS) -> DataFrame:
+    """(id, ids, decoded) per row of ``docs``: what ``encoded`` gives, and what ``decoded`` makes of it, in one task."""
+    both, fields = _blocks_to_join(docs, id_column, text, name, block)
+    return both.mapInArrow(lambda b: _pieces(_joined(b), 1, name), T.StructType([*fields, T.StructField("decoded", T.StringType())]))
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], at: int, name: str) -> Iterator[pa.RecordBatch]:
