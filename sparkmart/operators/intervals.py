@@ -7,10 +7,11 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmart.functions.temporal import even_minute, floor_to_minute
 from sparkmart.operators.stats import quantiles_by
-from sparkmart.runtime import materialize
+from sparkmart.runtime import materialize, scratch_path
 
 
 def slice_interval(df: DataFrame, ts: str, start: datetime | str, end: datetime | str) -> DataFrame:
@@ -111,6 +112,11 @@ def route(ts: str) -> Column:
 
 
 def split_routes(df: DataFrame, ts: str) -> dict[str, DataFrame]:
-    """The two branches as filtered outputs of one input."""
+    """The two branches of one input, which is read once: one write by branch, each output reads its own partition."""
     routed = df.withColumn("branch", route(ts))
-    return {name: routed.filter(F.col("branch") == name) for name in (EVEN, ODD)}
+    names = [c for c in routed.columns if c != "branch"]
+    path = scratch_path(df.sparkSession, "routes")
+    routed.write.partitionBy("branch").parquet(path)
+    schema = T.StructType([*routed.select(names).schema.fields, T.StructField("branch", T.StringType())])
+    written = df.sparkSession.read.schema(schema).parquet(path)
+    return {name: written.filter(F.col("branch") == name).select(routed.columns) for name in (EVEN, ODD)}

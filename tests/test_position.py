@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from sparkmart.operators.moves import moved_items, moved_rows
+from sparkmart.operators.moves import NOBODY, _least_before_above, moved_items, moved_rows
 from sparkmart.operators.position import (
     expand_ranges,
     occurrence_number,
@@ -107,9 +108,27 @@ def test_moved_rows_match_brute_force(spark):
         df = spark.createDataFrame([(g, 2 * i) for i, g in enumerate(gaps)], "l long, r long")
         got = {(r["l"] - 1) // 3 for r in moved_rows(df, "l", "r", block=16).collect()}
         assert got == greedy_moves(source)
-        for few in (1, 3):  # batches of so many runs
-            again = {(r["l"] - 1) // 3 for r in moved_rows(df, "l", "r", block=16, at_once=few).collect()} if len(source) <= 40 else got
-            assert again == got
+
+
+def test_moved_runs_by_rounds_and_strips(spark):
+    """More runs than a task takes: strips, cells and cells of cells give what one task gives."""
+    rng = random.Random(11)
+    shuffled = list(range(40))
+    rng.shuffle(shuffled)
+    falling = [x for b in reversed([range(s * (s + 1) // 2, (s + 1) * (s + 2) // 2) for s in range(8)]) for x in b]
+    for source, few in ((_blocks_shuffled(rng, 90, 6), 7), (shuffled, 2), (falling, 3)):
+        df = spark.createDataFrame([(s, i) for i, s in enumerate(source)], "l long, r long")
+        assert {r["l"] for r in moved_rows(df, "l", "r", block=few).collect()} == greedy_moves(source)
+
+
+def test_first_crossing_matches_brute_force():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 2, 3, 17, 64, 200):
+        for high in (5, 1000):  # few places give ties
+            x, y = rng.integers(0, high, n), rng.integers(0, high, n)
+            turn = rng.permutation(n).astype(np.int64)
+            want = [min((turn[j] for j in range(n) if x[j] < x[i] and y[j] > y[i]), default=NOBODY) for i in range(n)]
+            assert _least_before_above(x, y, turn).tolist() == want
 
 
 def test_many_runs_of_different_lengths(spark):
