@@ -276,20 +276,23 @@ def _routed(batches: Iterator[pa.RecordBatch], plan: Partition, most: int) -> It
             own, hashes, *_ = held.pop(0)
             path[:, at : at + own.shape[1]] = np.searchsorted(of, hashes & plan.bits).astype(np.int32)[own]
             at += own.shape[1]
-        order = _ordered(list(path), [to, light], len(of))
+        # by group first, then each group by itself: keys and copies of one group are held at a time
+        order = np.argsort(to.astype(np.uint16) if plan.groups <= 1 << 16 else to, kind="stable")
+        to, light = to[order], light[order]
         for column in path:  # row by row, so that no second copy is held
             column[:] = column[order]
-        to, light = to[order], light[order]
         del order
-        start = np.flatnonzero(_changes([to, light, *path], len(to)))
-        times = np.diff(np.append(start, len(to)))
-        path, to, light = path[:, start], to[start], light[start]
         edge = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1], [True]))) if len(to) else []
         out = []
         for a, b in zip(edge, edge[1:]):
-            used, code = np.unique(path[:, a:b], return_inverse=True)
+            order = _ordered(list(path[:, a:b]), [light[a:b]], len(of))
+            own, depth = path[:, a:b][:, order], light[a:b][order]
+            start = np.flatnonzero(_changes([depth, *own], len(order)))
+            times = np.diff(np.append(start, len(order)))
+            own, depth = own[:, start], depth[start]
+            used, code = np.unique(own, return_inverse=True)
             code = code.reshape(DEPTH, -1)
-            out.append((int(to[a]), pack(of[used].astype(np.int64)), _squeezed(np.concatenate((light[None, a:b], code[1:]))), pack(code[0]), pack(times[a:b])))
+            out.append((int(to[a]), pack(of[used].astype(np.int64)), _squeezed(np.concatenate((depth[None], code[1:]))), pack(code[0]), pack(times)))
         return pa.record_batch(
             [pa.array([x[0] for x in out], pa.int32()), *(pa.array([x[k] for x in out], pa.binary()) for k in (1, 2, 3, 4))],
             ["subtrees", "hashes", "codes", "heads", "counts"],
