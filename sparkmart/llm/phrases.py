@@ -219,6 +219,11 @@ def _changes(columns: list[np.ndarray], n: int) -> np.ndarray:
     return new
 
 
+def _narrow(of: np.ndarray) -> type:
+    """Type of the codes of so many words."""
+    return np.uint16 if len(of) <= 1 << 16 else np.int32
+
+
 def _routes(ids: np.ndarray, hashes: np.ndarray, plan: Partition) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Suffixes of a block: word codes by depth, hashes by code, groups, and depths of their light prefixes.
 
@@ -246,7 +251,7 @@ def _routes(ids: np.ndarray, hashes: np.ndarray, plan: Partition) -> tuple[np.nd
         sent = np.flatnonzero((depth == d) & (length >= max(d, 2)))
         add(sent, length[sent], d, d)
     at, upto = np.concatenate(pos), np.concatenate(cut)
-    path = np.stack([np.where(upto > d, codes[at + d], 0).astype(np.int32) for d in range(DEPTH)])
+    path = np.stack([np.where(upto > d, codes[at + d], 0).astype(_narrow(of)) for d in range(DEPTH)])
     return path, of, np.concatenate(group), np.concatenate(light)
 
 
@@ -270,11 +275,11 @@ def _routed(batches: Iterator[pa.RecordBatch], plan: Partition, most: int) -> It
     def flush() -> pa.RecordBatch:
         of = np.unique(np.concatenate([h[1] for h in held]) & plan.bits)  # the gap's 0 comes first
         to, light = (np.concatenate([h[k] for h in held]) for k in (2, 3))
-        path = np.empty((DEPTH, len(to)), np.int32)
+        path = np.empty((DEPTH, len(to)), _narrow(of))
         at = 0
         while held:
             own, hashes, *_ = held.pop(0)
-            path[:, at : at + own.shape[1]] = np.searchsorted(of, hashes & plan.bits).astype(np.int32)[own]
+            path[:, at : at + own.shape[1]] = np.searchsorted(of, hashes & plan.bits).astype(path.dtype)[own]
             at += own.shape[1]
         # by group first, then each group by itself: keys and copies of one group are held at a time
         order = np.argsort(to.astype(np.uint16) if plan.groups <= 1 << 16 else to, kind="stable")
