@@ -37,6 +37,12 @@ def _subset_key(subset: Sequence[str]) -> Column:
     return F.to_json(F.array(*[F.col(f"__p_{c}") for c in subset]))
 
 
+def _shuffled(rows: DataFrame) -> DataFrame:
+    """Rows that a join must shuffle: Spark would judge them by their files, where repeated values and positions take
+    next to nothing, and gather millions of them in the driver to broadcast them."""
+    return rows.hint("merge")
+
+
 def align_rows(
     a: DataFrame,
     b: DataFrame,
@@ -69,8 +75,8 @@ def align_rows(
     first = materialize(_unique_pairs(left, right, {0: subsets[0]}).select("l_pos", "r_pos"), "pairs")
     decided = [first]
     rest = range(1, len(subsets))
-    pending_l = left.join(first.select(F.col("l_pos").alias("pos")), "pos", "left_anti")
-    pending_r = right.join(first.select(F.col("r_pos").alias("pos")), "pos", "left_anti")
+    pending_l = left.join(_shuffled(first.select(F.col("l_pos").alias("pos"))), "pos", "left_anti")
+    pending_r = right.join(_shuffled(first.select(F.col("r_pos").alias("pos"))), "pos", "left_anti")
     if rest and not pending_l.isEmpty() and not pending_r.isEmpty():
         keys = {i: subsets[i] for i in rest}
         open_pairs = _open_pairs(left, right, pending_l, pending_r, keys)
@@ -116,8 +122,8 @@ def _open_pairs(left: DataFrame, right: DataFrame, pending_l: DataFrame, pending
     wanted = materialize(shared, "pending-keys")
     both = _tag(_keyed(left, keys), True).unionByName(_tag(_keyed(right, keys), False))
     pairs = _count_pairs(both.join(wanted, ["i", "k"], "left_semi"))
-    return pairs.join(pending_l.select(F.col("pos").alias("l_pos")), "l_pos", "left_semi").join(
-        pending_r.select(F.col("pos").alias("r_pos")), "r_pos", "left_semi"
+    return pairs.join(_shuffled(pending_l.select(F.col("pos").alias("l_pos"))), "l_pos", "left_semi").join(
+        _shuffled(pending_r.select(F.col("pos").alias("r_pos"))), "r_pos", "left_semi"
     )
 
 
@@ -132,13 +138,15 @@ def _by_priority(candidates: DataFrame) -> list[DataFrame]:
     while not candidates.isEmpty():
         best_l = candidates.groupBy("l_pos").agg(F.min("i").alias("min_l"))
         best_r = candidates.groupBy("r_pos").agg(F.min("i").alias("min_r"))
-        judged = candidates.join(best_l, "l_pos").join(best_r, "r_pos")
+        judged = candidates.join(_shuffled(best_l), "l_pos").join(_shuffled(best_r), "r_pos")
         win = materialize(
             judged.filter("i = min_l AND i = min_r").select("l_pos", "r_pos"), "pairs"
         )
         accepted.append(win)
         candidates = materialize(
-            candidates.join(win.select("l_pos"), "l_pos", "left_anti").join(win.select("r_pos"), "r_pos", "left_anti"),
+            candidates.join(_shuffled(win.select("l_pos")), "l_pos", "left_anti").join(
+                _shuffled(win.select("r_pos")), "r_pos", "left_anti"
+            ),
             "candidates",
         )
     return accepted
@@ -171,7 +179,7 @@ def neighbour_pairs(left: DataFrame, right: DataFrame, pairs: DataFrame, parts:
 
 def _islands(side: DataFrame, taken: DataFrame) -> DataFrame:
     """Unpaired rows with the number of their island of neighbouring positions."""
-    rest = side.join(taken, "pos", "left_anti")
+    rest = side.join(_shuffled(taken), "pos", "left_anti")
     return materialize(with_position(rest, ["pos"], "nth").select("pos", "k1", "k2", (F.col("pos") - F.col("nth")).alias("island")), "islands")
 
 
@@ -182,14 +190,15 @@ def _neighbour_pass(sides: list[DataFrame], pairs: DataFrame, ends: list[int], n
     taken = pairs.select(F.col(own).alias("own"), F.col(other).alias("far"))
     rows = _islands(sides[near], taken.select(F.col("own").alias("pos")))
     hand = _islands(sides[1 - near], taken.select(F.col("far").alias("pos")))
-    if rows.join(hand, ["k1", "k2"], "left_semi").isEmpty():
+    marks = [side.select("k1", "k2").distinct() for side in (rows, hand)]
+    if marks[0].join(_shuffled(marks[1]), ["k1", "k2"], "left_semi").isEmpty():
         return None
     step, border = (1, F.min) if forwards else (-1, F.max)
     gaps = rows.groupBy("island").agg(border("pos").alias("at")).withColumn("own", F.col("at") - step)
     runs = hand.groupBy("island").agg(border("pos").alias("hand")).select(F.col("island").alias("run"), "hand", (F.col("hand") - step).alias("far"))
     # numbers of rows as the last pair that is no pair: only gaps at the end are next to it
     anchors = taken if forwards else taken.unionByName(taken.sparkSession.createDataFrame([(ends[near], ends[1 - near])], "own long, far long"))
-    state = materialize(gaps.join(anchors, "own").join(runs, "far").select("island", "run", "at", "hand"), "gaps")
+    state = materialize(gaps.join(_shuffled(anchors), "own").join(_shuffled(runs), "far").select("island", "run", "at", "hand"), "gaps")
     found = None
     while not state.isEmpty():
         reach = lambda c: F.col("pos").between(*((F.col(c), F.col(c) + block - 1) if forwards else (F.col(c) - block + 1, F.col(c))))
@@ -252,7 +261,7 @@ def pair_by_content(a: DataFrame, b: DataFrame, position: str, columns: Sequence
     pairs = materialize(align_rows(a, b, position, columns, options, candidates), "alignment")
     left = a.select(F.col(position).alias("l_pos"), F.struct(*a.columns).alias("l"))
     right = b.select(F.col(position).alias("r_pos"), F.struct(*b.columns).alias("r"))
-    linked = left.join(pairs, "l_pos", "left")
+    linked = left.join(_shuffled(pairs), "l_pos", "left")
     return linked.join(right, "r_pos", "full_outer").select("l", "r")
 
 

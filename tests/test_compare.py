@@ -147,6 +147,21 @@ def test_neighbours_of_repeated_rows_match_a_walk(spark, block):
             assert sorted(got) == [(i, i - 1) for i in range(1, 9)]
 
 
+def test_repeated_rows_stay_out_of_the_driver(spark):
+    """Files of repeated rows are small, but no join may gather the rows themselves to broadcast them."""
+    n = 100_000
+    a = spark.range(n).selectExpr("id AS pos", "concat('x', id % 7) AS __p_x")
+    b = a.where("pos > 0").withColumn("pos", F.col("pos") - 1)
+    limit = "spark.sql.maxBroadcastTableSize"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "6m")  # an empty table of two keys takes 4 MB
+    try:
+        got = align.align_rows(a, b, "pos").where("l_pos = r_pos + 1").count()
+    finally:
+        spark.conf.set(limit, before)
+    assert got == n - 1
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_keyless_alignment_matches_brute_force(spark, seed):
     rng = random.Random(seed)
