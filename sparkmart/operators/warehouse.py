@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,18 +31,32 @@ def insert_absent(candidates: DataFrame, existing: DataFrame | None, natural: Se
     return candidates.join(existing.select(*natural), list(natural), "left_anti")
 
 
-def assign_keys(new: DataFrame, existing: DataFrame | None, key: str, natural: Sequence[str]) -> DataFrame:
+def assign_keys(new: DataFrame, existing: DataFrame | None, key: str, natural: Sequence[str], wide: bool = False) -> DataFrame:
     """Existing rows with their keys plus the new rows numbered after the highest key.
 
     ``new`` holds each natural key once. Numbers follow natural-key order, so a repeated run gives
-    the same keys.
+    the same keys. ``wide`` rows are not sorted and written for it, see :func:`_numbered_by_key`.
     """
     fresh = insert_absent(new, existing, natural)
     highest = (existing.agg(F.max(key)).first()[0] if existing is not None else None) or 0
-    numbered = with_position(fresh, natural, name=key, start=highest + 1).select(key, *new.columns)
+    numbered = _numbered_by_key(new, fresh, key, natural, highest + 1) if wide else with_position(fresh, natural, name=key, start=highest + 1)
+    numbered = numbered.select(key, *new.columns)
     return numbered if existing is None else existing.select(key, *new.columns).unionByName(numbered)
 
 
+def _numbered_by_key(new: DataFrame, fresh: DataFrame, key: str, natural: Sequence[str], start: int) -> DataFrame:
+    """The ``fresh`` of the ``new`` rows, numbered in natural-key order: the keys alone are sorted, and the rows joined to them.
+
+    Where keys repeat or are null after all, the rows themselves are sorted.
+    """
+    keys = materialize(fresh.groupBy(*natural).agg(F.count(F.lit(1)).alias("__n")), "natural-keys")
+    unfit = reduce(lambda x, y: x | y, [F.col(c).isNull() for c in natural], F.col("__n") > 1)
+    if not keys.filter(unfit).isEmpty():
+        return with_position(fresh, natural, name=key, start=start)
+    numbers = with_position(keys.drop("__n"), natural, name=key, start=start)
+    return new.join(numbers.hint("shuffle_hash"), list(natural))  # one number per row: too many to broadcast
+
+
 def _dated(news: DataFrame) -> DataFrame:
     """Rows that have a readable date, with it parsed; the others take no part in the load."""
     if news.columns == DATED:
@@ -106,7 +121,7 @@ def load_dimensions(news: DataFrame, star: Star = Star()) -> Star:
     }
     with ThreadPoolExecutor(max_workers=len(loads)) as pool:
         running = {
-            name: pool.submit(assign_keys, new, getattr(star, name), key, natural)
+            name: pool.submit(assign_keys, new, getattr(star, name), key, natural, name == "dim_article")
             for name, (new, key, natural) in loads.items()
         }
         return replace(star, **{name: job.result() for name, job in running.items()})

@@ -77,7 +77,7 @@ def cleaned_rows(star: Star, processed_at: Column | datetime | None = None, thre
 
     ``processed_at`` fixes the time for repeatable runs; it defaults to now.
     """
-    extracted = star_extract(star)
+    extracted = materialize(star_extract(star), "extract")  # several passes follow
     cleaned = clean(extracted, ["url"], ["url", "publication_date", "category"], threshold)
     stamp = F.current_timestamp() if processed_at is None else F.lit(processed_at)
     return cleaned.select(
@@ -103,7 +103,10 @@ def load_cleaned(rows: DataFrame, table: str, on_rerun: str = "skip_existing") -
         loaded = spark.table(table)
         highest = loaded.agg(F.max("cleaned_id")).first()[0] or 0
         if on_rerun == "skip_existing":
-            rows = rows.join(loaded.select("url"), "url", "left_anti")
-    numbered = assign_keys(rows, None, "cleaned_id", ["url", "publication_date", "category"])
+            # the urls alone are compared, and written, so that Spark knows how few they are
+            absent = rows.select(F.col("url").alias("__url")).distinct().join(loaded, F.col("__url") == loaded["url"], "left_anti")
+            absent = materialize(absent, "absent-urls")
+            rows = materialize(rows.join(absent, F.col("url").eqNullSafe(F.col("__url")), "left_semi"), "absent")
+    numbered = assign_keys(rows, None, "cleaned_id", ["url", "publication_date", "category"], wide=True)
     shifted = numbered.withColumn("cleaned_id", F.col("cleaned_id") + highest)
-    return load_constrained(shifted, table, list(CLEANED_RULES))
+    return load_constrained(shifted, table, list(CLEANED_RULES), checked=rows)

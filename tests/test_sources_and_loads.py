@@ -1,6 +1,7 @@
 import json
 import random
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -353,6 +354,37 @@ def test_cleaned_load_can_be_repeated(spark):
         news.load_cleaned(cleaned, table, "maybe")
 
 
+def test_cleaned_load_sorts_and_compares_keys_alone(spark):
+    """Two runs write long texts to the table and nowhere else; what is new in the second is numbered after the first."""
+    rng = random.Random(8)
+    day, letters = datetime(2024, 5, 1), "abcdefghijklmnopqrstuvwxyz0123456789"
+    texts = ["".join(rng.choices(letters, k=3000)) for _ in range(60)]
+    data = [(f"t{i}", "c", day, f"u{i:02}", t, day) for i, t in enumerate(texts)]
+    kinds = "title string, category string, publication_date timestamp_ntz, url string, summary string, processed_date timestamp_ntz"
+    first, both = (spark.createDataFrame(x, kinds) for x in (data[20:], [*data, data[3]]))
+    table = f"{scratch_database(spark)}.dim_cleaned"
+    root = Path(scratch_path(spark, "x")).parent
+    seen = set(root.iterdir())
+    for _ in range(2):
+        news.load_cleaned(first, table)
+    written = sum(f.stat().st_size for d in set(root.iterdir()) - seen for f in d.rglob("*.parquet"))
+    assert written < sum(map(len, texts[20:])) / 4
+    news.load_cleaned(both, table)
+    found = {r["cleaned_id"]: (r["url"], r["summary"]) for r in spark.table(table).collect()}
+    order = [*data[20:], *data[:4], data[3], *data[4:20]]  # a repeated key takes two numbers
+    assert found == {i: (r[3], r[4]) for i, r in enumerate(order, 1)}
+
+
+@pytest.mark.parametrize("odd", [[], [("b", 1, "again")], [(None, 1, "no key")]])
+def test_keys_of_wide_rows_are_those_of_narrow_ones(spark, odd):
+    data = [("c", 2, "x"), ("a", 1, "y"), ("b", 1, "z"), ("b", 0, "w"), ("d", 5, "v"), *odd]
+    new = spark.createDataFrame(data, "k string, n long, t string").repartition(3)
+    known = spark.createDataFrame([(7, "d", 5, "old")], "id long, k string, n long, t string")
+    for existing in (None, known):
+        got, want = ([(r["id"], r["k"], r["n"]) for r in warehouse.assign_keys(new, existing, "id", ["k", "n"], wide).collect()] for wide in (True, False))
+        assert sorted(got, key=repr) == sorted(want, key=repr) and len(got) == len(data)
+
+
 def test_punctuation_is_unicode_aware(spark):
     df = spark.createDataFrame([("héllo, wörld! x_1 … “q” ¼²",)], "t string")
     assert df.select(text.strip_punctuation("t")).first()[0] == "héllo wörld x_1  q ¼²"
